@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendloom import schemas
 
@@ -22,7 +22,7 @@ def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
     return spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def is_valid_attempt() -> "F.Column":
+def is_valid_attempt() -> Column:
     has_body = F.coalesce(F.col("html"), F.lit("")) != ""
     refused = (F.col("tier") == BROWSER_TIER) & F.contains("html", F.lit(REFUSAL_MARK))
     return has_body & ~refused
