@@ -31,8 +31,8 @@ def price_cards(prices: DataFrame) -> DataFrame:
     return prices.select(
         F.upper("coin").alias("name"),
         F.when(change > 0, F.lit("up")).when(change.isNotNull(), F.lit("down")).alias("trend"),
-        F.concat(F.lit("$"), F.format_number("usd", PRICE_FORMAT)).alias("price"),
-        F.concat(F.format_number(change, CHANGE_FORMAT), F.lit("%")).alias("change"),
+        F.concat(F.lit("$"), F.call_function("format_number", F.col("usd"), F.lit(PRICE_FORMAT))).alias("price"),
+        F.concat(F.call_function("format_number", change, F.lit(CHANGE_FORMAT)), F.lit("%")).alias("change"),
     )
 
 

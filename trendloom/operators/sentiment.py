@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trendloom.functions import lexicon_rules as rules
 
 _PUNCTUATION = r"!-/:-@\[-`{-~"  # the ASCII punctuation ranges
+TEXT_ROW = -1
 _NEIGHBOURS = {"p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
 _MODIFIERS = sorted({*rules.INTENSIFIERS, *rules.DAMPENERS, *rules.NEGATIONS, "least", "this", "so"})
 
@@ -82,29 +83,50 @@ def _idioms(valence: Column) -> Column:
     return F.when(dampened, result - rules.BOOST).otherwise(result)
 
 
+def _once(value: Column) -> Column:
+    """A column that is computed once per text.
+
+    The generator keeps the optimiser from moving the expression behind the explode of the words, where
+    it would be computed again for every word.
+    """
+    return F.explode_outer(F.array(value))
+
+
 def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per word: its place ``i``, itself, its neighbours, and the facts of its text.
+
+    Every text also has one row without a word, so that a text without sentiment words stays.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    prepared = texts.select(F.col(key), body.alias("_text")).withColumn("_words", words(F.col("_text")))
-    upper = F.size(F.filter("_words", _is_upper))
-    exclamations = F.length("_text") - F.length(F.replace("_text", F.lit("!")))
-    questions = F.length("_text") - F.length(F.replace("_text", F.lit("?")))
+    split_texts = texts.select(key, _once(F.struct(body.alias("text"), words(body).alias("words"))).alias("d"))
+    upper = F.size(F.filter("d.words", _is_upper))
+    exclamations = F.length("d.text") - F.length(F.replace("d.text", F.lit("!")))
+    questions = F.length("d.text") - F.length(F.replace("d.text", F.lit("?")))
     emphasis = F.least(exclamations, F.lit(rules.EXCLAMATION_LIMIT)) * rules.EXCLAMATION + (
         F.when(questions > rules.QUESTION_LIMIT, F.lit(rules.QUESTION_MANY))
         .when(questions > 1, questions * rules.QUESTION)
         .otherwise(F.lit(0.0))
     )
+    facts = split_texts.select(
+        key,
+        _once(
+            F.struct(
+                emphasis.alias("emphasis"),
+                ((upper > 0) & (upper < F.size("d.words"))).alias("cap_diff"),
+                (F.array_position(F.transform("d.words", lambda w: F.lower(w)), "but") - 1).alias("but_at"),
+                F.col("d.words").alias("words"),
+            )
+        ).alias("f"),
+    )
 
-    def neighbourhood(word: Column, index: Column) -> Column:
-        near = [F.get("_words", index + step).alias(name) for name, step in _NEIGHBOURS.items()]
-        return F.struct(index.alias("i"), word.alias("w"), *near)
+    def word_row(word: Column, index: Column) -> Column:
+        near = [F.get("f.words", index + step).alias(name) for name, step in _NEIGHBOURS.items()]
+        shared = [F.col(f"f.{name}").alias(name) for name in ("emphasis", "cap_diff", "but_at")]
+        return F.struct(index.alias("i"), word.alias("w"), *near, *shared)
 
-    return prepared.select(
-        key,
-        emphasis.alias("emphasis"),
-        ((upper > 0) & (upper < F.size("_words"))).alias("cap_diff"),
-        (F.array_position(F.transform("_words", lambda w: F.lower(w)), "but") - 1).alias("but_at"),
-        F.explode_outer(F.transform("_words", neighbourhood)).alias("e"),
-    ).select(key, "emphasis", "cap_diff", "but_at", "e.*")
+    head = F.array(word_row(F.lit(None).cast("string"), F.lit(TEXT_ROW)))
+    rows = F.concat(head, F.transform("f.words", word_row))
+    return facts.select(key, F.explode(rows).alias("e")).select(key, "e.*")
 
 
 def compound_sentiment(
@@ -122,6 +144,8 @@ def compound_sentiment(
     hits = rows.join(lexicon.select(F.col("token").alias("_t"), "valence"), low == F.col("_t"), "left").withColumn(
         "valence", F.when(~F.coalesce(degree, F.lit(False)), F.col("valence")).cast("double")
     )
+    # Only the words found and one row per text go on from here.
+    hits = hits.filter(F.col("valence").isNotNull() | (F.col("i") == TEXT_ROW))
     # Modifiers that are sentiment words themselves do not modify; the list is bounded by the fixed words.
     inert = F.coalesce(
         lexicon.filter(F.col("token").isin(_MODIFIERS) | F.contains("token", F.lit("n't")))
@@ -129,11 +153,9 @@ def compound_sentiment(
         .scalar(),
         F.array().cast("array<string>"),
     )
-    # The phrase rule looks three words back; words without a hit get spread keys that match nothing.
-    far = F.when(F.col("valence").isNotNull(), F.lower("p3"))
-    hits = hits.withColumn("_far", F.coalesce(far, F.concat(F.lit("\u0000"), (F.col("i") % 64).cast("string"))))
+    # The phrase rule looks three words back.
     known = lexicon.select(F.col("token").alias("_far"), F.lit(True).alias("p3_known"))
-    hits = hits.join(known, "_far", "left").drop("_far")
+    hits = hits.join(known, F.lower("p3") == F.col("_far"), "left").drop("_far")
 
     def modifies(name: str) -> Column:
         if name == "p3":

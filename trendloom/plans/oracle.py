@@ -19,7 +19,7 @@ STAMP = "'%Y-%m-%d %H:%M:%S'"
 
 def _two(value: str, digits: int = 2) -> str:
     """Round half up on the shortest decimal form of a double, as Spark does."""
-    return f"CAST(round(CAST({value} AS DECIMAL(30, 12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -99,7 +99,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM landed, (VALUES (1), (2), (3)) AS t(tier)"""),
     "ticks": ((), """
         SELECT event_id, event_type AS symbol, value AS current,
-               CAST(round(CAST(value * (80 + event_id % 41) / 100 AS DECIMAL(30, 12)), 2) AS DOUBLE) AS prev_close
+               value * (64 + event_id % 64) / 64.0 AS prev_close
         FROM events"""),
     "prices": ((), """
         SELECT event_id, event_type || '_' || (user_id % 7) AS coin, value * 1000 AS usd,
@@ -170,13 +170,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                        '^(?:\!\?\?\!|\!\?\!|\?\!\?\!|\!\?\!\?|\?\!\?|\!\!\!|\?\?\?|\!\!|\?\?|[.!?,;:"''-])([^!-/:-@\[-`{{-~]{{2,}})$|^([^!-/:-@\[-`{{-~]{{2,}})(?:\!\?\!\?|\?\!\?\!|\!\?\!|\?\!\?|\!\!\!|\?\?\?|\!\!|\?\?|[.!?,;:"''-])$',
                        '\1\2')) AS w
         FROM articles"""),
-    "word_rows": (("word_lists",), """
-        SELECT title_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS p1,
-               CASE WHEN i > 2 THEN w[i - 2] END AS p2, CASE WHEN i > 3 THEN w[i - 3] END AS p3,
-               coalesce(list_position(list_transform(w, lambda x: lower(x)), 'but'), 0) AS but_at,
-               uppers > 0 AND uppers < len(w) AS cap_diff
-        FROM (SELECT title_id, w, unnest(range(1, len(w) + 1)) AS i,
-                     len(list_filter(w, lambda x: upper(x) = x AND lower(x) <> x)) AS uppers FROM word_lists)"""),
+    "text_facts": (("word_lists",), """
+        SELECT title_id, coalesce(list_position(list_transform(w, lambda x: lower(x)), 'but'), 0) AS but_at,
+               len(list_filter(w, lambda x: upper(x) = x AND lower(x) <> x)) AS uppers, len(w) AS size
+        FROM word_lists"""),
+    "word_rows": (("text_facts",), """
+        SELECT title_id, i, word, lag(word, 1) OVER place AS p1, lag(word, 2) OVER place AS p2,
+               lag(word, 3) OVER place AS p3, but_at, uppers > 0 AND uppers < size AS cap_diff
+        FROM (SELECT title_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM word_lists)
+        JOIN text_facts USING (title_id)
+        WINDOW place AS (PARTITION BY title_id ORDER BY i)"""),
     "hits": (("word_rows", "lexicon"), f"""
         SELECT r.*, l.valence + CASE WHEN cap_diff AND upper(word) = word AND lower(word) <> word
                                      THEN 0.733 * sign(l.valence - 1e-12) ELSE 0 END AS v0

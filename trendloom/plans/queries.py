@@ -228,15 +228,9 @@ def k2_insert_articles(spark, sf_dir):
     return merged.select("title_id", "source_id", "title", "link", time_text("date_captured"), "cluster_id")
 
 
-def _averages(spark, sf_dir):
-    articles = samples.clustering_input(spark, sf_dir)
-    return clustering.cluster_averages(
-        clustering.measure_members(articles, samples.topic_members(spark, sf_dir))
-    )
-
-
 def _appended(spark, sf_dir):
-    return tables.new_clusters(samples.clusters(spark, sf_dir), _averages(spark, sf_dir))
+    averages = clustering.cluster_averages(_measured(spark, sf_dir))
+    return tables.new_clusters(samples.clusters(spark, sf_dir), averages)
 
 
 @query
@@ -404,7 +398,7 @@ def _history(spark, sf_dir):
 
 
 def _members(spark, sf_dir):
-    return scoring.cluster_members(samples.topics(spark, sf_dir))
+    return scoring.cluster_members(samples.topics(spark, sf_dir, spread=True))
 
 
 @query
@@ -489,7 +483,7 @@ def r1_text_choice(spark, sf_dir):
 
 @query
 def r2_lexicon_sentiment(spark, sf_dir):
-    return compound_sentiment(samples.articles(spark, sf_dir), samples.lexicon(spark, sf_dir), text="summary")
+    return compound_sentiment(samples.articles(spark, sf_dir, spread=True), samples.lexicon(spark, sf_dir), text="summary")
 
 
 def _measures(spark, sf_dir):
@@ -586,14 +580,20 @@ def m3_growth_schedule(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 
-def _batch_time(batch_id: int):
+def _stream_of(table: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    """The file of an input table as a stream over its folder."""
+    reader = table.sparkSession.readStream.schema(table.schema)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _batch_time(batch_id: int) -> Column:
     return as_of()
 
 
 @query
 def t1_ticker_stream(spark, sf_dir):
     events = samples.table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet")
+    stream = _stream_of(events, sf_dir, "events")
     store = scratch_store(spark)
     streams.stream_tickers(
         samples.ticker_payloads(stream), store, f"{store.base}/_stream", _batch_time
@@ -606,7 +606,7 @@ def t1_ticker_stream(spark, sf_dir):
 @query
 def t2_article_stream(spark, sf_dir):
     raw = samples.table(spark, sf_dir, "pages")
-    stream = spark.readStream.schema(raw.schema).parquet(f"{sf_dir}/pages.parquet")
+    stream = _stream_of(raw, sf_dir, "pages")
     landed = stream.select(samples.host().alias("site"), F.col("page_id").cast("int").alias("page_num"), "html")
     configs = samples.page_configs(spark, sf_dir).withColumns(
         {"strategy": F.lit("html_dom"), "url_template": F.lit("https://{}"), "pages": F.lit(1)}
@@ -625,7 +625,7 @@ def t3_topic_stream(spark, sf_dir):
     store = scratch_store(spark)
     store.commit(append={jobs.OPEN: samples.articles(spark, sf_dir)})
     documents = samples.table(spark, sf_dir, "documents")
-    stream = spark.readStream.schema(documents.schema).parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    stream = _stream_of(documents, sf_dir, "documents").select("doc_id")
     lexicon = samples.lexicon(spark, sf_dir)
     streams.stream_topics(stream, lexicon, store, f"{store.base}/_stream", _batch_time).awaitTermination()
     return store.read(jobs.CLUSTERS, schemas.CLUSTERS).select(

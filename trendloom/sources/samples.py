@@ -28,12 +28,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows cost much to process, spread over the cores if it has fewer splits than cores.
+
+    A large table has many splits and is read as it is, without a shuffle.
+    """
+    scanned = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores, key)
+
+
 # ---------------------------------------------------------------- articles
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Documents as articles: the title is the start of the first line, one article per hour."""
-    return table(spark, sf_dir, "documents").select(
+    documents = (
+        spread_table(spark, sf_dir, "documents", "doc_id") if spread else table(spark, sf_dir, "documents")
+    )
+    return documents.select(
         F.col("doc_id").alias("title_id"),
         F.col("source").alias("source_id"),
         F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("title"),
@@ -44,13 +57,13 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topics(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Articles with a topic from arithmetic on the id."""
-    return articles(spark, sf_dir).withColumn("cluster_id", F.col("title_id") % 50)
+    return articles(spark, sf_dir, spread).withColumn("cluster_id", F.col("title_id") % 50)
 
 
 def clustering_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles(spark, sf_dir).select(
+    return articles(spark, sf_dir, spread=True).select(
         "title_id", "title", "summary", F.col("date_captured").alias("published_at")
     )
 
@@ -151,7 +164,7 @@ def host() -> Column:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as captured pages of their host."""
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages", "page_id").select(
         host().alias("site"), F.col("page_id").cast("int").alias("page_num"), "html", "url"
     )
 
@@ -221,20 +234,24 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- prices and plans
 
 
+def previous_close() -> Column:
+    return F.col("value") * (64 + F.col("event_id") % 64) / 64.0
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as price rows; the previous close is arithmetic on the id."""
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.col("event_type").alias("symbol"),
         F.col("value").alias("current"),
-        F.round(F.col("value") * (80 + F.col("event_id") % 41) / 100, 2).alias("prev_close"),
+        previous_close().alias("prev_close"),
     )
 
 
 def ticker_payloads(events: DataFrame) -> DataFrame:
     """Events as JSON ticker batches of one symbol."""
-    prev = F.round(F.col("value") * (80 + F.col("event_id") % 41) / 100, 2)
-    body = F.to_json(F.create_map("event_type", F.struct(F.col("value").alias("current"), prev.alias("prev_close"))))
+    rates = F.struct(F.col("value").alias("current"), previous_close().alias("prev_close"))
+    body = F.to_json(F.create_map("event_type", rates))
     return events.select(F.col("event_id").alias("seq"), body.alias("body"))
 
 
