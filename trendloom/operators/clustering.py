@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from trendloom.functions.edit import similarity
 from trendloom.functions.text import ENGLISH_STOP_WORDS, jaccard, levenshtein_similarity
 from trendloom.operators import similarity as sim
+from trendloom.operators.similarity import cosine_block
 from trendloom.session import ensure_checkpoint_dir
 
 MIN_LEVENSHTEIN = 0.0  # fixed value of the topic rule
@@ -135,7 +136,7 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
     reduce = sim.best_label_reducer(gap, min_cosine, _LABEL, keep_pair=True)
     offer_schema = f"title_id long, cosine double, {_LABEL_SCHEMA}, block_i long, block_j long"
     while True:
-        stale = pairs.join(changed, "block_j", "left_semi").select("block_i", "block_j").checkpoint()
+        stale = pairs.join(changed, "block_j", "left_semi").checkpoint()
         if stale.isEmpty():
             return labels
         fresh = sim.compare_blocks(
@@ -167,7 +168,7 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
 
     def label(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("title_id", ignore_index=True)
-        cosine = sim.cosine_block(block, block)
+        cosine = cosine_block(block, block, 2 * gap)
         ids, times = block["title_id"].to_numpy(), block["t"].to_numpy()
         titles = block["title_lower"].tolist()
         offered = block["cosine"].fillna(0.0).to_numpy()

@@ -22,6 +22,7 @@ _SCRIPT = r"(?is)(<!--.*?-->|<script\b[^>]*>.*?</script\s*>)"
 _SCRIPT_BODY = r"(?is)^<script\b[^>]*>(.*)</script\s*>$"
 _SCRIPT_TYPE = r"""(?is)^<script\b[^>]*?\stype\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
+_RECORD_FIELDS = schemas.RECORDS.fieldNames()
 _DOM_FIELDS = (
     "container_tag", "container_class", "headline_tag", "anchor_position", "summary_tag",
 )
@@ -123,11 +124,10 @@ def _block_records(row) -> Iterator[tuple]:
 
 
 def _dom_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = schemas.RECORDS.fieldNames()
     for batch in batches:
         batch = batch.astype(object).where(batch.notna(), None)
         rows = [record for row in batch.itertuples(index=False) for record in _block_records(row)]
-        yield pd.DataFrame(rows, columns=names)
+        yield pd.DataFrame(rows, columns=_RECORD_FIELDS)
 
 
 def html_dom_records(pages: DataFrame, configs: DataFrame) -> DataFrame:

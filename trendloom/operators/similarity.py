@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from trendloom.functions.text import ENGLISH_STOP_WORDS, combined_text, terms
 from trendloom.operators.ordering import with_ordinal
+from trendloom.session import ensure_checkpoint_dir
 
 # Fixed values of the topic rule.
 MAX_HOURS_GAP = 72
@@ -23,6 +24,7 @@ COSINE_DIGITS = 6
 
 BLOCK_ROWS = 2048
 _CELL_BUDGET = 8_000_000  # doubles held at a time while two blocks are compared
+_STRIP_COLUMNS = 128
 
 
 # ---------------------------------------------------------------- vectors
@@ -37,7 +39,8 @@ def term_counts(articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WO
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """Articles per term. Reading ``n`` keeps the columns of ``counts``, so its shuffle is used again."""
+    return counts.groupBy("term").agg(F.count(F.when(F.col("n") > 0, F.lit(1))).alias("df"))
 
 
 def tfidf_raw(
@@ -115,12 +118,22 @@ def assign_blocks(rows: DataFrame, gap_seconds: int, block_rows: int = BLOCK_ROW
     return rows.join(numbered, "title_id")
 
 
+def stored_blocks(
+    articles: DataFrame, stop_words: Sequence[str], gap_seconds: int, block_rows: int
+) -> DataFrame:
+    """Vectors cut into blocks, written once because every comparison reads them several times."""
+    ensure_checkpoint_dir(articles.sparkSession)
+    vectors = article_vectors(articles, stop_words).checkpoint()
+    return assign_blocks(vectors, gap_seconds, block_rows).checkpoint()
+
+
 def block_pairs(blocked: DataFrame, gap_seconds: int, with_self: bool = True) -> DataFrame:
-    """``block_i, block_j``: block pairs that can hold an earlier article within twice the gap.
+    """Block pairs that can hold an earlier article within twice the gap, with the times that can meet.
 
     Twice the gap loses nothing: an article and its candidate both lie within one gap of the anchor.
     Only occupied time cells are joined, by equality.
     """
+    reach = 2 * gap_seconds
     cells = blocked.groupBy("block", "bucket").agg(
         F.min("title_id").alias("lo"), F.max("title_id").alias("hi"),
         F.min("t").alias("t_lo"), F.max("t").alias("t_hi"),
@@ -129,18 +142,25 @@ def block_pairs(blocked: DataFrame, gap_seconds: int, with_self: bool = True) ->
         F.col("block").alias("block_i"), F.col("hi"), F.col("t_lo").alias("ti_lo"), F.col("t_hi").alias("ti_hi"),
         F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.col("bucket") + d)).alias("bucket"),
     )
-    found = cells.select(F.col("block").alias("block_j"), "lo", "t_lo", "t_hi", "bucket")
+    found = cells.select(
+        F.col("block").alias("block_j"), "lo", F.col("t_lo").alias("tj_lo"), F.col("t_hi").alias("tj_hi"), "bucket"
+    )
     near = (
         (F.col("lo") < F.col("hi"))
-        & (F.col("t_lo") <= F.col("ti_hi") + 2 * gap_seconds)
-        & (F.col("t_hi") >= F.col("ti_lo") - 2 * gap_seconds)
+        & (F.col("tj_lo") <= F.col("ti_hi") + reach)
+        & (F.col("tj_hi") >= F.col("ti_lo") - reach)
+    )
+    met = seekers.join(found, "bucket").filter(near)
+    if not with_self:
+        met = met.filter("block_i <> block_j")
+    return met.groupBy("block_i", "block_j").agg(
+        (F.min("tj_lo") - reach).alias("i_from"), (F.max("tj_hi") + reach).alias("i_to"),
+        (F.min("ti_lo") - reach).alias("j_from"), (F.max("ti_hi") + reach).alias("j_to"),
     )
-    pairs = seekers.join(found, "bucket").filter(near).select("block_i", "block_j").distinct()
-    return pairs if with_self else pairs.filter("block_i <> block_j")
 
 
-def cosine_block(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
-    """Rounded cosines of two blocks.
+def cosine_block(left: pd.DataFrame, right: pd.DataFrame, reach: int) -> np.ndarray:
+    """Rounded cosines of two blocks; 0 where the times are more than ``reach`` seconds apart.
 
     Equal term counts compare as exactly 1; different ones stay below 1, so an identical article
     outranks any merely close one whatever the floating-point noise.
@@ -151,28 +171,34 @@ def cosine_block(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
         return result
     codes, _ = pd.factorize(np.concatenate([*left["terms"], *right["terms"]]))
     codes_l, codes_r = codes[: lengths_l.sum()], codes[lengths_l.sum():]
-    shared = np.intersect1d(codes_l, codes_r)
-    if len(shared) == 0:
-        return result
-    place = np.full(codes.max() + 1, -1)
-    place[shared] = np.arange(len(shared))
     weights_l, weights_r = np.concatenate([*left["weights"]]), np.concatenate([*right["weights"]])
-    ends_l, ends_r = np.cumsum(lengths_l), np.cumsum(lengths_r)
-    columns = max(1, _CELL_BUDGET // len(shared))
-    for start in range(0, len(right), columns):
-        stop = min(start + columns, len(right))
-        span = slice(ends_r[start] - lengths_r[start], ends_r[stop - 1])
-        row = place[codes_r[span]]
-        column = np.repeat(np.arange(stop - start), lengths_r[start:stop])
-        dense = np.zeros((len(shared), stop - start))
-        dense[row[row >= 0], column[row >= 0]] = weights_r[span][row >= 0]
-        for i in range(len(left)):
-            part = slice(ends_l[i] - lengths_l[i], ends_l[i])
-            row = place[codes_l[part]]
-            used = row >= 0
-            result[i, start:stop] = weights_l[part][used] @ dense[row[used]]
+    parts_l = np.split(np.arange(len(codes_l)), np.cumsum(lengths_l)[:-1])
+    parts_r = np.split(np.arange(len(codes_r)), np.cumsum(lengths_r)[:-1])
+    times_l, times_r = left["t"].to_numpy(), right["t"].to_numpy()
+    # A strip of the right side, narrow in time, is laid out as a dense table for the rows it can meet.
+    by_time = np.argsort(times_r, kind="stable")
+    place = np.full(codes.max() + 1, -1)
+    start = 0
+    while start < len(by_time):
+        strip = by_time[start : start + _STRIP_COLUMNS]
+        used = np.concatenate([parts_r[j] for j in strip])
+        shared = np.unique(codes_r[used])
+        strip = strip[: max(1, _CELL_BUDGET // len(shared))]
+        used = np.concatenate([parts_r[j] for j in strip])
+        place[shared] = np.arange(len(shared))
+        dense = np.zeros((len(shared), len(strip)))
+        dense[place[codes_r[used]], np.repeat(np.arange(len(strip)), lengths_r[strip])] = weights_r[used]
+        strip_times = times_r[strip]
+        meets = (times_l >= strip_times[0] - reach) & (times_l <= strip_times[-1] + reach)
+        for i in np.flatnonzero(meets):
+            row = place[codes_l[parts_l[i]]]
+            known = row >= 0
+            result[i, strip] = weights_l[parts_l[i]][known] @ dense[row[known]]
+        place[shared] = -1
+        start += len(strip)
     same = left["sig"].to_numpy()[:, None] == right["sig"].to_numpy()[None, :]
-    return np.where(same, 1.0, np.minimum(result.round(COSINE_DIGITS), 1 - 10.0**-COSINE_DIGITS))
+    result = np.where(same, 1.0, np.minimum(result.round(COSINE_DIGITS), 1 - 10.0**-COSINE_DIGITS))
+    return np.where(np.abs(times_l[:, None] - times_r[None, :]) <= reach, result, 0.0)
 
 
 def compare_blocks(
@@ -182,21 +208,27 @@ def compare_blocks(
     reduce: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
 ) -> DataFrame:
-    """Run ``reduce`` on every block pair; a task never holds more than two blocks."""
+    """Run ``reduce`` on every block pair; a task never holds more than two blocks.
+
+    Rows that are out of reach of the other block stay behind.
+    """
     spark = seekers.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     keys = ["block_i", "block_j"]
 
-    def side(rows: DataFrame, at: str) -> DataFrame:
-        other = "block_j" if at == "block_i" else "block_i"
+    def side(rows: DataFrame, own: str, other: str) -> DataFrame:
+        at = pairs.select(
+            F.col(f"block_{own}").alias("block"), F.col(f"block_{other}").alias("_other"),
+            F.col(f"{own}_from").alias("_from"), F.col(f"{own}_to").alias("_to"),
+        )
+        joined = rows.join(at, "block").filter(F.col("t").between(F.col("_from"), F.col("_to")))
         # New column ids, since both sides can stem from the same table.
-        joined = rows.join(pairs.select(F.col(at).alias("block"), F.col(other).alias("_other")), "block")
         columns = [F.col(name).alias(name) for name in rows.columns if name != "block"]
         return joined.select(
-            *columns, F.col("block").alias(at), F.col("_other").alias(other)
+            *columns, F.col("block").alias(f"block_{own}"), F.col("_other").alias(f"block_{other}")
         ).repartition(tasks, *keys)
 
-    left, right = side(seekers, "block_i"), side(candidates, "block_j")
+    left, right = side(seekers, "i", "j"), side(candidates, "j", "i")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(reduce, schema)
 
 
@@ -215,15 +247,16 @@ def earlier_matches(
     ``title_id, matches, best_cosine, best_id``; ties go to the earliest article.
     """
     gap = max_hours_gap * 3600
-    blocked = assign_blocks(article_vectors(articles, stop_words), gap, block_rows)
+    blocked = stored_blocks(articles, stop_words, gap, block_rows)
     rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
 
     def reduce(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values("title_id", ignore_index=True)
-        cosine = cosine_block(left, right)
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=["title_id", "matches", "cosine", "match_id"])
+        cosine = cosine_block(left, right, gap)
         ids_l, ids_r = left["title_id"].to_numpy(), right["title_id"].to_numpy()
-        close = np.abs(left["t"].to_numpy()[:, None] - right["t"].to_numpy()[None, :]) <= gap
-        cosine[~close | (ids_r[None, :] >= ids_l[:, None]) | (cosine <= min_cosine)] = 0.0
+        cosine[(ids_r[None, :] >= ids_l[:, None]) | (cosine <= min_cosine)] = 0.0
         best = cosine.argmax(axis=1)
         out = pd.DataFrame(
             {
@@ -257,7 +290,7 @@ def best_topic(
     to any earlier member whose anchor lies within the gap; ties go to the earliest anchor.
     """
     gap = max_hours_gap * 3600
-    blocked = assign_blocks(article_vectors(articles, stop_words), gap, block_rows)
+    blocked = stored_blocks(articles, stop_words, gap, block_rows)
     anchors = articles.select(
         F.col("title_id").alias("label_id"), F.unix_seconds("published_at").alias("label_t")
     )
@@ -272,10 +305,13 @@ def best_topic(
 
 def best_label_reducer(gap: int, min_cosine: float, carried: Sequence[str], keep_pair: bool = False):
     """Reducer of a block pair to the best eligible label per seeking article."""
+    columns = ["title_id", "cosine", *carried, *(["block_i", "block_j"] if keep_pair else [])]
 
     def reduce(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=columns)
         right = right.sort_values("label_id", ignore_index=True)
-        cosine = cosine_block(left, right)
+        cosine = cosine_block(left, right, 2 * gap)
         earlier = right["title_id"].to_numpy()[None, :] < left["title_id"].to_numpy()[:, None]
         fresh = np.abs(left["t"].to_numpy()[:, None] - right["label_t"].to_numpy()[None, :]) <= gap
         cosine[~(earlier & fresh) | (cosine <= min_cosine)] = 0.0

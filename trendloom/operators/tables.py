@@ -98,19 +98,24 @@ def with_cluster_column(articles: DataFrame) -> DataFrame:
     return articles.withColumn("cluster_id", F.lit(None).cast("long"))
 
 
-def update_scores(clusters: DataFrame, actions: DataFrame) -> DataFrame:
-    """Apply the ``UPSERT`` actions to existing clusters; an unknown id inserts nothing."""
+def _apply(clusters: DataFrame, actions: DataFrame, purge: bool) -> DataFrame:
     clusters = with_score_columns(clusters)
-    changes = actions.filter(F.col("action") == "UPSERT").select(
+    changes = actions.select(
         "cluster_id",
+        F.col("action").alias("_action"),
         F.col("calculated_score").alias("_score"),
         F.col("avg_sentiment").alias("_sentiment"),
         F.col("avg_jaccard").alias("_jaccard"),
         F.col("evaluated_at").alias("_at"),
     )
-    applies = F.col("_at").isNotNull()
+    if purge:
+        joined = clusters.join(changes, "cluster_id", "left")
+        joined = joined.filter(F.col("_action").isNull() | (F.col("_action") != "DELETE"))
+    else:
+        joined = clusters.join(changes.filter(F.col("_action") == "UPSERT"), "cluster_id", "left")
     new = {"score": "_score", "avg_sentiment": "_sentiment", "avg_jaccard": "_jaccard", "last_updated": "_at"}
-    return clusters.join(changes, "cluster_id", "left").select(
+    applies = F.col("_action").isNotNull()
+    return joined.select(
         *[
             F.when(applies, F.col(new[name])).otherwise(F.col(name)).alias(name) if name in new else F.col(name)
             for name in clusters.columns
@@ -118,6 +123,11 @@ def update_scores(clusters: DataFrame, actions: DataFrame) -> DataFrame:
     )
 
 
+def update_scores(clusters: DataFrame, actions: DataFrame) -> DataFrame:
+    """Apply the ``UPSERT`` actions to existing clusters; an unknown id inserts nothing."""
+    return _apply(clusters, actions, purge=False)
+
+
 def purge_clusters(clusters: DataFrame, actions: DataFrame) -> DataFrame:
     """Remove the clusters flagged ``DELETE``; articles keep the id they point at."""
     dead = actions.filter(F.col("action") == "DELETE").select("cluster_id")
@@ -138,7 +148,8 @@ def unlink_purged(articles: DataFrame, actions: DataFrame) -> DataFrame:
 
 
 def apply_actions(clusters: DataFrame, actions: DataFrame) -> DataFrame:
-    return purge_clusters(update_scores(clusters, actions), actions)
+    """Update and purge with a single join, so the actions are computed once."""
+    return _apply(clusters, actions, purge=True)
 
 
 def upsert_tickers(stored: DataFrame, batch: DataFrame, as_of: Column, seq: str | None = None) -> DataFrame:

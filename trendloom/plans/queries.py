@@ -543,7 +543,8 @@ def r9_ranked_topics(spark, sf_dir):
     actions = scoring.evaluate_topics(
         _members(spark, sf_dir), samples.lexicon(spark, sf_dir), _history(spark, sf_dir), as_of()
     )
-    current = tables.apply_actions(samples.clusters_stored(spark, sf_dir), actions)
+    ensure_checkpoint_dir(spark)
+    current = tables.apply_actions(samples.clusters_stored(spark, sf_dir), actions).checkpoint()
     ranked = scoring.ranked_topics(current, samples.articles(spark, sf_dir))
     return ranked.select(
         "rank", "cluster_id", "main_title", F.md5("summary").alias("summary_digest"), "score", "volume",

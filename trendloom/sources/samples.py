@@ -28,14 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows cost much to process, spread over the cores if it has fewer splits than cores.
 
     A large table has many splits and is read as it is, without a shuffle.
     """
     scanned = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores, key)
+    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores)
 
 
 # ---------------------------------------------------------------- articles
@@ -44,7 +44,7 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataF
 def articles(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Documents as articles: the title is the start of the first line, one article per hour."""
     documents = (
-        spread_table(spark, sf_dir, "documents", "doc_id") if spread else table(spark, sf_dir, "documents")
+        spread_table(spark, sf_dir, "documents") if spread else table(spark, sf_dir, "documents")
     )
     return documents.select(
         F.col("doc_id").alias("title_id"),
@@ -164,7 +164,7 @@ def host() -> Column:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as captured pages of their host."""
-    return spread_table(spark, sf_dir, "pages", "page_id").select(
+    return spread_table(spark, sf_dir, "pages").select(
         host().alias("site"), F.col("page_id").cast("int").alias("page_num"), "html", "url"
     )
 
