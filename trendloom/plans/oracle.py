@@ -361,6 +361,38 @@ _add("l4_time_gate", """
 _add("l5_best_match", """
     SELECT i AS title_id, max(cosine) AS cosine, arg_min(anchor_id, struct_pack(c := -cosine, a := anchor_id)) AS anchor_id
     FROM cosines JOIN members ON members.title_id = j WHERE i - anchor_id <= 72 GROUP BY i""", "cosines", "members")
+# One step per article: the label of the best earlier article in reach, if the titles share anything.
+CTES["all_cosines"] = (("cosines",), "SELECT * FROM cosines")
+_LABELLED = """, labelled(i, label) USING KEY (i) AS (
+        SELECT min(title_id), min(title_id) FROM articles
+        UNION
+        SELECT next.i, CASE WHEN levenshtein(lower(a.title), lower(h.title))
+                                 < greatest(strlen(lower(a.title)), strlen(lower(h.title)))
+                                 OR (a.title = '' AND h.title = '') THEN next.label ELSE next.i END
+        FROM (SELECT n.i, arg_min(l.label, struct_pack(c := -c.cosine, l := l.label))
+                              FILTER (l.label IS NOT NULL) AS label
+              FROM (SELECT i + 1 AS i FROM labelled WHERE i < (SELECT max(doc_id) FROM documents)) n
+              LEFT JOIN all_cosines c ON c.i = n.i
+              LEFT JOIN recurring.labelled l ON l.i = c.j AND n.i - l.label <= 72
+              GROUP BY n.i) next
+        JOIN articles a ON a.title_id = next.i LEFT JOIN articles h ON h.title_id = next.label)
+    """
+
+
+def _with_labels(body: str, *needs: str) -> str:
+    before = _with(("articles", "all_cosines", *needs), "").rstrip()
+    return before.replace("all_cosines AS (", "all_cosines AS MATERIALIZED (") + _LABELLED + body
+
+
+ORACLE_SQL["l6_greedy_clusters"] = _with_labels("SELECT i AS title_id, label AS anchor_id FROM labelled")
+ORACLE_SQL["t3_topic_stream"] = _with_labels(f"""
+    SELECT title_id, title AS main_title, 1.0 AS avg_jaccard, CAST(volume AS DOUBLE) AS volume, {_two('score', 4)} AS score,
+           {_two('avg_sentiment', 4)} AS avg_sentiment, strftime({AS_OF}, {STAMP}) AS last_updated
+    FROM (SELECT label, volume, avg_sentiment, avg_sentiment * (volume / (volume + 2.0)) AS score
+          FROM (SELECT label, count(*) AS volume,
+                       sum(CAST(round(compound * 10000) AS BIGINT)) / (count(*) * 10000) AS avg_sentiment
+                FROM labelled JOIN compounds ON compounds.title_id = i GROUP BY label))
+    JOIN articles ON articles.title_id = label WHERE abs(score) >= 0.001""", "compounds")
 _add("l7_levenshtein", f"""
     SELECT title_id, anchor_id, {_two('''CASE WHEN greatest(length(title), length(main_title)) = 0 THEN 1.0
         ELSE (greatest(length(title), length(main_title)) - levenshtein(lower(title), lower(main_title)))

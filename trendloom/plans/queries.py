@@ -630,6 +630,5 @@ def t3_topic_stream(spark, sf_dir):
     lexicon = samples.lexicon(spark, sf_dir)
     streams.stream_topics(stream, lexicon, store, f"{store.base}/_stream", _batch_time).awaitTermination()
     return store.read(jobs.CLUSTERS, schemas.CLUSTERS).select(
-        "title_id", "main_title", "avg_levenshtein", "avg_jaccard", "volume", "score", "avg_sentiment",
-        time_text("last_updated"),
+        "title_id", "main_title", "avg_jaccard", "volume", "score", "avg_sentiment", time_text("last_updated")
     )
