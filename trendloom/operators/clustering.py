@@ -224,8 +224,7 @@ def _mean_of_hundredths(column: str):
 
 def cluster_averages(measured: DataFrame) -> DataFrame:
     """One row per topic: title, volume, latest time and mean similarities of the rounded values."""
-    return measured.groupBy("anchor_id").agg(
-        F.min_by("main_title", "title_id").alias("main_title"),
+    return measured.groupBy("anchor_id", "main_title").agg(
         _mean_of_hundredths("levenshtein_similarity").alias("avg_levenshtein"),
         _mean_of_hundredths("jaccard_similarity").alias("avg_jaccard"),
         F.count(F.lit(1)).cast("double").alias("volume"),
@@ -255,8 +254,7 @@ def cluster_report(measured: DataFrame) -> DataFrame:
             ).alias("metrics_payload")
         )
     )
-    topics = measured.groupBy("anchor_id").agg(
-        F.min_by("main_title", "title_id").alias("cluster_master"),
+    topics = measured.groupBy("anchor_id", F.col("main_title").alias("cluster_master")).agg(
         F.count(F.lit(1)).alias("volume_count"),
         F.date_format(F.max("published_at"), "yyyy-MM-dd HH:mm:ss").alias("latest_update_time"),
     )

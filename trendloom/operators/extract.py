@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom import schemas
 from trendloom.functions.dom import Element, parse_page
+from trendloom.session import ensure_checkpoint_dir
 
 # Fixed value: the date mark every extracted record carries.
 DATE_MARK = "Captured"
@@ -153,8 +154,12 @@ def extract_records(pages: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def extract_with_fallback(static_pages: DataFrame, browser: DataFrame, configs: DataFrame) -> DataFrame:
-    """Extract from the static capture; sites that gave nothing are read from their browser capture."""
-    first = extract_records(static_pages, configs)
+    """Extract from the static capture; sites that gave nothing are read from their browser capture.
+
+    The first extraction is written once, since it is both returned and searched for its sites.
+    """
+    ensure_checkpoint_dir(static_pages.sparkSession)
+    first = extract_records(static_pages, configs).checkpoint()
     served = first.select("site").distinct()
     second = extract_records(browser.join(served, "site", "left_anti"), configs)
     return first.unionByName(second)

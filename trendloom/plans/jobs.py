@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from trendloom import schemas
 from trendloom.operators import clean, clustering, extract, scoring, tables
+from trendloom.session import ensure_checkpoint_dir
 from trendloom.sources import articles as article_scans
 from trendloom.sources import configs as config_scans
 from trendloom.sources.pages import browser_pages, resolve_attempts
@@ -30,8 +31,10 @@ def records_to_articles(
     store: TableStore, records: DataFrame, as_of: Column, batch: tuple[str, int] | None = None
 ) -> int:
     """Clean extracted records and append the new titles."""
+    ensure_checkpoint_dir(store.spark)
     arrived = records.select("*", extract.arrival_seq())
-    fresh = tables.new_articles(all_articles(store), clean.clean_records(arrived), as_of)
+    cleaned = clean.clean_records(arrived).checkpoint()
+    fresh = tables.new_articles(all_articles(store), cleaned, as_of)
     return store.commit(append={OPEN: fresh}, batch=batch)[OPEN]
 
 
@@ -57,10 +60,11 @@ def cluster_open_articles(
     ``full`` clusters all articles anew: it appends new topics and links every article to them, the
     topics of earlier runs stay.
     """
+    ensure_checkpoint_dir(store.spark)
     waiting = tables.with_cluster_column(all_articles(store) if full else store.read(OPEN, schemas.ARTICLES))
     scanned = article_scans.scan_articles(waiting, only_unassigned=not full)
     members = clustering.cluster_articles(scanned, **options).checkpoint()
-    averages = clustering.cluster_averages(clustering.measure_members(scanned, members))
+    averages = clustering.cluster_averages(clustering.measure_members(scanned, members)).checkpoint()
     clusters = tables.new_clusters(store.read(CLUSTERS, schemas.CLUSTERS), averages).checkpoint()
     linked = tables.link_articles(waiting, members, clusters)
     nothing = waiting.limit(0)
@@ -85,6 +89,7 @@ def rescore_topics(
     ``jaccard='stored'`` uses the measured member cohesion instead of the constant; ``unlink`` also nulls
     the link of articles whose topic was removed.
     """
+    ensure_checkpoint_dir(store.spark)
     linked = store.read(LINKED, schemas.ARTICLES)
     clusters = tables.with_score_columns(store.read(CLUSTERS, schemas.CLUSTERS))
     members = scoring.cluster_members(linked)

@@ -227,7 +227,7 @@ CTES["compounds"] = (("sums",), f"""
         SELECT title_id, {_two('greatest(-1.0, least(1.0, t / sqrt(t * t + 15.0)))', 4)} AS compound
         FROM (SELECT title_id, s + CASE WHEN s > 0 THEN emphasis WHEN s < 0 THEN -emphasis ELSE 0 END AS t FROM sums)""")
 CTES["measures"] = (("topics", "compounds"), """
-        SELECT cluster_id, count(*) AS volume, 1.0 AS avg_jaccard,
+        SELECT cluster_id, count(*) AS volume, 1.0::DOUBLE AS avg_jaccard,
                sum(CAST(round(compound * 10000) AS BIGINT)) / (count(*) * 10000) AS avg_sentiment
         FROM topics JOIN compounds USING (title_id) GROUP BY cluster_id""")
 CTES["actions"] = (("measures", "history"), f"""
@@ -241,7 +241,7 @@ CTES["actions"] = (("measures", "history"), f"""
 CTES["set_actions"] = (("topics",), f"""
         SELECT DISTINCT cluster_id * 2 % 70 AS cluster_id,
                CASE WHEN cluster_id * 2 % 70 % 6 = 0 THEN 0.0 ELSE cluster_id * 2 % 70 / 100.0 END AS calculated_score,
-               cluster_id * 2 % 70 / 200.0 AS avg_sentiment, 1.0 AS avg_jaccard, {AS_OF} AS evaluated_at,
+               cluster_id * 2 % 70 / 200.0 AS avg_sentiment, 1.0::DOUBLE AS avg_jaccard, {AS_OF} AS evaluated_at,
                CASE WHEN cluster_id * 2 % 70 % 6 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS action
         FROM topics""")
 CTES["appended"] = (("anchored", "clusters"), r"""
@@ -386,7 +386,7 @@ def _with_labels(body: str, *needs: str) -> str:
 
 ORACLE_SQL["l6_greedy_clusters"] = _with_labels("SELECT i AS title_id, label AS anchor_id FROM labelled")
 ORACLE_SQL["t3_topic_stream"] = _with_labels(f"""
-    SELECT title_id, title AS main_title, 1.0 AS avg_jaccard, CAST(volume AS DOUBLE) AS volume, {_two('score', 4)} AS score,
+    SELECT title_id, title AS main_title, 1.0::DOUBLE AS avg_jaccard, CAST(volume AS DOUBLE) AS volume, {_two('score', 4)} AS score,
            {_two('avg_sentiment', 4)} AS avg_sentiment, strftime({AS_OF}, {STAMP}) AS last_updated
     FROM (SELECT label, volume, avg_sentiment, avg_sentiment * (volume / (volume + 2.0)) AS score
           FROM (SELECT label, count(*) AS volume,
@@ -428,7 +428,7 @@ _add("a3_payload_grouping", """
     SELECT cluster_id, count(*) OVER (PARTITION BY cluster_id) AS volume_count, title_id // 1024 AS part,
            CAST(row_number() OVER (PARTITION BY cluster_id, title_id // 1024 ORDER BY title_id) - 1 AS INT) AS position,
            title_id AS db_serial_number, title AS headline_text, md5(summary) AS summary_digest,
-           1.0 AS jaccard_similarity
+           1.0::DOUBLE AS jaccard_similarity
     FROM topics""", "topics")
 _add("a4_mean_jaccard", f"""
     SELECT anchor_id % 50 AS cluster_id,
@@ -445,12 +445,12 @@ _add("k4_article_links", """
     SELECT title_id, CASE WHEN title_id % 3 <> 0 THEN appended.cluster_id ELSE topics.cluster_id END AS cluster_id
     FROM topics JOIN members USING (title_id) JOIN appended USING (anchor_id)""", "members", "appended")
 _add("k5_schema_evolution", """
-    SELECT cluster_id, main_title, volume, 0.0 AS score, 0.0 AS avg_sentiment, 0.0 AS avg_jaccard,
+    SELECT cluster_id, main_title, volume, 0.0::DOUBLE AS score, 0.0::DOUBLE AS avg_sentiment, 0.0::DOUBLE AS avg_jaccard,
            (SELECT count(*) FROM articles) AS article_rows, CAST(0 AS BIGINT) AS article_links
     FROM clusters""", "clusters")
 _UPDATED = f"""
     SELECT c.cluster_id, main_title, volume, coalesce(calculated_score, score) AS score,
-           coalesce(a.avg_sentiment, 0.0) AS avg_sentiment, coalesce(a.avg_jaccard, 0.0) AS avg_jaccard,
+           coalesce(a.avg_sentiment, 0.0::DOUBLE) AS avg_sentiment, coalesce(a.avg_jaccard, 0.0::DOUBLE) AS avg_jaccard,
            strftime(coalesce(evaluated_at, last_updated), {STAMP}) AS last_updated
     FROM stored_clusters c
     LEFT JOIN (SELECT * FROM set_actions WHERE action = 'UPSERT') a USING (cluster_id)"""
