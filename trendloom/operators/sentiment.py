@@ -19,7 +19,6 @@ from trendloom.functions import lexicon_rules as rules
 _PUNCTUATION = r"!-/:-@\[-`{-~"  # the ASCII punctuation ranges
 TEXT_ROW = -1
 _NEIGHBOURS = {"p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
-_MODIFIERS = sorted({*rules.INTENSIFIERS, *rules.DAMPENERS, *rules.NEGATIONS, "least", "this", "so"})
 
 
 def words(text: Column) -> Column:
@@ -146,21 +145,15 @@ def compound_sentiment(
     )
     # Only the words found and one row per text go on from here.
     hits = hits.filter(F.col("valence").isNotNull() | (F.col("i") == TEXT_ROW))
-    # Modifiers that are sentiment words themselves do not modify; the list is bounded by the fixed words.
-    inert = F.coalesce(
-        lexicon.filter(F.col("token").isin(_MODIFIERS) | F.contains("token", F.lit("n't")))
-        .agg(F.collect_set("token"))
-        .scalar(),
-        F.array().cast("array<string>"),
-    )
-    # The phrase rule looks three words back.
-    known = lexicon.select(F.col("token").alias("_far"), F.lit(True).alias("p3_known"))
-    hits = hits.join(known, F.lower("p3") == F.col("_far"), "left").drop("_far")
+    # A neighbour that is a sentiment word itself does not modify; one lookup per neighbour tells.
+    for name in ("p1", "p2", "p3"):
+        known = lexicon.select(F.col("token").alias("_known"))
+        hits = hits.join(known, F.lower(name) == F.col("_known"), "left").withColumn(
+            f"{name}_modifies", F.col(name).isNotNull() & F.col("_known").isNull()
+        ).drop("_known")
 
     def modifies(name: str) -> Column:
-        if name == "p3":
-            return F.col("p3").isNotNull() & F.col("p3_known").isNull()
-        return F.col(name).isNotNull() & ~F.array_contains(inert, F.lower(name))
+        return F.col(f"{name}_modifies")
 
     shout = F.when(F.col("valence") > 0, F.lit(rules.CAPITALS)).otherwise(F.lit(-rules.CAPITALS))
     scored = hits.withColumn(

@@ -25,6 +25,7 @@ COSINE_DIGITS = 6
 BLOCK_ROWS = 2048
 _CELL_BUDGET = 8_000_000  # doubles held at a time while two blocks are compared
 _STRIP_COLUMNS = 128
+_PAIR_SALTS = 16
 
 
 # ---------------------------------------------------------------- vectors
@@ -131,26 +132,28 @@ def block_pairs(blocked: DataFrame, gap_seconds: int, with_self: bool = True) ->
     """Block pairs that can hold an earlier article within twice the gap, with the times that can meet.
 
     Twice the gap loses nothing: an article and its candidate both lie within one gap of the anchor.
-    Only occupied time cells are joined, by equality.
+    Only occupied time cells are joined, by equality; a salt spreads the blocks of a hot cell.
     """
     reach = 2 * gap_seconds
     cells = blocked.groupBy("block", "bucket").agg(
         F.min("title_id").alias("lo"), F.max("title_id").alias("hi"),
         F.min("t").alias("t_lo"), F.max("t").alias("t_hi"),
     )
+    near_buckets = F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.col("bucket") + d)
     seekers = cells.select(
         F.col("block").alias("block_i"), F.col("hi"), F.col("t_lo").alias("ti_lo"), F.col("t_hi").alias("ti_hi"),
-        F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.col("bucket") + d)).alias("bucket"),
-    )
+        F.explode(near_buckets).alias("bucket"),
+    ).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_PAIR_SALTS - 1).cast("long"))))
     found = cells.select(
-        F.col("block").alias("block_j"), "lo", F.col("t_lo").alias("tj_lo"), F.col("t_hi").alias("tj_hi"), "bucket"
+        F.col("block").alias("block_j"), "lo", F.col("t_lo").alias("tj_lo"), F.col("t_hi").alias("tj_hi"), "bucket",
+        (F.col("block") % _PAIR_SALTS).alias("salt"),
     )
     near = (
         (F.col("lo") < F.col("hi"))
         & (F.col("tj_lo") <= F.col("ti_hi") + reach)
         & (F.col("tj_hi") >= F.col("ti_lo") - reach)
     )
-    met = seekers.join(found, "bucket").filter(near)
+    met = seekers.join(found, ["bucket", "salt"]).filter(near)
     if not with_self:
         met = met.filter("block_i <> block_j")
     return met.groupBy("block_i", "block_j").agg(

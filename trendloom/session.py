@@ -15,6 +15,7 @@ def build_session(app_name: str = "trendloom", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
