@@ -618,7 +618,7 @@ def t2_article_stream(spark, sf_dir):
 @query
 def t3_topic_stream(spark, sf_dir):
     store = scratch_store(spark)
-    store.commit(append={jobs.OPEN: samples.articles(spark, sf_dir)})
+    store.commit(append={jobs.OPEN: samples.articles(spark, sf_dir, spread=True)})
     documents = samples.table(spark, sf_dir, "documents")
     stream = _stream_of(documents, sf_dir, "documents").select("doc_id")
     lexicon = samples.lexicon(spark, sf_dir)
