@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trendloom.llm.exact_dedup import exact_groups
+from trendloom.llm.mixing import mix_report
+from trendloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from trendloom.llm.packing import pack_documents, packing_digest
 
 
@@ -13,13 +16,23 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 1, 2, 3 of their sources."""
+    return mix_report(_read(spark, sf_dir, "documents"))
+
+
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts among all documents."""
+    return exact_groups(_read(spark, sf_dir, "documents"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing_digest(pack_documents(_read(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_mix_sources": mix_sources,
+    "op8_exact_dedup": exact_dedup,
     "op9_best_fit_packing": best_fit_packing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
