@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # N-grams of 1 to 3 characters share this many cells per language; with it the model has a fixed size.
 CELLS = 1 << 15
@@ -209,9 +210,13 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     and no spans. The score is the share of the letters that carry the main language, times its
     probability there among all languages. Ties go to the language that sorts first.
     """
-    schema = docs.schema.add("_lang_pred", "string").add("_lang_score", "double").add(
-        "_lang_spans", "array<struct<lang:string,first:int,words:int>>"
+    spans = T.ArrayType(
+        T.StructType().add("lang", T.StringType()).add("first", T.IntegerType()).add("words", T.IntegerType())
     )
+    schema = T.StructType([
+        *docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType()),
+        T.StructField("_lang_spans", spans),
+    ])
 
     def predict(batches):
         import pyarrow as pa

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.tokens import WordEncoder, default_tokenizer
+from trendloom.llm.tokens import default_tokenizer, process_encoder
 
 OUT = (
     "doc_id bigint, piece int, start bigint, length bigint, sequence_id bigint, offset bigint, ids binary"
@@ -75,7 +75,7 @@ def pack_documents(
 
         names = ("doc_id", "piece", "start", "length", "sequence_id", "offset", "ids")
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        encoder, bins = WordEncoder(path), OpenBins(capacity, open_bins)
+        encoder, bins = process_encoder(path), OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << 33
         end = np.array([end_id], np.uint32)
 
@@ -85,8 +85,10 @@ def pack_documents(
 
         rows, held = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.concatenate([encoder.encode(text.as_py()), end]).astype("<u4", copy=False)
+            doc_ids, column = batch.column("doc_id").to_pylist(), batch.column("text")
+            encoded = (x for at in range(0, len(doc_ids), 64) for x in encoder.encode_all(column.slice(at, 64).to_pylist()))
+            for doc_id, ids in zip(doc_ids, encoded):
+                ids = np.concatenate([ids, end]).astype("<u4", copy=False)
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     number, offset = bins.place(len(part))

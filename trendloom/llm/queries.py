@@ -7,15 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trendloom.llm.exact_dedup import exact_groups
+from trendloom.llm.language import language_report
+from trendloom.llm.license_texts import TEMPLATES
+from trendloom.llm.licenses import scan_licenses
+from trendloom.llm.materialise import slot_index, training_shards
 from trendloom.llm.mixing import mix_report
 from trendloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from trendloom.llm.packing import pack_documents, packing_digest
+from trendloom.llm.quality import quality_report
+from trendloom.llm.url_rules import url_verdicts
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return scan_licenses(_read(spark, sf_dir, "documents"), sorted(TEMPLATES.items()))
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the urls of all pages; labels are those of the documents with the pages' ids."""
+    return url_verdicts(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality figures and verdicts of all documents."""
+    return quality_report(_read(spark, sf_dir, "documents"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents."""
+    return language_report(_read(spark, sf_dir, "documents"))
+
+
+def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences in training order."""
+    return slot_index(training_shards(_read(spark, sf_dir, "documents")))
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 1, 2, 3 of their sources."""
     return mix_report(_read(spark, sf_dir, "documents"))
@@ -32,7 +63,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": license_scan,
+    "op2_url_filter": url_filter,
+    "op3_quality_rules": quality_rules,
     "op5_mix_sources": mix_sources,
+    "op6_language_id": language_id,
+    "op7_training_order": training_order,
     "op8_exact_dedup": exact_dedup,
     "op9_best_fit_packing": best_fit_packing,
 }

@@ -1,7 +1,7 @@
 """Token ids of whole texts, computed word by word inside a task.
 
 The word-level vocabulary drops white space, so the ids of a text are the ids of its words one after
-another. Words repeat a lot; each distinct word of a task is encoded once.
+another. Words repeat a lot; each distinct word is encoded once in a worker process.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ import os
 
 import numpy as np
 
-# Distinct words kept per task; beyond it the memory is emptied and filled anew. Ids do not depend on it.
-WORDS_KEPT = 400_000
+# Distinct words kept per process; beyond it the memory is emptied and filled anew. Ids do not depend on it.
+WORDS_KEPT = 1_500_000
 
 
 def default_tokenizer() -> str:
@@ -52,20 +52,36 @@ class WordEncoder:
             self._used += len(ids)
             self._code[word] = at
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of one text as uint32; empty for null and white space."""
-        words = text.encode("utf-8").split() if text else []
-        if not words:
-            return np.empty(0, np.uint32)
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text as uint32; empty for null and white space."""
         if len(self._code) > self._kept:
             self._reset()
-        get = self._code.get
-        codes = [get(w, -1) for w in words]
-        if -1 in codes:
-            self._learn([w for w in dict.fromkeys(words) if w not in self._code])
-            codes = [get(w, -1) for w in words]
+        split = [text.encode("utf-8").split() if text else [] for text in texts]
+        words = [w for text in split for w in text]
+        codes = list(map(self._code.get, words))
+        if None in codes:
+            self._learn(list(dict.fromkeys(w for w, c in zip(words, codes) if c is None)))
+            codes = list(map(self._code.get, words))
         codes = np.array(codes, np.int64)
         size = self._size[codes]
         ends = np.cumsum(size)
         place = np.repeat(self._first[codes] - (ends - size), size)
-        return self._flat[place + np.arange(int(ends[-1]))]
+        flat = self._flat[place + np.arange(len(place))]
+        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
+
+
+def process_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process, used by one task after another.
+
+    It is kept with the imported tokenizer library: this package's own modules travel with each task.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
