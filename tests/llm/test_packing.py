@@ -95,3 +95,12 @@ def test_open_bins_like_a_plain_list():
                 gone = [p for p in plain if p[0] == least and p[1] not in sum(bins.bins.values(), [])]
                 assert len(gone) == 1
                 plain.remove(gone[0])
+
+
+def test_every_kind_of_word_is_encoded_as_by_the_tokenizer(tokenizer):
+    words = "Straße ẞ É él él. ÉL, İ K Å naïve. a.b a., don't I'll 'S x² ½ ÿ Ÿ ﬁ ñandú, São-Paulo ... , . ×÷ ªº µ é É. ­ x y 漢字 абв ß. SS".split(" ")
+    encoder = WordEncoder(default_tokenizer(), words_kept=20)
+    for k in range(0, len(words), 5):
+        texts = [" ".join(words[k : k + 5]), *words[k : k + 5], None]
+        for text, ids in zip(texts, encoder.encode_all(texts)):
+            assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text

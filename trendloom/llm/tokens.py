@@ -7,11 +7,23 @@ another. Words repeat a lot; each distinct word is encoded once in a worker proc
 from __future__ import annotations
 
 import os
+import re
+from itertools import chain
 
 import numpy as np
 
 # Distinct words kept per process; beyond it the memory is emptied and filled anew. Ids do not depend on it.
-WORDS_KEPT = 1_500_000
+WORDS_KEPT = 1_200_000
+# Words of these letters with at most one full stop or comma behind them: their ids are those of the word in
+# lower case, which the vocabulary takes as one unit, and of the mark. All other words take the long way.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes for themselves, the others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
 
 
 def default_tokenizer() -> str:
@@ -29,6 +41,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._units = Tokenizer(self._tokenizer.model)
+        self._letter = byte_letters()
         self._kept = words_kept
         self._reset()
 
@@ -39,18 +53,55 @@ class WordEncoder:
         self._first = np.empty(1 << 14, np.int64)
         self._size = np.empty(1 << 14, np.int64)
 
+    def _store(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember new words, whose ids lie one after another in ``ids``."""
+        at, used = len(self._code), self._used + len(ids)
+        if used > len(self._flat):
+            self._flat = np.resize(self._flat, 2 * used)
+        if at + len(words) > len(self._first):
+            self._first = np.resize(self._first, 2 * (at + len(words)))
+            self._size = np.resize(self._size, 2 * (at + len(words)))
+        self._flat[self._used : used] = ids
+        self._first[at : at + len(words)] = self._used + np.cumsum(sizes) - sizes
+        self._size[at : at + len(words)] = sizes
+        self._used = used
+        self._code.update(zip(words, range(at, at + len(words))))
+
+    def _gather(self, codes: np.ndarray) -> np.ndarray:
+        """Ids of known words, one after another."""
+        size = self._size[codes]
+        ends = np.cumsum(size)
+        place = np.repeat(self._first[codes] - (ends - size), size)
+        return self._flat[place + np.arange(len(place))]
+
+    def _encode(self, tokenizer, words: list[bytes], texts: list[str]) -> None:
+        found = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._store(words, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+
     def _learn(self, words: list[bytes]) -> None:
-        found = self._tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, found):
-            ids, at = encoding.ids, len(self._code)
-            while self._used + len(ids) > len(self._flat):
-                self._flat = np.resize(self._flat, 2 * len(self._flat))
-            if at == len(self._first):
-                self._first, self._size = np.resize(self._first, 2 * at), np.resize(self._size, 2 * at)
-            self._flat[self._used : self._used + len(ids)] = ids
-            self._first[at], self._size[at] = self._used, len(ids)
-            self._used += len(ids)
-            self._code[word] = at
+        long_way, plain, stems = [b".", b","], [], {}
+        for word in words:
+            text = word.decode("utf-8")
+            match = PLAIN.fullmatch(text)
+            if match is None:
+                long_way.append(word)
+                continue
+            stem = match[1].lower()
+            key = stem.encode("utf-8")
+            if key not in self._code:
+                stems[key] = stem if stem.isascii() else "".join(map(self._letter.__getitem__, key))
+            if key != word:
+                plain.append((word, key, match[2].encode()))
+        long_way = [w for w in dict.fromkeys(long_way) if w not in self._code]
+        self._encode(self._tokenizer, long_way, [w.decode("utf-8") for w in long_way])
+        self._encode(self._units, list(stems), list(stems.values()))
+        if plain:
+            code = self._code
+            # Every word is its stem and a mark; where there is no mark, the stem alone.
+            parts = np.array([x for _, stem, mark in plain for x in (code[stem], code[mark] if mark else -1)], np.int64)
+            sizes = np.where(parts < 0, 0, self._size[parts]).reshape(-1, 2).sum(axis=1)
+            self._store([w for w, _, _ in plain], self._gather(parts[parts >= 0]), sizes)
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text as uint32; empty for null and white space."""
@@ -63,11 +114,8 @@ class WordEncoder:
             self._learn(list(dict.fromkeys(w for w, c in zip(words, codes) if c is None)))
             codes = list(map(self._code.get, words))
         codes = np.array(codes, np.int64)
-        size = self._size[codes]
-        ends = np.cumsum(size)
-        place = np.repeat(self._first[codes] - (ends - size), size)
-        flat = self._flat[place + np.arange(len(place))]
-        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
+        flat = self._gather(codes)
+        ends = np.concatenate([[0], np.cumsum(self._size[codes])])[np.cumsum([0, *map(len, split)])]
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
     def encode(self, text: str | None) -> np.ndarray:
