@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trendloom.llm.exact_dedup import exact_groups
+from trendloom.llm.jaccard_join import linked_documents
 from trendloom.llm.language import language_report
 from trendloom.llm.license_texts import TEMPLATES
 from trendloom.llm.licenses import scan_licenses
@@ -15,6 +16,7 @@ from trendloom.llm.mixing import mix_report
 from trendloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from trendloom.llm.packing import pack_documents, packing_digest
 from trendloom.llm.quality import quality_report
+from trendloom.llm.substring_dedup import drop_repeats
 from trendloom.llm.url_rules import url_verdicts
 
 
@@ -47,6 +49,18 @@ def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_index(training_shards(_read(spark, sf_dir, "documents")))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of similar texts among all documents."""
+    return linked_documents(_read(spark, sf_dir, "documents"))
+
+
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that repeat a passage of an earlier one."""
+    return drop_repeats(_read(spark, sf_dir, "documents"), with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 1, 2, 3 of their sources."""
     return mix_report(_read(spark, sf_dir, "documents"))
@@ -66,9 +80,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_url_filter": url_filter,
     "op3_quality_rules": quality_rules,
+    "op4_ngram_jaccard_join": ngram_jaccard_join,
     "op5_mix_sources": mix_sources,
     "op6_language_id": language_id,
     "op7_training_order": training_order,
     "op8_exact_dedup": exact_dedup,
     "op9_best_fit_packing": best_fit_packing,
+    "op10_substring_dedup": substring_dedup,
 }
