@@ -263,6 +263,11 @@ def language_report(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGU
 
 
 def keep_identified(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs`` that have a language: documents without any letter go."""
+    """The rows of ``docs`` that have a language: null texts and documents without any letter go.
+
+    Where no row can teach a language, every document with a letter stays.
+    """
     model = train(docs, sample_per_language)
+    if not model.languages:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     return identify(docs, model).where(F.col("_lang_pred") != UNKNOWN).select(*docs.columns)
