@@ -52,4 +52,98 @@ FROM (
 )
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_mix_sources": OP5, "op8_exact_dedup": OP8}
+OP2 = r"""
+WITH parts AS (
+  SELECT page_id, url,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), tokens AS (
+  SELECT url, list_distinct(list_filter(list_concat(
+           list_transform(list_reverse(string_split(host, '.')), lambda x, i: 'h' || (i - 1) || ':' || x),
+           list_transform(regexp_split_to_array(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[/.]'), lambda x: 'p:' || x),
+           list_transform(regexp_extract_all(regexp_extract(url, '(?s)\?([^#]*)', 1), '(?:^|&)([^=&]+)', 1), lambda x: 'q:' || x)),
+         lambda t: NOT regexp_matches(t, '^\w+:$'))) AS tokens, page_id
+  FROM parts WHERE url IS NOT NULL
+), bad AS (
+  SELECT doc_id, max(CASE WHEN coalesce(quality = 0 OR toxic = 1, false) THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
+), labelled AS (
+  SELECT row_number() OVER () AS k, tokens, bad FROM tokens JOIN bad ON page_id = doc_id
+), n AS (
+  SELECT ceil(greatest(CAST(0.005 AS DOUBLE), CAST(5 AS DOUBLE) / count(*)) * count(*)) AS least FROM labelled
+), one AS (
+  SELECT k, bad, unnest(tokens) AS t FROM labelled
+), combos AS (
+  SELECT k, bad, [t] AS c FROM one
+  UNION ALL SELECT a.k, a.bad, [a.t, b.t] FROM one a JOIN one b ON a.k = b.k AND a.t < b.t
+  UNION ALL SELECT a.k, a.bad, [a.t, b.t, x.t] FROM one a JOIN one b ON a.k = b.k AND a.t < b.t JOIN one x ON a.k = x.k AND b.t < x.t
+), rules AS (
+  SELECT c, CAST(sum(bad) AS DOUBLE) / count(*) AS confidence FROM combos GROUP BY c
+  HAVING sum(bad) >= (SELECT least FROM n) AND CAST(sum(bad) AS DOUBLE) / count(*) >= 0.8
+), kept AS (
+  SELECT c FROM rules r WHERE NOT EXISTS (
+    SELECT 1 FROM rules p WHERE len(p.c) < len(r.c) AND p.confidence >= r.confidence AND list_has_all(r.c, p.c))
+), hits AS (
+  SELECT DISTINCT url FROM tokens JOIN kept ON list_has_all(tokens, c)
+), judged AS (
+  SELECT p.page_id, host, path, h.url IS NOT NULL AS matched,
+         CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts p LEFT JOIN hits h ON p.url = h.url
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN matched THEN 'block' ELSE 'allow' END AS verdict, matched
+FROM judged
+"""
+
+OP3 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT k, i, [words[i], words[i + 1], words[i + 2]] AS w FROM (SELECT k, words, unnest(range(1, len(words) - 1)) AS i FROM d)
+), again AS (
+  SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, w) AS n FROM windows) WHERE n > 1
+), inside AS (
+  SELECT k, count(DISTINCT i + j) AS n FROM again, (VALUES (0), (1), (2)) AS o(j) GROUP BY k
+), f AS (
+  SELECT d.k, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN inside ON d.k = inside.k
+), g AS (
+  SELECT * EXCLUDE (lines), CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         word_chars / CAST(greatest(n_words, 1) AS DOUBLE) AS a, n_symbols / CAST(greatest(word_chars, 1) AS DOUBLE) AS b,
+         (len(lines) - len(list_distinct(lines))) / CAST(greatest(len(lines), 1) AS DOUBLE) AS c,
+         n_repeat_words / CAST(greatest(n_words, 1) AS DOUBLE) AS e
+  FROM f
+), q AS (
+  SELECT lang, source, grouping(lang, source) AS level, count(*) AS n,
+         quantile_disc(a, 0.25) AS a1, quantile_disc(a, 0.75) AS a3, quantile_disc(b, 0.25) AS b1, quantile_disc(b, 0.75) AS b3,
+         quantile_disc(c, 0.25) AS c1, quantile_disc(c, 0.75) AS c3, quantile_disc(e, 0.25) AS e1, quantile_disc(e, 0.75) AS e3
+  FROM g WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source), (lang), ())
+), used AS (
+  SELECT g.*, q.* EXCLUDE (lang, source, n, level),
+         row_number() OVER (PARTITION BY g.k ORDER BY q.level) AS choice
+  FROM g LEFT JOIN q ON (q.n >= 50 OR q.level = 3)
+   AND (q.level = 3 OR g.lang IS NOT DISTINCT FROM q.lang) AND (q.level >= 1 OR g.source IS NOT DISTINCT FROM q.source)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed
+       AND NOT coalesce(a > a3 + greatest(6 * (a3 - a1), 1.5) OR a < a1 - greatest(6 * (a3 - a1), 1.5), false)
+       AND NOT coalesce(b > b3 + greatest(6 * (b3 - b1), 0.10), false)
+       AND NOT coalesce(c > c3 + greatest(6 * (c3 - c1), 0.05), false)
+       AND NOT coalesce(e > e3 + greatest(6 * (e3 - e1), 0.25), false) AS kept
+FROM used WHERE choice = 1
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": OP2, "op3_quality_rules": OP3, "op5_mix_sources": OP5, "op8_exact_dedup": OP8,
+}
