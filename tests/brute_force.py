@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 from trendloom.functions.text import ENGLISH_STOP_WORDS
 
@@ -40,7 +41,7 @@ def cosine(u, v):
     (a, counts_a), (b, counts_b) = u, v
     if not a or not b:
         return 0.0
-    if counts_a == counts_b:
+    if counts_a.keys() == counts_b.keys() and len({Fraction(k, counts_b[w]) for w, k in counts_a.items()}) == 1:
         return 1.0
     return min(round(sum(x * b[w] for w, x in a.items() if w in b), 6), 0.999999)
 

@@ -11,17 +11,18 @@ from trendloom.operators import clustering
 SCHEMA = "title_id long, title string, summary string, published_at timestamp"
 START = datetime(2026, 6, 22, 10, 0)
 
+# The first three titles, whose word overlaps are 0.2 and 0.18.
 MOCK = [
     (1001, "RBI keeps repo rate unchanged in latest policy meet",
-     "The Reserve Bank of India maintained status quo on the key repo rate in its meeting today, keeping it steady.",
+     "No change to the repo rate was voted at this month's meeting.",
      START),
     (1002, "RBI holding repo rate steady amid macro stability concerns",
-     "Citing ongoing global challenges, the RBI decided to keep the benchmark repo rate completely unchanged.",
+     "The repo rate stays where it was, the committee said.",
      START + timedelta(minutes=15)),
     (1003, "Central bank keeps key repo rate steady to manage inflation pressures",
-     "India's central bank kept its primary lending rate unchanged today.", START + timedelta(minutes=90)),
-    (1004, "Markets tank 500 points on global geopolitical tensions",
-     "Domestic equity indices crashed sharply today as indices dropped over 500 points.",
+     "Lenders expect the same rate through the autumn.", START + timedelta(minutes=90)),
+    (1004, "Harbour town reopens its old lighthouse to visitors",
+     "Guided tours climb the restored tower every weekend.",
      START + timedelta(hours=2)),
 ]
 
@@ -82,6 +83,18 @@ def test_exact_gap_is_inside(spark):
     assert run(spark, rows) == {1: 1, 2: 1, 3: 3} == brute_force.cluster(as_dicts(rows))
 
 
+def test_counts_in_one_proportion_are_copies(spark):
+    rows = [
+        (1, "alpha beta one two", "alpha beta one two", START),
+        (2, "gamma delta", "", START + timedelta(hours=1)),
+        (3, "alpha beta one two", "", START + timedelta(hours=73)),
+        (4, "alpha beta one two", "", START + timedelta(hours=72)),
+        (5, "alpha beta one two two", "", START + timedelta(hours=72)),
+    ]
+    found = run(spark, rows)
+    assert found == brute_force.cluster(as_dicts(rows)) and found[4] == 1 and found[3] == 3
+
+
 def test_articles_without_terms_stay_alone(spark):
     rows = [(1, "the and", "", START), (2, "the and", None, START), (3, "a", "", START)]
     assert run(spark, rows) == {1: 1, 2: 2, 3: 3}

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from trendloom import schemas
 from trendloom.operators import clean, similarity
 from trendloom.operators.sentiment import compound_sentiment
+from trendloom.operators.tables import latest_ticks, new_articles
 from trendloom.sources import articles as article_scans
 from trendloom.sources import samples
+from trendloom.sources.pages import resolve_attempts
 
 
 def plan(df):
@@ -27,6 +29,25 @@ def test_unassigned_filter_and_columns_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<title_id:bigint,cluster_id:bigint>" in text
 
 
+def below_first_exchange(df):
+    """The part of the physical plan that reads the input, up to the first shuffle."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    deepest = max((k for k, line in enumerate(lines) if "Exchange hashpartitioning" in line), key=lambda k: lines[k].index("Exchange"))
+    return "\n".join(lines[deepest:])
+
+
+def test_attempts_and_ticks_are_not_sorted_before_the_shuffle(spark, sf_dir):
+    attempts = resolve_attempts(samples.attempts(spark, sf_dir))
+    ticks = latest_ticks(samples.ticks(spark, sf_dir), "event_id")
+    for df in (attempts, ticks):
+        assert "Sort" not in below_first_exchange(df)
+
+
+def test_numbering_new_articles_has_no_window(spark, sf_dir):
+    new = new_articles(samples.stored_articles(spark, sf_dir), samples.records(spark, sf_dir), samples.as_of())
+    assert "Window" not in plan(new)
+
+
 def test_headline_dedup_is_combined_before_the_shuffle(spark, sf_dir):
     text = plan(clean.first_headlines(samples.records(spark, sf_dir)))
     assert "partial_min_by" in text and "Window" not in text

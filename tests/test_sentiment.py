@@ -45,6 +45,11 @@ CASES = {
     "it was really the bomb": norm(3.0),
     "no good": norm(-1.2 + 1.9),
     ":) day": norm(2.0),
+    "kindof good": norm(1.9 - 0.293),
+    "sortof bad": norm(-2.5 + 0.293),
+    "very good and good": norm(2 * (1.9 + 0.293)),
+    "good and very good": norm(2 * 1.9),
+    "very good but good": norm((1.9 + 0.293) * (0.5 + 1.5)),
     "great happy good great happy good great happy good": norm(23.1),
 }
 
@@ -65,6 +70,12 @@ def test_null_text_and_bounds(spark):
     assert -1.0 <= compound_sentiment(loud, lexicon).first().compound < -0.99
 
 
+def test_repeated_tokens_count_once(spark):
+    lexicon = spark.createDataFrame([("good", 1.9), ("good", 1.9), ("good", 1.0)], "token string, valence double")
+    texts = spark.createDataFrame([(1, "good day")], "title_id long, text string")
+    assert compound_sentiment(texts, lexicon).first().compound == pytest.approx(norm(1.9))
+
+
 def test_lexicon_without_rows(spark):
     lexicon = spark.createDataFrame([], "token string, valence double")
     texts = spark.createDataFrame([(1, "good day")], "title_id long, text string")

@@ -21,9 +21,17 @@ def lit_time(value=NOW):
     return F.lit(value).cast("timestamp")
 
 
+def test_ordinals_of_sparse_numbers_without_a_window(spark):
+    df = spark.range(100_000).select((F.col("id") * 2_147_483_659).alias("seq"), F.lit("x").alias("g"))
+    rows = with_ordinal(df, "seq", ["g"])
+    assert "Window" not in rows._jdf.queryExecution().toString()
+    assert rows.where("ordinal <> seq DIV 2147483659 + 1").isEmpty() and rows.count() == 100_000
+    assert with_ordinal(df.limit(0), "seq").count() == 0
+
+
 def test_ordinals_are_dense_over_cells_and_groups(spark):
     df = spark.range(0, 1000, 7).select((F.col("id") * 1000003).alias("seq"), (F.col("id") % 3).alias("g"))
-    rows = with_ordinal(df, "seq", ["g"], bits=4).orderBy("g", "seq").collect()
+    rows = with_ordinal(df, "seq", ["g"]).orderBy("g", "seq").collect()
     assert [r.ordinal for r in rows] == list(range(1, len(rows) + 1))
 
 

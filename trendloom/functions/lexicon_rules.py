@@ -12,7 +12,7 @@ INTENSIFIERS: tuple[str, ...] = (
 )
 DAMPENERS: tuple[str, ...] = (
     "almost", "barely", "hardly", "kinda", "kind-of", "less", "little", "marginally", "occasionally",
-    "partly", "scarcely", "slightly", "somewhat", "sorta", "sort-of",
+    "kindof", "partly", "scarcely", "slightly", "somewhat", "sorta", "sortof", "sort-of",
 )
 DAMPENER_PAIRS: tuple[str, ...] = ("just enough", "kind of", "sort of")
 

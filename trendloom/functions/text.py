@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Common English function words left out of the term vectors. The list is a default;
-# every operator that uses it takes another one as ``stop_words``.
+# Spark's default English stop words. The list is a default; every operator that uses it takes
+# another one as ``stop_words``.
 ENGLISH_STOP_WORDS: tuple[str, ...] = (
-    "about", "above", "after", "again", "against", "all", "am", "an", "and", "any", "are", "as", "at",
-    "be", "because", "been", "before", "being", "below", "between", "both", "but", "by", "can", "could",
-    "did", "do", "does", "doing", "don", "down", "during", "each", "few", "for", "from", "further",
-    "had", "has", "have", "having", "he", "her", "here", "hers", "herself", "him", "himself", "his",
-    "how", "if", "in", "into", "is", "it", "its", "itself", "just", "me", "more", "most", "my", "myself",
-    "no", "nor", "not", "now", "of", "off", "on", "once", "only", "or", "other", "our", "ours",
-    "ourselves", "out", "over", "own", "same", "she", "should", "so", "some", "such", "than", "that",
-    "the", "their", "theirs", "them", "themselves", "then", "there", "these", "they", "this", "those",
-    "through", "to", "too", "under", "until", "up", "very", "was", "we", "were", "what", "when",
-    "where", "which", "while", "who", "whom", "why", "will", "with", "would", "you", "your", "yours",
-    "yourself", "yourselves",
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself",
+    "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself",
+    "they", "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that",
+    "these", "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had",
+    "having", "do", "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as",
+    "until", "while", "of", "at", "by", "for", "with", "about", "against", "between", "into", "through",
+    "during", "before", "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off",
+    "over", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why", "how",
+    "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not",
+    "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don", "should",
+    "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd", "we'd",
+    "they'd", "i'm", "you're", "he's", "she's", "it's", "we're", "they're", "i've", "we've", "you've",
+    "they've", "isn't", "aren't", "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't",
+    "didn't", "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could",
+    "here's", "how's", "let's", "ought", "that's", "there's", "what's", "when's", "where's", "who's",
+    "why's", "would",
 )
 
 # Editorial prefixes and suffixes removed by ``strip_headline_noise``.

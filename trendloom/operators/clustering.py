@@ -12,7 +12,7 @@ A block is final once the blocks before it are, so the result equals the sequent
 rounds are bounded by the longest chain of blocks, not of articles. Nothing is capped or sampled: what
 leaves a task is one row per article and block pair.
 
-Copies are folded first. Articles with equal term counts have cosine 1, so a later copy joins the
+Copies are folded first. Articles with term counts in one proportion have cosine 1, so a later copy joins the
 earliest topic in reach that already holds a copy, and no comparison is needed for it. Only one copy per
 time cell enters the comparison; the rest is attached by a join, and copies that find no topic in reach
 are moved into the comparison until there are none.
@@ -45,7 +45,6 @@ def cluster_articles(
     min_cosine: float = sim.MIN_COSINE,
     min_levenshtein: float = MIN_LEVENSHTEIN,
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
-    max_df: float | None = None,
     block_rows: int = sim.BLOCK_ROWS,
 ) -> DataFrame:
     """``title_id, anchor_id`` for every article; an anchor is the first article of its topic.
@@ -54,7 +53,7 @@ def cluster_articles(
     """
     ensure_checkpoint_dir(articles.sparkSession)
     gap = max_hours_gap * 3600
-    vectors = sim.article_vectors(articles, stop_words, max_df).checkpoint()
+    vectors = sim.article_vectors(articles, stop_words).checkpoint()
     cell = F.floor(F.col("t") / max(gap // 4, 1))
     compared = vectors.groupBy("sig", cell.alias("cell")).agg(F.min("title_id").alias("title_id"))
     compared = compared.select("title_id").checkpoint()
@@ -101,7 +100,7 @@ def _attach_copies(vectors, compared, labels, gap, min_levenshtein) -> DataFrame
         .join(compared, "title_id", "left_anti")
         .withColumn("reach", F.floor(F.col("t") / gap))
     )
-    in_reach = (F.abs(F.col("t") - F.col("label_t")) <= gap) & (F.col("first_id") < F.col("title_id"))
+    in_reach = sim.within_gap(sim.gap_seconds(F.col("t"), F.col("label_t")), gap // 3600) & (F.col("first_id") < F.col("title_id"))
     found = (
         copies.join(holders, ["sig", "reach"])
         .filter(in_reach)

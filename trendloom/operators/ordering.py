@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from trendloom.session import ensure_checkpoint_dir
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -31,44 +33,30 @@ def _pick(df, keys, order, pick) -> DataFrame:
 
 
 def with_ordinal(
-    df: DataFrame, seq: str, order_by: Sequence[str] = (), name: str = "ordinal", bits: int = 16
+    df: DataFrame, seq: str, order_by: Sequence[str] = (), name: str = "ordinal"
 ) -> DataFrame:
-    """Number the rows 1, 2, ... in the order ``(*order_by, seq)``.
+    """Number the rows 1, 2, ... in the order ``(*order_by, seq)``; ``seq`` is unique within ``order_by``.
 
-    ``seq`` is a BIGINT that is unique within ``order_by``. Rows are counted in cells of ``2**bits``
-    consecutive ``seq`` values, so no cell can hold more rows than that; the cell counts are summed up
-    in two levels, and only the upper level (one row per ``2**(2*bits)`` values) meets in one task.
+    The rows are dealt out by ranges of that order and written with their place in their range. Each range
+    then begins where those before it end. One number per range comes to the driver, never a row.
     """
-    order_by = list(order_by)
-    cell = F.shiftright(F.col(seq), bits)
-    celled = df.withColumn("_cell", cell)
-    counts = (
-        celled.groupBy(*order_by, "_cell")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_block", F.shiftright(F.col("_cell"), bits))
-    )
-    before = (Window.unboundedPreceding, -1)
-    upper = (
-        counts.groupBy(*order_by, "_block")
-        .agg(F.sum("_rows").alias("_block_rows"))
-        .withColumn(
-            "_block_start",
-            F.coalesce(
-                F.sum("_block_rows").over(Window.orderBy(*order_by, "_block").rowsBetween(*before)), F.lit(0)
-            ),
-        )
-        .drop("_block_rows")
-    )
-    in_block = Window.partitionBy(*order_by, "_block").orderBy("_cell").rowsBetween(*before)
-    starts = (
-        counts.join(upper, [*order_by, "_block"])
-        .withColumn("_start", F.col("_block_start") + F.coalesce(F.sum("_rows").over(in_block), F.lit(0)))
-        .select(*order_by, "_cell", "_start")
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    order = [*order_by, seq]
+    # The place is the range's number in the upper bits and a count from 0 in the lower 33.
+    placed = (
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id()).checkpoint()
     )
-    rank = F.row_number().over(Window.partitionBy(*order_by, "_cell").orderBy(seq))
+    sizes = placed.groupBy(F.shiftright("_place", 33).alias("_range")).agg(F.count(F.lit(1)).alias("n")).collect()
+    starts, before = [], 0
+    for r in sorted(sizes):
+        starts.append((r["_range"], before))
+        before += r["n"]
+    table = spark.createDataFrame(starts, "_range long, _start long")
+    within = F.col("_place") - F.shiftleft(F.col("_range"), 33)
     return (
-        celled.withColumn("_rank", rank)
-        .join(starts, [*order_by, "_cell"])
-        .withColumn(name, F.col("_start") + F.col("_rank"))
+        placed.withColumn("_range", F.shiftright("_place", 33)).join(table, "_range")
+        .withColumn(name, F.col("_start") + within + 1)
         .select(*df.columns, name)
     )

@@ -98,7 +98,11 @@ def topic_sentiment(members: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 def topic_measures(members: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``cluster_id, volume, avg_jaccard, avg_sentiment`` from one pass over the members."""
-    compound = member_sentiment(members, lexicon)
+    return measures_from_sentiment(members, member_sentiment(members, lexicon))
+
+
+def measures_from_sentiment(members: DataFrame, compound: DataFrame) -> DataFrame:
+    """The measures from sentiments that are known already; no text is read."""
     return (
         members.select("cluster_id", "title_id", "jaccard_similarity")
         .join(compound, "title_id")
@@ -116,11 +120,16 @@ def with_history(measures: DataFrame, history: DataFrame) -> DataFrame:
     return measures.join(history.select("cluster_id", "score", "last_evaluated_at"), "cluster_id", "left")
 
 
-def score_actions(measures: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
-    """One action per topic: the new score, or its removal once the score has faded."""
+def with_final(measures: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
+    """The measures with ``final``: the decayed stored score and the new energy, held within [-1, 1]."""
     base = F.coalesce(S.decayed("score", "last_evaluated_at", as_of), F.lit(0.0))
     energy = S.surge("avg_sentiment", "volume", "avg_jaccard")
-    final = with_history(measures, history).withColumn("final", S.clamp_unit(base + energy))
+    return with_history(measures, history).withColumn("final", S.clamp_unit(base + energy))
+
+
+def score_actions(measures: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
+    """One action per topic: the new score, or its removal once the score has faded."""
+    final = with_final(measures, history, as_of)
     dead = S.is_dead("final")
     return final.select(
         "cluster_id",

@@ -1,6 +1,6 @@
 """Lexicon sentiment with neighbour rules, as joins and one aggregation.
 
-Every word is exploded with its neighbours and looked up in the lexicon table, so the only shuffle is
+Every distinct word of a text is exploded with its neighbours and looked up in the lexicon table, so the only shuffle is
 that of one partial sum per text and task. The lexicon is joined without a hint: Spark broadcasts it
 while its size is below ``spark.sql.autoBroadcastJoinThreshold`` and uses a sort-merge join with skew
 handling beyond.
@@ -91,7 +91,8 @@ def _once(value: Column) -> Column:
 
 
 def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per word: its place ``i``, itself, its neighbours, and the facts of its text.
+    """One row per distinct word: its first place ``i``, itself, its neighbours there, how often it stands
+    before, at and after the first "but", and the facts of its text.
 
     Every text also has one row without a word, so that a text without sentiment words stays.
     """
@@ -105,6 +106,7 @@ def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
         .when(questions > 1, questions * rules.QUESTION)
         .otherwise(F.lit(0.0))
     )
+    places = F.array_sort(F.transform("d.words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
     facts = split_texts.select(
         key,
         _once(
@@ -113,17 +115,36 @@ def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
                 ((upper > 0) & (upper < F.size("d.words"))).alias("cap_diff"),
                 (F.array_position(F.transform("d.words", lambda w: F.lower(w)), "but") - 1).alias("but_at"),
                 F.col("d.words").alias("words"),
+                places.alias("places"),
             )
         ).alias("f"),
     )
-
-    def word_row(word: Column, index: Column) -> Column:
-        near = [F.get("f.words", index + step).alias(name) for name, step in _NEIGHBOURS.items()]
-        shared = [F.col(f"f.{name}").alias(name) for name in ("emphasis", "cap_diff", "but_at")]
-        return F.struct(index.alias("i"), word.alias("w"), *near, *shared)
-
-    head = F.array(word_row(F.lit(None).cast("string"), F.lit(TEXT_ROW)))
-    rows = F.concat(head, F.transform("f.words", word_row))
+    # Equal words are neighbours among the sorted places; each run of them begins with the first place.
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("f.places") - 1),
+        lambda k: (k == 0) | (F.get("f.places", k)["w"] != F.get("f.places", k - 1)["w"]),
+    )
+    starts = F.when(F.size("f.places") > 0, starts).otherwise(F.array().cast("array<int>"))
+    facts = facts.select(key, "f", _once(starts).alias("starts"))
+
+    def word_row(first: Column, word: Column, run: Column) -> Column:
+        near = [F.get("f.words", first + step).alias(name) for name, step in _NEIGHBOURS.items()]
+        shared = [F.col(f"f.{name}").alias(name) for name in ("emphasis", "cap_diff")]
+        but = F.col("f.but_at")
+        turned = F.aggregate(
+            run, F.lit(0.0),
+            lambda total, x: total + F.when((but < 0) | (x["i"] == but), F.lit(1.0))
+            .when(x["i"] < but, F.lit(rules.BEFORE_BUT)).otherwise(F.lit(rules.AFTER_BUT)),
+        )
+        return F.struct(first.alias("i"), word.alias("w"), turned.alias("shift"), *near, *shared)
+
+    def run_row(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("starts", k + 1), F.size("f.places"))
+        head = F.get("f.places", start)
+        return word_row(head["i"], head["w"], F.slice("f.places", start + 1, end - start))
+
+    none = F.array().cast("array<struct<w:string,i:int>>")
+    rows = F.concat(F.array(word_row(F.lit(TEXT_ROW), F.lit(None).cast("string"), none)), F.transform("starts", run_row))
     return facts.select(key, F.explode(rows).alias("e")).select(key, "e.*")
 
 
@@ -132,8 +153,11 @@ def compound_sentiment(
 ) -> DataFrame:
     """``key, compound``: sentiment of every text in [-1, 1], four places.
 
-    ``lexicon`` has ``token, valence`` with lower-case, unique tokens.
+    ``lexicon`` has ``token, valence`` with lower-case tokens; of a repeated token the largest valence counts.
+    A word that is repeated is judged by its neighbours at its first place; each occurrence counts, and where
+    it stands relative to "but" is its own.
     """
+    lexicon = lexicon.groupBy("token").agg(F.max("valence").alias("valence"))
     rows = _word_rows(texts, key, text)
     low = F.lower("w")
     degree = low.isin([*rules.INTENSIFIERS, *rules.DAMPENERS]) | (
@@ -169,13 +193,8 @@ def compound_sentiment(
         scored = scored.withColumn("v", F.when(modifies(name), after).otherwise(F.col("_b")))
     least = modifies("p1") & (F.lower("p1") == "least") & ~F.coalesce(F.lower("p2").isin("at", "very"), F.lit(False))
     scored = scored.withColumn("v", F.when(least, F.col("v") * rules.NEGATION_FACTOR).otherwise(F.col("v")))
-    shift = (
-        F.when((F.col("but_at") >= 0) & (F.col("i") < F.col("but_at")), F.lit(rules.BEFORE_BUT))
-        .when((F.col("but_at") >= 0) & (F.col("i") > F.col("but_at")), F.lit(rules.AFTER_BUT))
-        .otherwise(F.lit(1.0))
-    )
     sums = scored.groupBy(key).agg(
-        F.coalesce(F.sum(F.col("v") * shift), F.lit(0.0)).alias("s"), F.max("emphasis").alias("emphasis")
+        F.coalesce(F.sum(F.col("v") * F.col("shift")), F.lit(0.0)).alias("s"), F.max("emphasis").alias("emphasis")
     )
     total = F.col("s") + F.when(F.col("s") > 0, F.col("emphasis")).when(
         F.col("s") < 0, -F.col("emphasis")

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom.functions.text import ENGLISH_STOP_WORDS, combined_text, terms
 from trendloom.operators.ordering import with_ordinal
@@ -28,6 +28,16 @@ _STRIP_COLUMNS = 128
 _PAIR_SALTS = 16
 
 
+
+def gap_seconds(time: Column, other: Column) -> Column:
+    return F.abs(time - other)
+
+
+def within_gap(seconds: Column, max_hours_gap: int | None = None) -> Column:
+    """The time gate of the topic rule."""
+    return seconds <= (MAX_HOURS_GAP if max_hours_gap is None else max_hours_gap) * 3600
+
+
 # ---------------------------------------------------------------- vectors
 
 
@@ -45,41 +55,35 @@ def document_frequencies(counts: DataFrame) -> DataFrame:
 
 
 def tfidf_raw(
-    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, max_df: float | None = None
+    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
-    """``title_id, term, n, raw`` with ``raw = n * (ln((1 + N) / (1 + df)) + 1)``.
-
-    ``max_df`` drops terms found in more than that share of the articles; it changes the result and is
-    off by default.
-    """
+    """``title_id, term, n, raw`` with ``raw = n * (ln((1 + N) / (1 + df)) + 1)``."""
     counts = term_counts(articles, stop_words)
     total = articles.agg(F.count(F.lit(1))).scalar()
     frequencies = document_frequencies(counts)
-    if max_df is not None:
-        frequencies = frequencies.filter(F.col("df") <= F.lit(max_df) * total)
     idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1.0
     return counts.join(frequencies, "term").select("title_id", "term", "n", (F.col("n") * idf).alias("raw"))
 
 
 def tfidf_weights(
-    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, max_df: float | None = None
+    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
     """``title_id, term, weight`` with vectors of length one."""
-    vectors = tfidf_vectors(articles, stop_words, max_df)
+    vectors = tfidf_vectors(articles, stop_words)
     return vectors.select("title_id", F.explode(F.arrays_zip("terms", "weights")).alias("e")).select(
         "title_id", F.col("e.terms").alias("term"), F.col("e.weights").alias("weight")
     )
 
 
 def tfidf_vectors(
-    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, max_df: float | None = None
+    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
     """``title_id, terms, weights, sig``; articles without a usable term have no row.
 
-    ``sig`` is equal for articles whose term counts are equal. An array holds the terms of one article.
+    ``sig`` is equal for articles whose term counts are in one proportion. An array holds the terms of one article.
     """
     grouped = (
-        tfidf_raw(articles, stop_words, max_df)
+        tfidf_raw(articles, stop_words)
         .groupBy("title_id")
         .agg(
             F.array_sort(F.collect_list(F.struct("term", "n", "raw"))).alias("v"),
@@ -90,18 +94,21 @@ def tfidf_vectors(
         "title_id",
         F.col("v.term").alias("terms"),
         F.transform("v", lambda e: e["raw"] / F.col("norm")).alias("weights"),
-        F.sha2(F.to_json(F.struct(F.col("v.term"), F.col("v.n"))), 256).alias("sig"),
+        # Quotients of whole numbers are equal doubles only if the proportions are equal.
+        F.sha2(
+            F.to_json(F.struct(F.col("v.term"), F.transform("v", lambda e: e["n"] / F.col("v")[0]["n"]).alias("share"))), 256
+        ).alias("sig"),
     )
 
 
 def article_vectors(
-    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, max_df: float | None = None
+    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
     """Vectors with the time in seconds and the lower-case title the topic rule needs."""
     facts = articles.select(
         "title_id", F.unix_seconds("published_at").alias("t"), F.lower(F.coalesce("title", F.lit(""))).alias("title_lower")
     )
-    return facts.join(tfidf_vectors(articles, stop_words, max_df), "title_id")
+    return facts.join(tfidf_vectors(articles, stop_words), "title_id")
 
 
 # ---------------------------------------------------------------- blocks

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trendloom.operators.ordering import keep_first, keep_last, with_ordinal
+from trendloom.operators.ordering import keep_first, with_ordinal
+from trendloom.session import ensure_checkpoint_dir
 
 # Columns added to older cluster tables, with their default.
 SCORE_COLUMNS = {"score": 0.0, "avg_sentiment": 0.0, "avg_jaccard": 0.0}
@@ -36,7 +37,10 @@ def new_articles(
         stored.select(F.col("title").alias("headline"))
         .join(fresh.select("headline"), "headline", "left_semi")
     )
-    numbered = with_ordinal(fresh.join(known, "headline", "left_anti"), seq, order_by, "_ordinal")
+    ensure_checkpoint_dir(records.sparkSession)
+    # Written once; numbering reads it twice.
+    unknown = fresh.join(known, "headline", "left_anti").checkpoint()
+    numbered = with_ordinal(unknown, seq, order_by, "_ordinal")
     return numbered.select(
         (_next_id(stored, "title_id") + F.col("_ordinal")).cast("long").alias("title_id"),
         F.col("site").alias("source_id"),
@@ -159,14 +163,20 @@ def upsert_tickers(stored: DataFrame, batch: DataFrame, as_of: Column, seq: str
     """
     columns = ["ticker_symbol", "current_price", "prev_close_price", "updated_at"]
     rank = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
-    new = batch.select(
-        F.col("symbol").alias("ticker_symbol"),
-        F.col("current").alias("current_price"),
-        F.col("prev_close").alias("prev_close_price"),
-        as_of.alias("updated_at"),
-        F.struct(F.lit(1).alias("batch"), rank.alias("seq")).alias("_order"),
+    new = latest_ticks(batch.withColumn("_seq", rank), "_seq").select(
+        "ticker_symbol", "current_price", "prev_close_price", as_of.alias("updated_at")
     )
-    old = stored.select(
-        *columns, F.struct(F.lit(0).alias("batch"), F.lit(0).cast("long").alias("seq")).alias("_order")
-    )
-    return keep_last(old.unionByName(new), ["ticker_symbol"], ["_order"]).select(*columns)
+    kept = stored.select(*columns).join(new.select("ticker_symbol"), "ticker_symbol", "left_anti")
+    return kept.unionByName(new)
+
+
+def latest_ticks(batch: DataFrame, seq: str) -> DataFrame:
+    """The last price of each symbol of a batch, by hash aggregation; ``seq`` is a BIGINT.
+
+    Rows of one symbol that share the last ``seq`` give the largest price and the largest close among them.
+    """
+    newest = batch.groupBy("symbol").agg(F.max(seq).alias(seq))
+    joined = batch.join(newest, ["symbol", seq], "left_semi")
+    return joined.groupBy("symbol").agg(
+        F.max("current").alias("current_price"), F.max("prev_close").alias("prev_close_price"), F.max(seq).alias(seq)
+    ).select(F.col("symbol").alias("ticker_symbol"), "current_price", "prev_close_price", seq)

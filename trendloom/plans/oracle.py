@@ -5,6 +5,8 @@ The common table expressions below restate the sample adapters; every query name
 
 from __future__ import annotations
 
+import re
+
 from trendloom.functions import lexicon_rules as rules
 from trendloom.functions.text import ENGLISH_STOP_WORDS
 
@@ -24,7 +26,7 @@ def _two(value: str, digits: int = 2) -> str:
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "articles": ((), """
-        SELECT doc_id AS title_id, source AS source_id, substring(split_part(text, chr(10), 1), 1, 80) AS title,
+        SELECT doc_id AS title_id, source AS source_id, split_part(text, chr(10), 1) AS title,
                'doc/' || doc_id AS link, text AS summary,
                TIMESTAMP '2024-01-01 00:00:00' + to_hours(doc_id) AS date_captured
         FROM documents"""),
@@ -123,7 +125,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "weights": (("raws",), """
         SELECT title_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY title_id)) AS weight FROM raws"""),
     "signatures": (("terms",), """
-        SELECT title_id, md5(string_agg(term || ':' || n, ',' ORDER BY term)) AS sig FROM terms GROUP BY title_id"""),
+        SELECT title_id, md5(string_agg(term || ':' || share, ',' ORDER BY term)) AS sig
+        FROM (SELECT title_id, term, n // gcd AS share
+              FROM terms JOIN (SELECT title_id, list_reduce(list(n), lambda a, b: gcd(a, b)) AS gcd FROM terms GROUP BY title_id)
+                   USING (title_id))
+        GROUP BY title_id"""),
     "cosines": (("weights", "signatures"), """
         SELECT i, j, CASE WHEN si.sig = sj.sig THEN 1.0 ELSE least(dot, 0.999999) END AS cosine
         FROM (SELECT a.title_id AS i, b.title_id AS j, round(sum(a.weight * b.weight), 6) AS dot
@@ -174,7 +180,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT title_id, coalesce(list_position(list_transform(w, lambda x: lower(x)), 'but'), 0) AS but_at,
                len(list_filter(w, lambda x: upper(x) = x AND lower(x) <> x)) AS uppers, len(w) AS size
         FROM word_lists"""),
-    "word_rows": (("text_facts",), """
+    "word_rows": (("text_places",), """
+        SELECT o.title_id, o.i, o.word, f.p1, f.p2, f.p3, o.but_at, o.cap_diff
+        FROM (SELECT *, min(i) OVER (PARTITION BY title_id, word) AS first_i FROM text_places) o
+        JOIN text_places f ON f.title_id = o.title_id AND f.i = o.first_i"""),
+    "text_places": (("text_facts",), """
         SELECT title_id, i, word, lag(word, 1) OVER place AS p1, lag(word, 2) OVER place AS p2,
                lag(word, 3) OVER place AS p3, but_at, uppers > 0 AND uppers < size AS cap_diff
         FROM (SELECT title_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM word_lists)
@@ -385,14 +395,30 @@ def _with_labels(body: str, *needs: str) -> str:
 
 
 ORACLE_SQL["l6_greedy_clusters"] = _with_labels("SELECT i AS title_id, label AS anchor_id FROM labelled")
-ORACLE_SQL["t3_topic_stream"] = _with_labels(f"""
-    SELECT title_id, title AS main_title, 1.0::DOUBLE AS avg_jaccard, CAST(volume AS DOUBLE) AS volume, {_two('score', 4)} AS score,
-           {_two('avg_sentiment', 4)} AS avg_sentiment, strftime({AS_OF}, {STAMP}) AS last_updated
-    FROM (SELECT label, volume, avg_sentiment, avg_sentiment * (volume / (volume + 2.0)) AS score
-          FROM (SELECT label, count(*) AS volume,
-                       sum(CAST(round(compound * 10000) AS BIGINT)) / (count(*) * 10000) AS avg_sentiment
-                FROM labelled JOIN compounds ON compounds.title_id = i GROUP BY label))
-    JOIN articles ON articles.title_id = label WHERE abs(score) >= 0.001""", "compounds")
+
+
+def _half_topics(late: bool) -> str:
+    """Topics of the lower or upper half of the documents, with their energy."""
+    body = _with_labels(f"""
+        SELECT title_id, title AS main_title, 1.0::DOUBLE AS avg_jaccard, CAST(volume AS DOUBLE) AS volume, energy,
+               {_two('avg_sentiment', 4)} AS avg_sentiment
+        FROM (SELECT label, volume, avg_sentiment, avg_sentiment * (volume / (volume + 2.0)) AS energy
+              FROM (SELECT label, count(*) AS volume,
+                           sum(CAST(round(compound * 10000) AS BIGINT)) / (count(*) * 10000) AS avg_sentiment
+                    FROM labelled JOIN compounds ON compounds.title_id = i GROUP BY label))
+        JOIN articles ON articles.title_id = label""", "compounds")
+    half = f"(SELECT * FROM documents WHERE (doc_id > (SELECT max(doc_id) // 2 FROM documents)) = {late})"
+    return re.sub(r"\bFROM documents\b", f"FROM {half}", body)
+
+
+ORACLE_SQL["t3_topic_stream"] = f"""
+    SELECT title_id, main_title, avg_jaccard, volume, avg_sentiment, {_two('final', 4)} AS score,
+           strftime({AS_OF}, {STAMP}) AS last_updated
+    FROM (SELECT * EXCLUDE (energy), greatest(-1.0, least(1.0, {_two('energy', 4)} + energy)) AS final
+          FROM ({_half_topics(False)}) WHERE abs(energy) >= 0.001
+          UNION ALL
+          SELECT * EXCLUDE (energy), energy AS final FROM ({_half_topics(True)}))
+    WHERE abs(final) >= 0.001"""
 _add("l7_levenshtein", f"""
     SELECT title_id, anchor_id, {_two('''CASE WHEN greatest(length(title), length(main_title)) = 0 THEN 1.0
         ELSE (greatest(length(title), length(main_title)) - levenshtein(lower(title), lower(main_title)))
@@ -478,8 +504,9 @@ _add("r5_time_decay", f"""
     SELECT cluster_id, round(score * pow(0.666667, epoch({AS_OF} - last_evaluated_at) / 86400.0), 8) AS decayed
     FROM history""", "history")
 _add("r6_compound_clamp", """
-    SELECT cluster_id, round(greatest(-1.0, least(1.0, coalesce(score, 0.0)
-                 + 4 * avg_sentiment * (volume / (volume + 2.0)) * avg_jaccard)), 6) AS score
+    SELECT cluster_id, round(greatest(-1.0, least(1.0, coalesce(score
+                 * pow(0.666667, epoch(TIMESTAMP '2024-03-01 00:00:00' - last_evaluated_at) / 86400.0), 0.0)
+                 + avg_sentiment * (volume / (volume + 2.0)) * 4.0)), 6) AS score
     FROM measures LEFT JOIN history USING (cluster_id)""", "measures", "history")
 _add("r7_liveness", """
     SELECT title_id, CASE WHEN abs(title_id % 41 - 20) < 10 THEN 0.0 ELSE (title_id % 41 - 20) / 10000.0 END AS score,
@@ -520,12 +547,13 @@ _add("t1_ticker_stream", f"""
            strftime({AS_OF}, {STAMP}) AS updated_at
     FROM ticks QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_id DESC) = 1""", "ticks")
 _add("t2_article_stream", rf"""
-    SELECT row_number() OVER (ORDER BY site, seq) AS title_id, site AS source_id, headline AS title, link, summary,
+    SELECT row_number() OVER (ORDER BY late, site, seq) AS title_id, site AS source_id, headline AS title, link, summary,
            strftime({AS_OF}, {STAMP}) AS date_captured
     FROM (SELECT * FROM (
-              SELECT *, page_num * 2147483648 + pos AS seq FROM dom_records
-              QUALIFY row_number() OVER (PARTITION BY site, regexp_replace(regexp_replace(lower(headline),
+              SELECT *, page_num * 2147483648 + pos AS seq, page_num > (SELECT max(page_id) // 2 FROM pages) AS late
+              FROM dom_records
+              QUALIFY row_number() OVER (PARTITION BY late, site, regexp_replace(regexp_replace(lower(headline),
                   '[^\p{{L}}\p{{N}}_\s\p{{Z}}]', '', 'g'), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')
                   ORDER BY page_num, pos) = 1)
           WHERE headline <> '' AND link IS NOT NULL
-          QUALIFY row_number() OVER (PARTITION BY headline ORDER BY site, seq) = 1)""", "dom_records")
+          QUALIFY row_number() OVER (PARTITION BY headline ORDER BY late, site, seq) = 1)""", "dom_records")

@@ -303,14 +303,15 @@ def k8_ticker_upsert(spark, sf_dir):
 
 @query
 def k9_atomic_commit(spark, sf_dir):
-    """Two commits to a table store and what a reader then sees."""
+    """Two runs that add to a table, the second one repeated, and what a reader then sees."""
     store = scratch_store(spark)
-    articles = samples.articles(spark, sf_dir)
-    store.commit(append={"articles": articles.filter("title_id % 2 = 0")})
-    store.commit(append={"articles": articles.filter("title_id % 2 = 1")}, batch=("load", 7))
-    return store.read("articles", schemas.ARTICLES).select(
-        "title_id", "source_id", "title", F.lit(store.last_batch("load")).alias("last_batch")
-    )
+    articles = samples.articles(spark, sf_dir).drop("cluster_id")
+    store.write("articles", articles.filter("title_id % 2 = 0"), "load-6")
+    for _ in range(2):
+        store.write("articles", articles.filter("title_id % 2 = 1"), "load-7")
+    rows = store.read("articles", schemas.ARTICLE_ROWS)
+    last = rows.agg(F.max(F.split("run", "-")[1].cast("int"))).scalar()
+    return rows.select("title_id", "source_id", "title", last.alias("last_batch"))
 
 
 # ---------------------------------------------------------------- similarity and joins
@@ -340,10 +341,9 @@ def l4_time_gate(spark, sf_dir):
     articles = samples.clustering_input(spark, sf_dir)
     members = samples.topic_members(spark, sf_dir).join(articles, "title_id")
     anchors = articles.select(F.col("title_id").alias("anchor_id"), F.col("published_at").alias("anchor_time"))
-    gap = F.abs(F.unix_seconds("published_at") - F.unix_seconds("anchor_time"))
-    inside = gap <= similarity.MAX_HOURS_GAP * 3600
+    gap = similarity.gap_seconds(F.unix_seconds("published_at"), F.unix_seconds("anchor_time"))
     return members.join(anchors, "anchor_id").select(
-        "title_id", "anchor_id", (gap / 3600.0).alias("hours"), inside.alias("inside")
+        "title_id", "anchor_id", (gap / 3600.0).alias("hours"), similarity.within_gap(gap).alias("inside")
     )
 
 
@@ -504,21 +504,19 @@ def r5_time_decay(spark, sf_dir):
 
 @query
 def r6_compound_clamp(spark, sf_dir):
-    base = F.coalesce(S.decayed("score", "last_evaluated_at", F.col("last_evaluated_at")), F.lit(0.0))
-    total = S.clamp_unit(base + 4 * S.surge("avg_sentiment", "volume", "avg_jaccard"))
-    joined = scoring.with_history(_measures(spark, sf_dir), _history(spark, sf_dir))
-    return joined.select("cluster_id", F.round(total, 6).alias("score"))
+    """Scores with measured cohesion raised, so that some reach the limits."""
+    raised = _measures(spark, sf_dir).withColumn("avg_jaccard", F.lit(4.0))
+    return scoring.with_final(raised, _history(spark, sf_dir), as_of()).select("cluster_id", F.round("final", 6).alias("score"))
 
 
 @query
 def r7_liveness(spark, sf_dir):
+    """Actions for one made-up history per article, evaluated at its own time and without new members' weight."""
     value = (F.col("title_id") % 41 - 20) / 10000.0
-    rows = samples.articles(spark, sf_dir).select("title_id", value.alias("final"))
-    return rows.select(
-        "title_id",
-        F.when(S.is_dead("final"), F.lit(0.0)).otherwise(F.round("final", 4)).alias("score"),
-        F.when(S.is_dead("final"), "DELETE").otherwise("UPSERT").alias("action"),
-    )
+    rows = samples.articles(spark, sf_dir).select(F.col("title_id").alias("cluster_id"), value.alias("score"))
+    measures = rows.select("cluster_id", F.lit(0).alias("volume"), F.lit(1.0).alias("avg_jaccard"), F.lit(0.0).alias("avg_sentiment"))
+    actions = scoring.score_actions(measures, rows.withColumn("last_evaluated_at", as_of()), as_of())
+    return actions.select(F.col("cluster_id").alias("title_id"), F.col("calculated_score").alias("score"), "action")
 
 
 @query
@@ -575,10 +573,14 @@ def m3_growth_schedule(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 
-def _stream_of(table: DataFrame, sf_dir: str, name: str) -> DataFrame:
-    """The file of an input table as a stream over its folder."""
-    reader = table.sparkSession.readStream.schema(table.schema)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+def _stream_of(spark, sf_dir, name: str, key: str) -> DataFrame:
+    """An input table as a stream of two batches: the lower half of its keys and then the upper one."""
+    folder = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    rows, files = samples.table(spark, sf_dir, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    middle = (rows.agg(F.max(key)).first()[0] or 0) // 2
+    for half in (rows.where(F.col(key) <= middle), rows.where(F.col(key) > middle)):
+        half.repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _batch_time(batch_id: int) -> Column:
@@ -587,21 +589,19 @@ def _batch_time(batch_id: int) -> Column:
 
 @query
 def t1_ticker_stream(spark, sf_dir):
-    events = samples.table(spark, sf_dir, "events")
-    stream = _stream_of(events, sf_dir, "events")
+    stream = _stream_of(spark, sf_dir, "events", "event_id")
     store = scratch_store(spark)
     streams.stream_tickers(
         samples.ticker_payloads(stream), store, f"{store.base}/_stream", _batch_time
     ).awaitTermination()
-    return store.read(jobs.TICKERS, schemas.TICKERS).select(
+    return jobs.current_tickers(store).select(
         "ticker_symbol", "current_price", "prev_close_price", time_text("updated_at")
     )
 
 
 @query
 def t2_article_stream(spark, sf_dir):
-    raw = samples.table(spark, sf_dir, "pages")
-    stream = _stream_of(raw, sf_dir, "pages")
+    stream = _stream_of(spark, sf_dir, "pages", "page_id")
     landed = stream.select(samples.host().alias("site"), F.col("page_id").cast("int").alias("page_num"), "html")
     configs = samples.page_configs(spark, sf_dir).withColumns(
         {"strategy": F.lit("html_dom"), "url_template": F.lit("https://{}"), "pages": F.lit(1)}
@@ -610,19 +610,18 @@ def t2_article_stream(spark, sf_dir):
     streams.stream_pages_to_articles(
         landed, configs, store, f"{store.base}/_stream", _batch_time
     ).awaitTermination()
-    return store.read(jobs.OPEN, schemas.ARTICLES).select(
+    return jobs.all_articles(store).select(
         "title_id", "source_id", "title", "link", "summary", time_text("date_captured")
     )
 
 
 @query
 def t3_topic_stream(spark, sf_dir):
+    """Articles arrive in two batches; the topics of the first one are scored twice."""
     store = scratch_store(spark)
-    store.commit(append={jobs.OPEN: samples.articles(spark, sf_dir, spread=True)})
-    documents = samples.table(spark, sf_dir, "documents")
-    stream = _stream_of(documents, sf_dir, "documents").select("doc_id")
+    stream = samples.article_rows(_stream_of(spark, sf_dir, "documents", "doc_id"))
     lexicon = samples.lexicon(spark, sf_dir)
     streams.stream_topics(stream, lexicon, store, f"{store.base}/_stream", _batch_time).awaitTermination()
-    return store.read(jobs.CLUSTERS, schemas.CLUSTERS).select(
+    return jobs.current_clusters(store).select(
         "title_id", "main_title", "avg_jaccard", "volume", "score", "avg_sentiment", time_text("last_updated")
     )

@@ -59,6 +59,32 @@ ARTICLES = _struct(
     ("cluster_id", T.LongType()),
 )
 
+# Stored articles; their topic is a row of LINKS.
+ARTICLE_ROWS = T.StructType([f for f in ARTICLES.fields if f.name != "cluster_id"])
+
+LINKS = _struct(("title_id", T.LongType()), ("cluster_id", T.LongType()))
+
+SENTIMENTS = _struct(("title_id", T.LongType()), ("compound", T.DoubleType()))
+
+SCORES = _struct(
+    ("cluster_id", T.LongType()),
+    ("score", T.DoubleType()),
+    ("avg_sentiment", T.DoubleType()),
+    ("avg_jaccard", T.DoubleType()),
+    ("last_updated", T.TimestampType()),
+    ("action", T.StringType()),
+    ("batch", T.LongType()),
+)
+
+TICKS = _struct(
+    ("ticker_symbol", T.StringType()),
+    ("current_price", T.DoubleType()),
+    ("prev_close_price", T.DoubleType()),
+    ("updated_at", T.TimestampType()),
+    ("seq", T.LongType()),
+    ("batch", T.LongType()),
+)
+
 CLUSTERS = _struct(
     ("cluster_id", T.LongType()),
     ("main_title", T.StringType()),

@@ -30,11 +30,13 @@ def is_valid_attempt() -> Column:
 
 def resolve_attempts(attempts: DataFrame) -> DataFrame:
     """Per page the earliest-tier attempt that yielded a usable body; pages without one are absent."""
+    usable = attempts.filter(is_valid_attempt())
+    # The tier is chosen on narrow rows; bodies move once and are sorted nowhere before that.
+    best = usable.groupBy("site", "page_num").agg(F.min("tier").alias("tier"))
     return (
-        attempts.filter(is_valid_attempt())
-        .groupBy("site", "page_num")
-        .agg(F.min_by(F.struct("tier", "html"), F.struct("tier", "html")).alias("first"))
-        .select("site", "page_num", "first.tier", "first.html")
+        usable.join(best, ["site", "page_num", "tier"], "left_semi")
+        .groupBy("site", "page_num", "tier")
+        .agg(F.min("html").alias("html"))
     )
 
 

@@ -29,27 +29,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows cost much to process, spread over the cores if it has fewer splits than cores.
-
-    A large table has many splits and is read as it is, without a shuffle.
-    """
-    scanned = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores)
+    """A table whose rows cost much to process, dealt evenly to the session's shuffle partitions."""
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 # ---------------------------------------------------------------- articles
 
 
 def articles(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Documents as articles: the title is the start of the first line, one article per hour."""
-    documents = (
-        spread_table(spark, sf_dir, "documents") if spread else table(spark, sf_dir, "documents")
-    )
+    """Documents as articles: the title is the first line, one article per hour."""
+    return article_rows(spread_table(spark, sf_dir, "documents") if spread else table(spark, sf_dir, "documents"))
+
+
+def article_rows(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").alias("title_id"),
         F.col("source").alias("source_id"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("link"),
         F.col("text").alias("summary"),
         F.timestamp_seconds(F.lit(EPOCH) + F.col("doc_id") * 3600).alias("date_captured"),

@@ -1,91 +1,40 @@
-"""Stored tables with all-or-nothing commits.
+"""Stored tables that only grow.
 
-Plain Parquet cannot be updated in place, and a job cannot overwrite what it is reading. A commit writes
-new folders first and then one small manifest that names the current folders of every table. A reader
-sees the old manifest or the new one; a failed write leaves the old one in force. The manifest also holds
-the last batch of every stream, so a replayed batch is recognised.
+A table is a Parquet folder with one partition per run. A run is what one batch of one job writes; it is
+written with Spark's own commit and dynamic partition overwrite, so a run that is repeated replaces its own
+rows and nothing else. No job rewrites what another one wrote: what is open, linked, current or dead follows
+from the appended rows (see ``plans/jobs.py``). Each table has one job that writes it.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
-
-_MANIFESTS = "_manifests"
+RUN = "run"
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
 
-    # ------------------------------------------------------------ manifest
-
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.base, *parts]))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def manifest(self) -> dict:
-        folder, fs = self._path(_MANIFESTS), self._fs()
-        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-        current = max((n for n in names if n.endswith(".json")), default=None)
-        if current is None:
-            return {"version": 0, "tables": {}, "batches": {}}
-        text = self.spark.read.text(f"{self.base}/{_MANIFESTS}/{current}", wholetext=True).first()[0]
-        return json.loads(text)
-
-    def _publish(self, manifest: dict) -> None:
-        fs = self._fs()
-        draft = self._path(_MANIFESTS, f".draft-{uuid.uuid4().hex}")
-        stream = fs.create(draft)
-        stream.write(bytearray(json.dumps(manifest).encode("utf-8")))
-        stream.close()
-        final = self._path(_MANIFESTS, f"{manifest['version']:012d}.json")
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise RuntimeError(f"version {manifest['version']} was committed by another writer")
+    def _exists(self, table: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{table}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
-    # ------------------------------------------------------------ tables
+    def read(self, table: str, schema: T.StructType, without_run: str | None = None) -> DataFrame:
+        """Rows of a table, ``run`` included; no rows if it was never written.
 
-    def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """Current rows of a table; no rows if it was never written."""
-        paths = self.manifest()["tables"].get(table, [])
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.base}/{p}" for p in paths])
-
-    def last_batch(self, stream: str) -> int:
-        return self.manifest()["batches"].get(stream, -1)
-
-    def commit(
-        self,
-        append: dict[str, DataFrame] | None = None,
-        replace: dict[str, DataFrame] | None = None,
-        batch: tuple[str, int] | None = None,
-    ) -> dict[str, int]:
-        """Write all given tables, then switch to them at once; returns the rows written per table.
-
-        An append without rows adds nothing, and a commit that changes nothing publishes nothing.
+        ``without_run`` leaves out what that run wrote before, so a repeated run sees what it saw first.
         """
-        manifest = self.manifest()
-        tables, written = dict(manifest["tables"]), {}
-        for replaces, frames in ((False, append or {}), (True, replace or {})):
-            for table, frame in frames.items():
-                folder = f"{table}/{uuid.uuid4().hex}"
-                rows = Observation()
-                frame.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.base}/{folder}")
-                written[table] = rows.get["n"]
-                kept = [] if replaces else tables.get(table, [])
-                tables[table] = kept + ([folder] if written[table] else [])
-        batches = dict(manifest["batches"])
-        if batch is not None:
-            batches[batch[0]] = batch[1]
-        if tables != manifest["tables"] or batches != manifest["batches"]:
-            self._publish({"version": manifest["version"] + 1, "tables": tables, "batches": batches})
-        return written
-
-    def compact(self, table: str, schema: T.StructType, files: int) -> None:
-        """Rewrite the segments of a table into ``files`` files."""
-        self.commit(replace={table: self.read(table, schema).repartition(files)})
+        full = T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])
+        if not self._exists(table):
+            return self.spark.createDataFrame([], full)
+        rows = self.spark.read.schema(full).parquet(f"{self.base}/{table}")
+        return rows if without_run is None else rows.where(F.col(RUN) != without_run)
+
+    def write(self, table: str, rows: DataFrame, run: str) -> None:
+        """Write what ``run`` adds to a table; an earlier attempt of the same run is replaced."""
+        (
+            rows.withColumn(RUN, F.lit(run)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(f"{self.base}/{table}")
+        )
