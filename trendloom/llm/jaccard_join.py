@@ -14,13 +14,16 @@ Groups split the frequent shingles by a hash and pairs are made inside a group o
 with the size of a document and not with its square. The number of groups depends on the size class;
 linked sizes differ by 4 / 3 at most, so each document uses the schemes of its class and the one before.
 
-Candidates are compared word by word. In a list of documents with the same signature everything is first
-compared with one of them; members found in one component need no further comparison, and what is still
-apart is then compared exactly. Components come out the same as from all pairs.
+Candidates are compared word by word. Each list of documents with the same signature has a hub, the document
+with the smallest share of shingles of its own, and everything in the list is first compared with it. What
+lies in one component then needs no further comparison. The members of all lists of a hub that are still
+apart from it meet all other members in tiles of bounded size, and a tile passes on one link for each
+document and component. Components come out the same as from all pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from trendloom.llm import keys
 from trendloom.llm.graph import components
-from trendloom.llm.shared import ascii_lower, written
+from trendloom.llm.shared import cores, held, written
 from trendloom.llm.word_hashes import MIX, WordHasher, runs, scramble, shingle_hashes
 
 SHINGLE = 5
@@ -37,10 +40,10 @@ SHINGLE = 5
 FREQUENT = 32
 # About one group of frequent shingles for so many shingles of a document.
 GROUP_SHINGLES = 32
-# Rounds in which each undecided list compares everything with one further member before the rest is compared.
-HUB_ROUNDS = 3
+# Documents on either side of a tile, and shingles compared at a time there.
+TILE, TILE_SHINGLES = 512, 4096
 UNIQUE, RARE, COMMON = 0, 1, 2
-SIGNATURES = "key string, doc_id bigint, n bigint, signature bigint, text binary"
+SIGNATURES = "key string, doc_id bigint, n bigint, m bigint, signature bigint, text binary"
 PACKED = "bucket int, chunk int, payload binary"
 
 
@@ -95,7 +98,8 @@ class Shingled:
     def __init__(self, table, chosen: set[tuple[int | None, str]]):
         hasher, self.rows = WordHasher(), []
         words, seen = [], set()
-        for key, doc_id, text in zip(*(table.column(c).to_pylist() for c in ("key", "doc_id", "text"))):
+        for doc_id, text in zip(*(table.column(c).to_pylist() for c in ("doc_id", "text"))):
+            key = hashlib.sha256(text or b"").hexdigest()
             if (doc_id, key) in chosen and (doc_id, key) not in seen:
                 seen.add((doc_id, key))
                 self.rows.append((key, doc_id, text))
@@ -132,22 +136,23 @@ def _table(rows: list[tuple], kinds: list, names: list[str]):
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def keyed_texts(docs: DataFrame, chunks: int) -> DataFrame:
+def dealt_texts(docs: DataFrame, chunks: int) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text.cast("binary").alias("text"),
-        F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256).alias("key"),
         keys.chunk_of(F.col("doc_id"), chunks).alias("chunk"),
     )
 
 
 def index(docs: DataFrame, chunk_chars: int, bucket_chars: int) -> tuple[DataFrame, DataFrame]:
-    """(texts, signatures): the first has (doc_id, key) of every row; the second a row for each distinct
-    text (signature null, n) and one for each of its signatures; texts with signatures are kept packed."""
+    """(ids, signatures): the first has (doc_id, key) of every row; the second a row for each distinct
+    text (signature null; n shingles, m of them in other texts too) and one for each of its signatures.
+    Texts with signatures are kept packed."""
     chunks, buckets = keys.sizes(docs, chunk_chars, bucket_chars)
-    texts = keyed_texts(docs, chunks)
+    texts = dealt_texts(docs, chunks)
+    ids = texts.select("doc_id", F.sha2(F.coalesce("text", F.lit(b"")), 256).alias("key"))
     # Copies of a text have the same set; the one with the smallest id stands for them.
-    chosen = texts.groupBy("key").agg(F.min("doc_id").alias("doc_id")).select(
+    chosen = ids.groupBy("key").agg(F.min("doc_id").alias("doc_id")).select(
         keys.chunk_of(F.col("doc_id"), chunks).alias("chunk"), F.lit(-1).alias("bucket"),
         F.lit(None).cast("binary").alias("payload"), "doc_id", F.col("key").alias("key"),
     )
@@ -191,16 +196,27 @@ def index(docs: DataFrame, chunk_chars: int, bucket_chars: int) -> tuple[DataFra
                 part = slice(found.ends[k], found.ends[k + 1])
                 n = part.stop - part.start
                 marks = signatures(found.shingles[part], kinds[part]) if n and doc_id is not None else ()
-                out.append((sha, doc_id, n, None, squeeze(text) if len(marks) else None))
-                out.extend((None, doc_id, n, mark, None) for mark in np.asarray(marks, np.uint64).view(np.int64).tolist())
-        return _table(out, [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()], ["key", "doc_id", "n", "signature", "text"])
+                m = int((kinds[part] != UNIQUE).sum())
+                out.append((sha, doc_id, n, m, None, squeeze(text) if len(marks) else None))
+                out.extend((None, doc_id, n, m, mark, None) for mark in np.asarray(marks, np.uint64).view(np.int64).tolist())
+        kinds_out = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        return _table(out, kinds_out, ["key", "doc_id", "n", "m", "signature", "text"])
 
     by_chunk = texts.groupBy("chunk")
     counted = by_chunk.cogroup(chosen.groupBy("chunk")).applyInArrow(count, PACKED)
     kinds = counted.groupBy("bucket").applyInArrow(classify, PACKED)
     told = kinds.select("chunk", "bucket", "payload", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("key"))
     signed = by_chunk.cogroup(told.unionAll(chosen).groupBy("chunk")).applyInArrow(sign, SIGNATURES)
-    return texts.select("doc_id", "key"), written(signed)
+    return ids, held(signed)
+
+
+def shingle_set(text: bytes) -> set[tuple[bytes, ...]]:
+    """The shingles of a packed text."""
+    import zstandard
+
+    words = zstandard.ZstdDecompressor().decompress(text).lower().split()
+    k = min(SHINGLE, len(words))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
 
 
 def compared(pairs: DataFrame, packed_texts: DataFrame) -> DataFrame:
@@ -208,30 +224,22 @@ def compared(pairs: DataFrame, packed_texts: DataFrame) -> DataFrame:
 
     def check(batches):
         import pyarrow as pa
-        import zstandard
-
-        unpack, memory = zstandard.ZstdDecompressor(), {}
-
-        def shingles(doc_id, text):
-            found = memory.get(doc_id)
-            if found is None or found[0] != text:
-                if len(memory) > 64:
-                    memory.clear()
-                words = unpack.decompress(text).lower().split()
-                k = min(SHINGLE, len(words))
-                found = memory[doc_id] = (text, {tuple(words[i : i + k]) for i in range(len(words) - k + 1)})
-            return found[1]
 
+        memory, held = {}, 0
         for batch in batches:
             linked = []
             for a, b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
-                one, other = shingles(a, text_a), shingles(b, text_b)
+                if held > 100_000:
+                    memory, held = {}, 0
+                for text in (text_a, text_b):
+                    if text not in memory:
+                        memory[text] = shingle_set(text)
+                        held += len(memory[text])
+                one, other = memory[text_a], memory[text_b]
                 both = len(one & other)
                 if 100 * both >= 75 * (len(one) + len(other) - both):
                     linked.append((a, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in linked], pa.int64()) for k in (0, 1)], ["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in linked], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return (
         pairs.join(packed_texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -240,51 +248,119 @@ def compared(pairs: DataFrame, packed_texts: DataFrame) -> DataFrame:
     )
 
 
-def near_components(signed: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+def tile_links(table):
+    """Links between the two sides of a tile, one for each document apart and component it leads to."""
+    import pyarrow as pa
+
+    columns = {c: table.column(c).to_pylist() for c in ("side", "doc_id", "component", "text")}
+    sets = [shingle_set(t) for t in columns["text"]]
+    apart = [k for k, side in enumerate(columns["side"]) if side == 0]
+    others = [k for k, side in enumerate(columns["side"]) if side == 1]
+    linked = []
+    if apart and others:
+        shared = set().union(*(sets[k] for k in apart)) & set().union(*(sets[k] for k in others))
+        number = {s: i for i, s in enumerate(shared)}
+
+        def places(side: list[int]) -> tuple[np.ndarray, np.ndarray]:
+            found = [[number[s] for s in sets[k] if s in number] for k in side]
+            at = np.fromiter((x for f in found for x in f), np.int64)
+            order = np.argsort(at, kind="stable")
+            return np.repeat(np.arange(len(side)), [len(f) for f in found])[order], at[order]
+
+        rows, at = places(apart)
+        other_rows, other_at = places(others)
+        both = np.zeros((len(apart), len(others)), np.float32)
+        for first in range(0, len(number), TILE_SHINGLES):
+            one, other = (np.zeros((len(side), TILE_SHINGLES), np.float32) for side in (apart, others))
+            for matrix, r, c in ((one, rows, at), (other, other_rows, other_at)):
+                inside = slice(*np.searchsorted(c, [first, first + TILE_SHINGLES]))
+                matrix[r[inside], c[inside] - first] = 1
+            both += one @ other.T
+        size = np.array([len(s) for s in sets])
+        components_of = np.array(columns["component"])
+        union = size[apart][:, None] + size[others][None, :] - both
+        hit = (100 * both >= 75 * union) & (components_of[apart][:, None] != components_of[others][None, :])
+        for i, k in enumerate(apart):
+            partners = np.array(others)[hit[i]]
+            _, first_of = np.unique(components_of[partners], return_index=True)
+            linked += [(columns["doc_id"][k], columns["doc_id"][p]) for p in partners[first_of].tolist()]
+    return pa.Table.from_arrays([pa.array([p[k] for p in linked], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def tiles(members: DataFrame, packed_texts: DataFrame) -> DataFrame:
+    """Links between members of a hub that are apart from it and all its other members.
+
+    ``members`` is (hub, doc_id, n, m, component, hub_component) without the hubs themselves.
+    """
+    # What is linked to y has at least 3/7 (n + the least size a partner can have) of y's shared shingles.
+    can_link = 7 * F.col("m") >= 3 * (F.col("n") + F.ceil(0.75 * F.col("n")))
+    members = members.where(can_link).withColumn("apart", F.col("component") != F.col("hub_component"))
+    counts = members.groupBy("hub").agg(
+        F.count(F.lit(1)).alias("others"), F.sum(F.col("apart").cast("int")).alias("aparts")
+    ).where("aparts > 0 and others > 1")
+    counts = counts.select(
+        "hub", F.ceil(F.col("aparts") / TILE).cast("int").alias("rows"), F.ceil(F.col("others") / TILE).cast("int").alias("columns")
+    )
+    placed = members.join(counts, "hub").withColumn("place", F.xxhash64("doc_id"))
+    whole = F.lit(0)
+    rows = placed.where("apart").select(
+        "hub", F.pmod("place", F.col("rows")).alias("row"), F.explode(F.sequence(whole, F.col("columns") - 1)).alias("column"),
+        F.lit(0).alias("side"), "doc_id", "component",
+    )
+    columns = placed.select(
+        "hub", F.explode(F.sequence(whole, F.col("rows") - 1)).alias("row"), F.pmod("place", F.col("columns")).alias("column"),
+        F.lit(1).alias("side"), "doc_id", "component",
+    )
+    return rows.select("hub", F.col("row").cast("int").alias("row"), "column", "side", "doc_id", "component").unionAll(
+        columns.select("hub", "row", F.col("column").cast("int").alias("column"), "side", "doc_id", "component")
+    ).join(packed_texts, "doc_id").groupBy("hub", "row", "column").applyInArrow(tile_links, "a bigint, b bigint")
+
+
+def near_components(signed: DataFrame) -> DataFrame:
     """(node, component) of the linked texts among those in the signature table."""
-    marks = signed.where("signature is not null").select("signature", "doc_id", "n")
-    shared = marks.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("signature")
-    marks = written(marks.join(shared, "signature"))
+    marks = signed.where("signature is not null").select("signature", "doc_id", "n", "m")
+    # The hub has few shingles of its own, so it is likely to be linked to most of its list.
+    hubs = marks.groupBy("signature").agg(
+        F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("doc_id")).alias("first"), "doc_id", "n", "m")).alias("hub"),
+        F.count(F.lit(1)).alias("members"),
+    ).where("members > 1").select(
+        "signature", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.m").alias("hub_m")
+    )
+    members = held(marks.join(hubs, "signature").where("doc_id <> hub").drop("signature").distinct())
     packed_texts = signed.where("text is not null").select("doc_id", "text")
-    spark = signed.sparkSession
-    done = links = spark.createDataFrame([], "a bigint, b bigint")
-    named = spark.createDataFrame([], "node bigint, component bigint")
-    fits = (F.col("a") < F.col("b")) & (4 * F.least("n", "other_n") >= 3 * F.greatest("n", "other_n"))
-    for round_number in range(hub_rounds + 1):
-        placed = marks.join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-        apart = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        placed = placed.join(apart.where("low <> high"), "signature")
-        if round_number < hub_rounds:
-            # One member of each list that is still apart; every round another one.
-            turn = F.xxhash64(F.col("doc_id"), F.lit(round_number)) if round_number else F.col("doc_id")
-            hubs = placed.groupBy("signature").agg(
-                F.min_by(F.struct("doc_id", "n", "component"), turn).alias("hub")
-            ).select("signature", F.col("hub.doc_id").alias("other"), F.col("hub.n").alias("other_n"), F.col("hub.component").alias("other_component"))
-        else:
-            # What is outside the component of the list's first member meets everything in another component.
-            hubs = placed.where("component <> low").select(
-                "signature", F.col("doc_id").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component")
-            )
-        pairs = (
-            placed.join(hubs, "signature").where("component <> other_component")
-            .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"), "n", "other_n")
-            .where(fits).select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
-        )
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            if round_number < hub_rounds:
-                continue
-            break
-        done = done.unionAll(pairs)
-        links = written(links.unionAll(compared(pairs, packed_texts)))
-        named = components(links)
+    # An intersection has at least 3/7 of both sizes together, and only shingles that others have too.
+    fits = 7 * F.least("m", "hub_m") >= 3 * (F.col("n") + F.col("hub_n"))
+    pairs = members.where(fits).select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
+    links = held(compared(pairs, packed_texts))
+    named = components(links)
+    placed = (
+        members.join(named.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        .join(named.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
+        .select("hub", "doc_id", "n", "m", F.coalesce("component", "doc_id").alias("component"), F.coalesce("hub_component", "hub").alias("hub_component"))
+    )
+    more = held(tiles(placed, packed_texts))
+    named = named if more.isEmpty() else components(links.unionAll(more))
+    for table in (members, links, more):
+        table.unpersist()
     return named
 
 
+def component_of_texts(
+    docs: DataFrame, chunk_chars: int = keys.CHUNK_CHARS, bucket_chars: int = keys.BUCKET_CHARS
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key) of every row, and (key, node, n, component) of every distinct text, from a written table."""
+    ids, signed = index(docs, chunk_chars, bucket_chars)
+    named = near_components(signed)
+    sets = signed.where("key is not null").select("key", F.col("doc_id").alias("node"), "n")
+    sets = written(
+        sets.join(named, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")), cores(docs)
+    )
+    signed.unpersist()
+    return ids, sets
+
+
 def linked_documents(
-    docs: DataFrame, chunk_chars: int = keys.CHUNK_CHARS, bucket_chars: int = keys.BUCKET_CHARS, hub_rounds: int = HUB_ROUNDS,
+    docs: DataFrame, chunk_chars: int = keys.CHUNK_CHARS, bucket_chars: int = keys.BUCKET_CHARS
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -295,11 +371,8 @@ def linked_documents(
     id. Repeated rows are linked as equal texts are. A null ``doc_id`` is no id to lead to: such a row has
     the component of its copies, or null. An empty table gives no rows.
     """
-    texts, signed = index(docs, chunk_chars, bucket_chars)
-    named = near_components(signed, hub_rounds)
-    sets = signed.where("key is not null").select("key", F.col("doc_id").alias("node"), "n")
-    sets = sets.join(named, "node", "left").select("key", "n", F.coalesce("component", "node").alias("component"))
-    return texts.join(sets, "key").select(
+    ids, sets = component_of_texts(docs, chunk_chars, bucket_chars)
+    return ids.join(sets, "key").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
@@ -311,14 +384,12 @@ def one_of_each_component(docs: DataFrame, **sizes: int) -> DataFrame:
     Documents without words are in no component and stay. Of repeated rows one stays; rows without an id
     stay only if no row with an id has their text.
     """
-    texts, signed = index(docs, sizes.get("chunk_chars", keys.CHUNK_CHARS), sizes.get("bucket_chars", keys.BUCKET_CHARS))
-    named = near_components(signed, sizes.get("hub_rounds", HUB_ROUNDS))
-    sets = signed.where("key is not null").select("key", F.col("doc_id").alias("node"), "n")
-    stay = sets.join(named, "node", "left").where("n > 0 and (component is null or component = node)").select(
+    _, sets = component_of_texts(docs, **sizes)
+    stay = sets.where("n > 0 and (component is null or component = node)").select(
         F.col("node").alias("_stay_id"), F.col("key").alias("_stay_key")
     )
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    keyed = docs.withColumns({"_row_key": F.sha2(ascii_lower(text), 256), "_row_id": docs["doc_id"].cast("bigint"), "_empty": ~text.rlike(r"[^\x20\x09-\x0D]")})
+    keyed = docs.withColumns({"_row_key": F.sha2(text, 256), "_row_id": docs["doc_id"].cast("bigint"), "_empty": ~text.rlike(r"[^\x20\x09-\x0D]")})
     kept = keyed.where(~F.col("_empty")).join(
         stay, F.col("_row_id").eqNullSafe(F.col("_stay_id")) & (F.col("_row_key") == F.col("_stay_key"))
     ).dropDuplicates(["_row_id", "_row_key"])

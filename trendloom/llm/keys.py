@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters of text per chunk, and per bucket of keys.
-CHUNK_CHARS, BUCKET_CHARS = 4 << 20, 8 << 20
+CHUNK_CHARS, BUCKET_CHARS = 1 << 20, 8 << 20
 KEY_BITS = 48
 
 

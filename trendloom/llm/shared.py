@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,17 +15,33 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def written(df: DataFrame) -> DataFrame:
+def cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def written(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """Write the rows to the folder that all executors share and read them again.
 
-    What follows depends on the files only, and Spark knows their size when it chooses joins.
+    What follows depends on the files only, and Spark knows their size when it chooses joins. At most
+    ``tasks`` tasks write, for tables whose many partitions would be as many tiny files.
     """
     spark = df.sparkSession
+    df = df.coalesce(tasks) if tasks else df
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def held(df: DataFrame) -> DataFrame:
+    """Compute the rows once and keep them in memory and on the executors' disks.
+
+    What an executor loses is computed again from where it came from. The caller ends it with ``unpersist``.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case; every other character as it is."""
     return F.translate(text, UPPER, LOWER)
