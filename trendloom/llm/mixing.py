@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trendloom.llm.shared import WORD, written
+from trendloom.llm.shared import WORD, cores, written
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
@@ -72,7 +72,7 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: in
 
 
 def mix_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """(source, source_size, target, whole, cut): take each document ``whole`` times, and once more if its hash is below ``cut``.
+    """(source, source_size, target, whole, cut), one row per source: take each document ``whole`` times, and once more if its hash is below ``cut``.
 
     ``rows`` is the result of ``sized``, best from a written table. The hash where the budget ends is
     included if that comes nearer to the target.
@@ -80,7 +80,7 @@ def mix_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     plan = source_targets(rows, weights, most).withColumn(
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     )
-    plan = written(plan.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")))
+    plan = written(plan.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), cores(rows))
     # (source, prefix, rest): the budget ends among hashes that start with prefix; rest is left there.
     edge = plan.where("budget > 0").select(F.col("source").alias("edge_source"), F.lit(0).cast("bigint").alias("prefix"), F.col("budget").alias("rest"))
     used = 0
@@ -95,14 +95,16 @@ def mix_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
         sums = sums.withColumn("before", F.col("through") - F.col("words"))
         edge = written(
             sums.where("before < rest and through >= rest")
-            .select("edge_source", F.col("bucket").alias("prefix"), (F.col("rest") - F.col("before")).alias("rest"), "words")
+            .select("edge_source", F.col("bucket").alias("prefix"), (F.col("rest") - F.col("before")).alias("rest"), "words"),
+            cores(rows),
         )
         used += bits
     nearer = F.when(F.col("words") - F.col("rest") < F.col("rest"), 1).otherwise(0)
     cuts = edge.select("edge_source", (F.col("prefix") + nearer).alias("cut"))
     return written(
         plan.join(cuts, plan["source"].eqNullSafe(cuts["edge_source"]), "left")
-        .select("source", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
+        .select("source", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut")),
+        cores(rows),
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.shared import SPACE, WORD, written
+from trendloom.llm.shared import SPACE, WORD, cores, written
 
 MIN_WORDS = 50
 # Items a sketch keeps exactly before it thins them out; the error of a rank is below 0.1 %.
@@ -98,7 +98,8 @@ def group_thresholds(figures: DataFrame, size: int = SKETCH_SIZE, least: int = M
     own = written(
         figures.groupBy("lang", "source").agg(
             F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(name, F.lit(size)).alias(name) for name in names]
-        )
+        ),
+        cores(figures),
     )
     merge = [F.kll_merge_agg_double(name, F.lit(size)).alias(name) for name in names]
     wide = own.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
@@ -132,7 +133,7 @@ def quality_report(docs: DataFrame, size: int = SKETCH_SIZE, least: int = MIN_GR
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     )
     figures = written(figures)
-    limits = written(group_thresholds(figures.where(~F.col("base_failed")), size, least))
+    limits = written(group_thresholds(figures.where(~F.col("base_failed")), size, least), cores(docs))
     joined = figures.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     outside = F.lit(False)
     for name, (_, below) in FIGURES.items():

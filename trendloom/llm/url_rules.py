@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trendloom.llm.shared import ascii_lower, written
+from trendloom.llm.shared import ascii_lower, cores, written
 
 # (verdict, host, path); fixed values of the query's contract.
 RULES = (
@@ -75,7 +75,7 @@ def mine_rules(
     min_confidence: float = MIN_CONFIDENCE, most_tokens: int = MOST_TOKENS,
 ) -> DataFrame:
     """(rule_tokens, confidence, support) of the combinations that stand for a bad label."""
-    labelled = written(labelled)
+    labelled = written(labelled, cores(labelled))
     rows = labelled.count()
     empty = labelled.sparkSession.createDataFrame([], "rule_tokens array<string>, confidence double, support double")
     if not rows:
@@ -89,7 +89,7 @@ def mine_rules(
     rules = model.associationRules.where(
         F.array_contains("consequent", BAD) & (F.size("antecedent") <= most_tokens)
     ).select(F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support")
-    rules = written(rules)
+    rules = written(rules, cores(rules))
     # A rule is needless if a part of its tokens is a rule at least as sure.
     smaller = rules.select(F.col("rule_tokens").alias("part"), F.col("confidence").alias("part_confidence"), F.col("rule_tokens")[0].alias("shared"))
     needless = (
@@ -129,7 +129,7 @@ def url_verdicts(pages: DataFrame, labels: DataFrame, **mining: float) -> DataFr
     Rules of the list win over mined ones. Repeated pages are judged each. Without labels nothing is
     mined. Only page_id and url of ``pages`` are used, and doc_id, quality and toxic of ``labels``.
     """
-    rules = written(mine_rules(labelled_tokens(pages, labels), **mining))
+    rules = written(mine_rules(labelled_tokens(pages, labels), **mining), cores(pages))
     hits = matched_urls(pages, rules).select(F.col("url").alias("_hit_url"))
     judged = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string")).join(
         hits, F.col("url") == F.col("_hit_url"), "left"
