@@ -138,9 +138,9 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed
        AND NOT coalesce(a > a3 + greatest(6 * (a3 - a1), 1.5) OR a < a1 - greatest(6 * (a3 - a1), 1.5), false)
-       AND NOT coalesce(b > b3 + greatest(6 * (b3 - b1), 0.10), false)
-       AND NOT coalesce(c > c3 + greatest(6 * (c3 - c1), 0.05), false)
-       AND NOT coalesce(e > e3 + greatest(6 * (e3 - e1), 0.25), false) AS kept
+       AND NOT coalesce(b > b3 + greatest(6 * (b3 - b1), 0.05), false)
+       AND NOT coalesce(c > c3 + greatest(6 * (c3 - c1), 0.50), false)
+       AND NOT coalesce(e > e3 + greatest(6 * (e3 - e1), 0.40), false) AS kept
 FROM used WHERE choice = 1
 """
 

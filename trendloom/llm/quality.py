@@ -21,8 +21,8 @@ MIN_GROUP = 50
 RANGES = 6.0
 #: figure: (slack, checked below too)
 FIGURES = {
-    "word_length": (1.5, True), "symbol_share": (0.10, False), "dup_line_share": (0.05, False),
-    "repeat_share": (0.25, False),
+    "word_length": (1.5, True), "symbol_share": (0.05, False), "dup_line_share": (0.50, False),
+    "repeat_share": (0.40, False),
 }
 
 
