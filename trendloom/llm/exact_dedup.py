@@ -17,13 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trendloom.llm.shared import written
+from trendloom.llm.shared import cores, written
 
 MIN_CHUNK, MAX_CHUNK = 256, 8192
-# Every fourth letter or digit up to U+024F.
-MARKED = "".join(chr(c) for c in range(0x30, 0x250, 4) if chr(c).isalnum())
+# Every fourth letter or digit up to U+00FF, and a part of the letters of some other scripts.
+MARKED = "".join(chr(c) for c in range(0x30, 0x100, 4) if chr(c).isalnum()) + "α-ζа-зا-د一-拿"
 # One way or the other every position matches, so the chunks of a text joined give the text.
-CHUNK = rf"(?s).{{{MIN_CHUNK}}}.{{0,{MAX_CHUNK - MIN_CHUNK - 3}}}?[{MARKED}]{{2}}[.!?\n]|.{{1,{MAX_CHUNK}}}"
+CHUNK = rf"(?s).{{{MIN_CHUNK}}}.{{0,{MAX_CHUNK - MIN_CHUNK - 1}}}?[.!?。\n](?<=[{MARKED}]{{2}}.)|.{{1,{MAX_CHUNK}}}"
 
 
 def content_chunks(text: Column) -> Column:
@@ -31,17 +31,21 @@ def content_chunks(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
-def clashing_chunks(chunks: DataFrame) -> DataFrame:
+def clashing_chunks(chunks: DataFrame) -> DataFrame | None:
     """Chunks whose digest also stands for another chunk: (digest, chunk, variant), from (digest, chunk).
 
-    Copies are folded before the shuffle. Almost always there are none.
+    None if there are none, as it almost always is. Copies are folded before the shuffle.
     """
     dictionary = chunks.groupBy("digest", "chunk").agg(F.count(F.lit(1)).alias("uses"))
     several = dictionary.groupBy("digest").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
+    several = written(several.select("digest"), cores(chunks))
+    if several.isEmpty():
+        return None
     order = Window.partitionBy("digest").orderBy("chunk")
-    return (
+    return written(
         dictionary.join(several, "digest", "left_semi")
-        .select("digest", "chunk", F.row_number().over(order).alias("variant"))
+        .select("digest", "chunk", F.row_number().over(order).alias("variant")),
+        cores(chunks),
     )
 
 
@@ -51,14 +55,14 @@ def recipes(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) ->
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     chunks = texts.select(F.explode(content_chunks(F.col("text"))).alias("chunk"))
-    clashes = written(clashing_chunks(chunks.select(digest(F.col("chunk")).alias("digest"), "chunk")))
+    clashes = clashing_chunks(chunks.select(digest(F.col("chunk")).alias("digest"), "chunk"))
     plain = texts.select(
         "doc_id", F.sha2("text", 256).alias("text_sha256"),
         F.transform(
             content_chunks(F.col("text")), lambda c: F.struct(digest(c).alias("digest"), F.lit(1).alias("variant"))
         ).alias("recipe"),
     )
-    if clashes.isEmpty():
+    if clashes is None:
         return plain
     # Number the chunks of clashing digests. The texts themselves tell which rows are the same.
     told = texts.select("text", F.posexplode(content_chunks(F.col("text"))).alias("place", "chunk")).distinct()
@@ -98,20 +102,12 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash6
 def drop_exact_copies(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """The rows that stay, with the columns of ``docs``. Of repeated rows any one stays."""
     names = docs.columns
-    stay = (
-        recipes(docs, digest).groupBy("doc_id", "text_sha256", "recipe").agg(F.count(F.lit(1)).alias("copies"))
-    )
-    last = stay.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"))
-    stay = stay.join(last, "recipe").where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha"), F.col("copies").alias("_stay_n")
+    # Equal recipes are equal texts, so a group has one checksum.
+    stay = recipes(docs, digest).groupBy("recipe", "text_sha256").agg(F.max("doc_id").alias("_stay_id")).select(
+        "_stay_id", F.col("text_sha256").alias("_stay_sha")
     )
+    # Each text has one row in ``stay``, so its checksum is the key; rows are sorted by it after the join.
     sha = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
     keyed = docs.withColumns({"_row_sha": sha, "_row_id": docs["doc_id"].cast("bigint")})
-
-    def matching(part: DataFrame) -> DataFrame:
-        same = keyed["_row_id"].eqNullSafe(part["_stay_id"]) & (keyed["_row_sha"] == part["_stay_sha"])
-        return keyed.join(part, same)
-
-    once = matching(stay.where("_stay_n = 1")).select(*names)
-    repeated = matching(stay.where("_stay_n > 1")).dropDuplicates(["_row_id", "_row_sha"]).select(*names)
-    return once.unionAll(repeated)
+    same = (keyed["_row_sha"] == stay["_stay_sha"]) & keyed["_row_id"].eqNullSafe(stay["_stay_id"])
+    return keyed.join(stay, same).dropDuplicates(["_row_sha"]).select(*names)
