@@ -390,7 +390,8 @@ def one_of_each_component(docs: DataFrame, **sizes: int) -> DataFrame:
     )
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     keyed = docs.withColumns({"_row_key": F.sha2(text, 256), "_row_id": docs["doc_id"].cast("bigint"), "_empty": ~text.rlike(r"[^\x20\x09-\x0D]")})
+    # Each text has one row in ``stay``, so its checksum is the key; rows are sorted by it after the join.
     kept = keyed.where(~F.col("_empty")).join(
-        stay, F.col("_row_id").eqNullSafe(F.col("_stay_id")) & (F.col("_row_key") == F.col("_stay_key"))
-    ).dropDuplicates(["_row_id", "_row_key"])
+        stay, (F.col("_row_key") == F.col("_stay_key")) & F.col("_row_id").eqNullSafe(F.col("_stay_id"))
+    ).dropDuplicates(["_row_key"])
     return kept.select(*docs.columns).unionAll(keyed.where("_empty").select(*docs.columns))
