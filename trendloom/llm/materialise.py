@@ -9,6 +9,7 @@ number of places are written by range partitions; sequence s lies in shard s //
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -59,18 +60,20 @@ def sequences(docs: DataFrame, tokenizer_path: str | None = None, length: int =
         part, local, encoder = TaskContext.get().partitionId(), 0, process_encoder(path)
         for batch in batches:
             doc_ids, column = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(doc_ids), 64):
+            for at in range(0, len(doc_ids), 128):
                 rows = []
-                for doc_id, ids in zip(doc_ids[at : at + 64], encoder.encode_all(column.slice(at, 64).to_pylist())):
-                    ids = np.append(ids, END)
-                    if ids.max() > 0xFFFF:
+                for doc_id, ids in zip(doc_ids[at : at + 128], encoder.encode_all(column.slice(at, 128).to_pylist())):
+                    if len(ids) and ids.max() > 0xFFFF:
                         raise ValueError("ids beyond 16 bits: the shards hold 16-bit ids")
-                    pieces = -(-len(ids) // length)
+                    tokens = len(ids) + 1
+                    pieces = -(-tokens // length)
                     padded = np.full(pieces * length, PAD, "<u2")
-                    padded[: len(ids)] = ids
+                    padded[:-1][: len(ids)] = ids
+                    padded[len(ids)] = END
+                    raw = padded.tobytes()
                     for piece in range(pieces):
-                        n = min(length, len(ids) - piece * length)
-                        rows.append((part, local, doc_id, piece, n, padded[piece * length : (piece + 1) * length].tobytes()))
+                        n = min(length, tokens - piece * length)
+                        rows.append((part, local, doc_id, piece, n, raw[2 * piece * length : 2 * (piece + 1) * length]))
                         local += 1
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 names = ["part", "local", "doc_id", "piece", "n_tokens", "ids"]
@@ -86,21 +89,18 @@ def with_slots(rows: DataFrame, key: int = KEY) -> DataFrame:
     ends = rows.groupBy("part").agg((F.max("local") + 1).alias("n"))
     # One row per task that wrote the table.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = written(ends.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
+    firsts = written(ends.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), 1)
     size = firsts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    def permute(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            slots = feistel(batch.column("number").to_numpy(), size, key)
-            keep = [n for n in batch.schema.names if n != "number"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(slots, pa.int64())], [*keep, "slot"])
+    @F.pandas_udf("bigint")
+    def slot(numbers: pd.Series) -> pd.Series:
+        return pd.Series(feistel(numbers.to_numpy(), size, key))
 
     numbered = rows.join(firsts.select("part", "first"), "part").select(
         "doc_id", "piece", "n_tokens", "ids", (F.col("first") + F.col("local")).alias("number")
     )
-    return numbered.mapInArrow(permute, "doc_id bigint, piece int, n_tokens int, ids binary, slot bigint")
+    # Only the numbers go to Python; the ids stay where they are.
+    return numbered.withColumn("slot", slot("number")).drop("number")
 
 
 def training_shards(

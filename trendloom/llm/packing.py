@@ -86,7 +86,7 @@ def pack_documents(
         rows, held = [], 0
         for batch in batches:
             doc_ids, column = batch.column("doc_id").to_pylist(), batch.column("text")
-            encoded = (x for at in range(0, len(doc_ids), 64) for x in encoder.encode_all(column.slice(at, 64).to_pylist()))
+            encoded = (x for at in range(0, len(doc_ids), 128) for x in encoder.encode_all(column.slice(at, 128).to_pylist()))
             for doc_id, ids in zip(doc_ids, encoded):
                 ids = np.concatenate([ids, end]).astype("<u4", copy=False)
                 for piece, start in enumerate(range(0, len(ids), capacity)):

@@ -8,17 +8,28 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 # Distinct words kept per process; beyond it the memory is emptied and filled anew. Ids do not depend on it.
-WORDS_KEPT = 1_200_000
+WORDS_KEPT = 1_500_000
 # Words of these letters with at most one full stop or comma behind them: their ids are those of the word in
 # lower case, which the vocabulary takes as one unit, and of the mark. All other words take the long way.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
+def units_of(text: str | None) -> list[bytes]:
+    """The parts of a text between white space that are encoded one by one.
+
+    A to Z become lower case, as in the vocabulary, unless the text may name a special token.
+    """
+    if not text:
+        return []
+    raw = text.encode("utf-8")
+    return raw.split() if b"<|" in raw else raw.lower().split()
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: printable bytes for themselves, the others from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -82,6 +93,9 @@ class WordEncoder:
     def _learn(self, words: list[bytes]) -> None:
         long_way, plain, stems = [b".", b","], [], {}
         for word in words:
+            if word.isalpha() and word.islower():
+                stems[word] = word.decode("ascii")
+                continue
             text = word.decode("utf-8")
             match = PLAIN.fullmatch(text)
             if match is None:
@@ -107,13 +121,13 @@ class WordEncoder:
         """Ids of each text as uint32; empty for null and white space."""
         if len(self._code) > self._kept:
             self._reset()
-        split = [text.encode("utf-8").split() if text else [] for text in texts]
+        split = [units_of(text) for text in texts]
         words = [w for text in split for w in text]
-        codes = list(map(self._code.get, words))
-        if None in codes:
-            self._learn(list(dict.fromkeys(w for w, c in zip(words, codes) if c is None)))
-            codes = list(map(self._code.get, words))
-        codes = np.array(codes, np.int64)
+        codes = np.fromiter(map(self._code.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(codes < 0).tolist()
+        if new:
+            self._learn(list(dict.fromkeys([words[k] for k in new])))
+            codes[new] = [self._code[words[k]] for k in new]
         flat = self._gather(codes)
         ends = np.concatenate([[0], np.cumsum(self._size[codes])])[np.cumsum([0, *map(len, split)])]
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
