@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trendloom.llm.shared import cores, written
+from trendloom.llm.shared import cores, row_name, written
 
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 # Every fourth letter or digit up to U+00FF, and a part of the letters of some other scripts.
@@ -104,10 +104,9 @@ def drop_exact_copies(docs: DataFrame, digest: Callable[[Column], Column] = F.xx
     names = docs.columns
     # Equal recipes are equal texts, so a group has one checksum.
     stay = recipes(docs, digest).groupBy("recipe", "text_sha256").agg(F.max("doc_id").alias("_stay_id")).select(
-        "_stay_id", F.col("text_sha256").alias("_stay_sha")
+        row_name(F.col("_stay_id")).alias("_row_id"), F.col("text_sha256").alias("_row_sha")
     )
-    # Each text has one row in ``stay``, so its checksum is the key; rows are sorted by it after the join.
+    # Joined and made distinct by the same plain columns, texts move once.
     sha = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
-    keyed = docs.withColumns({"_row_sha": sha, "_row_id": docs["doc_id"].cast("bigint")})
-    same = (keyed["_row_sha"] == stay["_stay_sha"]) & keyed["_row_id"].eqNullSafe(stay["_stay_id"])
-    return keyed.join(stay, same).dropDuplicates(["_row_sha"]).select(*names)
+    keyed = docs.withColumns({"_row_sha": sha, "_row_id": row_name(docs["doc_id"])})
+    return keyed.join(stay, ["_row_sha", "_row_id"]).dropDuplicates(["_row_sha", "_row_id"]).select(*names)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from trendloom.llm import keys
 from trendloom.llm.graph import components
-from trendloom.llm.shared import cores, held, written
+from trendloom.llm.shared import cores, held, row_name, written
 from trendloom.llm.word_hashes import MIX, WordHasher, runs, scramble, shingle_hashes
 
 SHINGLE = 5
@@ -386,12 +386,10 @@ def one_of_each_component(docs: DataFrame, **sizes: int) -> DataFrame:
     """
     _, sets = component_of_texts(docs, **sizes)
     stay = sets.where("n > 0 and (component is null or component = node)").select(
-        F.col("node").alias("_stay_id"), F.col("key").alias("_stay_key")
+        row_name(F.col("node")).alias("_row_id"), F.col("key").alias("_row_key")
     )
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    keyed = docs.withColumns({"_row_key": F.sha2(text, 256), "_row_id": docs["doc_id"].cast("bigint"), "_empty": ~text.rlike(r"[^\x20\x09-\x0D]")})
-    # Each text has one row in ``stay``, so its checksum is the key; rows are sorted by it after the join.
-    kept = keyed.where(~F.col("_empty")).join(
-        stay, (F.col("_row_key") == F.col("_stay_key")) & F.col("_row_id").eqNullSafe(F.col("_stay_id"))
-    ).dropDuplicates(["_row_key"])
+    keyed = docs.withColumns({"_row_key": F.sha2(text, 256), "_row_id": row_name(docs["doc_id"]), "_empty": ~text.rlike(r"[^\x20\x09-\x0D]")})
+    # Joined and made distinct by the same plain columns, texts move once.
+    kept = keyed.where(~F.col("_empty")).join(stay, ["_row_key", "_row_id"]).dropDuplicates(["_row_key", "_row_id"])
     return kept.select(*docs.columns).unionAll(keyed.where("_empty").select(*docs.columns))

@@ -42,6 +42,11 @@ def held(df: DataFrame) -> DataFrame:
     return df
 
 
+def row_name(doc_id: Column) -> Column:
+    """The id as text, empty for null, so that rows without an id can be joined as well."""
+    return F.coalesce(doc_id.cast("bigint").cast("string"), F.lit(""))
+
+
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case; every other character as it is."""
     return F.translate(text, UPPER, LOWER)
