@@ -17,6 +17,7 @@ HEADLINE = (
     "r9_ranked_topics", "r2_lexicon_sentiment", "l2_tfidf", "l3_pair_cosine", "l6_greedy_clusters",
     "a1_cluster_report", "c4_drop_incomplete", "k2_insert_articles", "x1_json_script", "x2_html_dom",
     "s4_attempt_resolution", "k8_ticker_upsert", "m3_growth_schedule", "t2_article_stream",
+    "r8_scoring_job", "t3_topic_stream",
 )
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute_force
-from trendloom.functions.edit import distance
+from trendloom.functions.edit import distance, exceeds
 from trendloom.operators import clustering
 
 SCHEMA = "title_id long, title string, summary string, published_at timestamp"
@@ -106,6 +106,8 @@ def test_edit_distance_equals_plain_version():
         a = "".join(rng.choices("abcé ", k=rng.randrange(9)))
         b = "".join(rng.choices("abcé ", k=rng.randrange(9)))
         assert distance(a, b) == brute_force.edit_distance(a, b)
+        for limit in (0.0, 0.3, 0.8):
+            assert exceeds(a, b, limit) == (brute_force.title_similarity(a, b) > limit)
 
 
 def test_report_and_averages(spark):

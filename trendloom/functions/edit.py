@@ -11,6 +11,17 @@ def similarity(left: str, right: str) -> float:
     return (longest - distance(left, right)) / longest if longest else 1.0
 
 
+def exceeds(left: str, right: str, limit: float) -> bool:
+    """Whether the similarity is above ``limit``.
+
+    Places with the same character in both texts bound it from below, which settles most long texts.
+    """
+    longest = max(len(left), len(right))
+    if longest and sum(map(str.__eq__, left, right)) / longest > limit:
+        return True
+    return similarity(left, right) > limit
+
+
 def distance(left: str, right: str) -> int:
     if left == right:
         return 0

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from trendloom.functions.edit import similarity
+from trendloom.functions.edit import exceeds
 from trendloom.functions.text import ENGLISH_STOP_WORDS, jaccard, levenshtein_similarity
 from trendloom.operators import similarity as sim
 from trendloom.operators.similarity import cosine_block
@@ -186,7 +186,7 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
                     chosen = label_ids[j], label_times[j], label_titles[j]
             if offered[i] > best or (offered[i] == best > 0 and offer_ids[i] < chosen[0]):
                 best, chosen = offered[i], (offer_ids[i], offer_times[i], block["label_title"].iat[i])
-            if best > min_cosine and similarity(chosen[2], titles[i]) > min_levenshtein:
+            if best > min_cosine and exceeds(chosen[2], titles[i], min_levenshtein):
                 label_ids[i], label_times[i], label_titles[i] = chosen
         return pd.DataFrame(
             {
