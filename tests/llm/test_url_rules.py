@@ -65,3 +65,19 @@ def test_labels_lead_to_verdicts(spark):
     labels = spark.createDataFrame([(k, 1 - k % 2, None, "x") for k in range(60)] + [(3, 1, 0, "x"), (None, 0, 0, "x")], LABELS)
     verdicts = {r.page_id: (r.verdict, r.rule) for r in url_verdicts(pages(spark, urls), labels).collect()}
     assert all(verdicts[k] == ("block" if k % 2 else "allow", None) for k in range(60)) and verdicts[60] == ("block", None)
+
+
+def test_rules_of_four_tokens_and_small_hosts_in_a_large_table(spark):
+    four = [({"h0:com", "h1:a", "p:x", "q:s"} - ({drop} if drop else set()), drop is None)
+            for drop in (None, "h0:com", "h1:a", "p:x", "q:s") for _ in range(8)]
+    rows = [(sorted(t), b) for t, b in four] + [(["h0:org", f"h1:good{k % 7}", f"p:{k % 5}"], False) for k in range(4000)]
+    rows += [(["h0:org", "h1:evil", f"p:{k % 5}"], True) for k in range(6)]  # 0.15 % of the labels
+    labelled = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    got = {tuple(r.rule_tokens): r.confidence for r in mine_rules(labelled).collect()}
+    assert got == {("h0:com", "h1:a", "p:x", "q:s"): 1.0, ("h1:evil",): 1.0}
+
+
+def test_many_equal_tokens_stay_few_rules(spark):
+    rows = [([f"p:{k:02d}" for k in range(30)], True)] * 9 + [(["p:x"], False)] * 9
+    rules = mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert sorted(tuple(r.rule_tokens) for r in rules) == [(f"p:{k:02d}",) for k in range(30)]

@@ -1,14 +1,17 @@
 """URL verdicts: a rule list, then association rules mined from labelled URLs, with built-in functions only.
 
-FP-growth finds token combinations that occur often among labelled URLs and mostly with a bad label. A
-combination is dropped if fewer of its tokens say as much. The rest is matched through an inverted index
+Token combinations of any length that occur with enough bad labels are grown token by token, and those
+with mostly bad ones are rules. A combination is dropped if fewer of its tokens say as much. The rest is
+matched through an inverted index
 that lists each combination under its rarest token; the other tokens are then looked up in the URL's own
 token list, so a token that most URLs have finds nothing by itself.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,12 +22,13 @@ from trendloom.llm.shared import ascii_lower, cores, written
 RULES = (
     ("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
 )
-MIN_SUPPORT = 0.005
-# Fewer labelled URLs than this show nothing, however many URLs there are.
+# Fewer bad URLs than this show nothing; as many do, however many URLs there are.
 MIN_COUNT = 5
 MIN_CONFIDENCE = 0.8
-MOST_TOKENS = 3
-BAD = "label:bad"
+# The lower end of the confidence (Wilson, 95 %) must lie above the share of bad URLs, or this if that is less.
+LEAST_SURE, Z = 0.5, 1.96
+# Rows with the same combination are dealt to so many tasks.
+SALTS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -70,36 +74,72 @@ def labelled_tokens(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def surely(bad: Column, n: Column) -> Column:
+    """The lower end of the Wilson interval of bad / n."""
+    share, z = bad / n, F.lit(Z)
+    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def mine_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
-    min_confidence: float = MIN_CONFIDENCE, most_tokens: int = MOST_TOKENS,
+    labelled: DataFrame, min_support: float = 0.0, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """(rule_tokens, confidence, support) of the combinations that stand for a bad label."""
-    labelled = written(labelled, cores(labelled))
-    rows = labelled.count()
-    empty = labelled.sparkSession.createDataFrame([], "rule_tokens array<string>, confidence double, support double")
-    if not rows:
-        return empty
-    items = labelled.select(
-        F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")
+    """(rule_tokens, confidence, support) of the combinations that stand for a bad label.
+
+    Combinations grow by one token per round. Not grown, as nothing surer comes of them: combinations with
+    too few bad URLs, those with bad URLs only, and those that fewer of their tokens already choose the
+    same URLs as (the fewer tokens are then as sure, with any further token too). ``min_support``, a share
+    of the labelled URLs, can only raise the least number of bad URLs.
+    """
+    tasks = cores(labelled)
+    merged = labelled.groupBy(F.array_sort("tokens").alias("tokens")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("bigint")).alias("bad")
     )
-    model = FPGrowth(
-        itemsCol="items", minSupport=min(1.0, max(min_support, min_count / rows)), minConfidence=min_confidence
-    ).fit(items)
-    rules = model.associationRules.where(
-        F.array_contains("consequent", BAD) & (F.size("antecedent") <= most_tokens)
-    ).select(F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support")
-    rules = written(rules, cores(rules))
-    # A rule is needless if a part of its tokens is a rule at least as sure.
-    smaller = rules.select(F.col("rule_tokens").alias("part"), F.col("confidence").alias("part_confidence"), F.col("rule_tokens")[0].alias("shared"))
-    needless = (
-        rules.select("rule_tokens", "confidence", F.explode("rule_tokens").alias("shared")).join(smaller, "shared")
-        .where(
-            (F.size("part") < F.size("rule_tokens")) & (F.col("part_confidence") >= F.col("confidence"))
-            & (F.size(F.array_except("part", "rule_tokens")) == 0)
-        ).select("rule_tokens").distinct()
+    urls = written(merged.withColumn("row", F.monotonically_increasing_id()), tasks)
+    rows, bad_rows = urls.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    if not bad_rows:
+        return labelled.sparkSession.createDataFrame([], "rule_tokens array<string>, confidence double, support double")
+    least = max(min_count, math.ceil(min_support * rows), 1)
+    sure = F.col("bad") / F.col("n")
+    fits = (sure >= min_confidence) & (surely(F.col("bad"), F.col("n")) > min(LEAST_SURE, bad_rows / rows))
+    counts = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+
+    def judged(combinations: DataFrame) -> DataFrame:
+        """Add ``best``, the confidence of the surest rule among a combination and its parts."""
+        known = F.coalesce("parts_best", F.lit(0.0))
+        return written(combinations.withColumn("best", F.when(fits, F.greatest(sure, known)).otherwise(known)), tasks)
+
+    def held_by(found: DataFrame, grown: DataFrame) -> DataFrame:
+        """(row, part) for the combinations among ``grown`` that can grow on."""
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        open_ones = grown.where("bad < n").select("part", salts)
+        salted = found.select("row", "part", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"))
+        return written(salted.join(open_ones, ["part", "salt"]).select("row", "part"), tasks)
+
+    found = urls.select("row", "n", "bad", F.explode("tokens").alias("token")).withColumn("part", F.array("token"))
+    grown = judged(
+        found.groupBy("part").agg(*counts).where(F.col("bad") >= least).withColumn("parts_best", F.lit(None).cast("double"))
     )
-    return rules.join(needless, "rule_tokens", "left_anti")
+    levels, holders = [grown], held_by(found, grown)
+    tokens = holders.groupBy("row").agg(F.collect_list(F.col("part")[0]).alias("tokens"))
+    urls = written(urls.select("row", "n", "bad").join(tokens, "row"), tasks)
+    while not holders.isEmpty():
+        longer = F.explode(F.filter("tokens", lambda t: t > F.element_at("part", -1)))
+        found = holders.join(urls, "row").select("row", "n", "bad", "part", longer.alias("token"))
+        found = found.select("row", "n", "bad", F.concat("part", F.array("token")).alias("part"))
+        counted = written(found.groupBy("part").agg(*counts).where(F.col("bad") >= least), tasks)
+        # Every combination with one token less must be there, choose more URLs, and be able to grow.
+        without = F.transform("part", lambda t: F.filter("part", lambda other: other != t))
+        before = grown.where("bad < n").select(F.col("part").alias("less"), F.col("n").alias("less_n"), F.col("best").alias("less_best"))
+        checked = (
+            counted.select("part", "n", "bad", F.explode(without).alias("less")).join(before, "less")
+            .groupBy("part", "n", "bad").agg(F.count(F.lit(1)).alias("parts"), F.min("less_n").alias("less_n"), F.max("less_best").alias("parts_best"))
+            .where((F.col("parts") == F.size("part")) & (F.col("less_n") > F.col("n")))
+        )
+        grown = judged(checked.select("part", "n", "bad", "parts_best"))
+        levels.append(grown)
+        holders = held_by(found, grown)
+    rules = reduce(DataFrame.unionAll, levels).where(fits & (sure > F.coalesce("parts_best", F.lit(0.0))))
+    return rules.select(F.col("part").alias("rule_tokens"), sure.alias("confidence"), (F.col("bad") / rows).alias("support"))
 
 
 def matched_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
