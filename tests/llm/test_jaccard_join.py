@@ -71,6 +71,24 @@ def test_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 8, 11, 13, 20, 30, 31]
 
 
+def test_null_ids_and_ids_of_several_texts(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join(words[k:] + [f"x{j}" for j in range(k)]) for k in (0, 7, 14)]  # each linked to the next only
+    rows = [(5, near[0]), (None, near[1]), (9, near[2]), (7, "another text of six words"), (7, near[2] + " y"),
+            (None, "no id here at all now a b c d e f g h i j"), (None, "no id here at all now a b c d e f g h i j k")]
+    got = jj.linked_documents(make(spark, rows), chunk_chars=50).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == sorted([
+        ("5", "5"), ("None", "5"), ("9", "5"), ("7", "7"), ("7", "5"), ("None", "None"), ("None", "None"),
+    ])
+    kept = [(r.doc_id, r.text) for r in jj.one_of_each_component(make(spark, rows), chunk_chars=50).collect()]
+    assert len(kept) == 3 and {rows[0], rows[3]} < set(kept) and set(kept) & set(rows[5:])
+
+
+def test_texts_without_id_are_dealt_to_many_chunks(spark):
+    dealt = jj.dealt_texts(make(spark, [(None, f"text {k}") for k in range(200)]), 8).groupBy("chunk").count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 60
+
+
 def test_empty_table(spark):
     assert jj.linked_documents(make(spark, [])).count() == 0
 

@@ -43,7 +43,7 @@ GROUP_SHINGLES = 32
 # Documents on either side of a tile, and shingles compared at a time there.
 TILE, TILE_SHINGLES = 512, 4096
 UNIQUE, RARE, COMMON = 0, 1, 2
-SIGNATURES = "key string, doc_id bigint, n bigint, m bigint, signature bigint, text binary"
+SIGNATURES = "key string, doc_id bigint, node bigint, n bigint, m bigint, signature bigint, text binary"
 PACKED = "bucket int, chunk int, payload binary"
 
 
@@ -95,14 +95,14 @@ def signatures(shingles: np.ndarray, kinds: np.ndarray) -> np.ndarray:
 class Shingled:
     """Distinct shingles of each text of a chunk that stands for its copies."""
 
-    def __init__(self, table, chosen: set[tuple[int | None, str]]):
+    def __init__(self, table, chosen: dict[tuple[int | None, str], int]):
         hasher, self.rows = WordHasher(), []
         words, seen = [], set()
         for doc_id, text in zip(*(table.column(c).to_pylist() for c in ("doc_id", "text"))):
             key = hashlib.sha256(text or b"").hexdigest()
             if (doc_id, key) in chosen and (doc_id, key) not in seen:
                 seen.add((doc_id, key))
-                self.rows.append((key, doc_id, text))
+                self.rows.append((key, doc_id, chosen[doc_id, key], text))
                 words.append((text or b"").lower().split())
         count = np.array([len(w) for w in words], np.int64)
         hashes = hasher([w for text in words for w in text])
@@ -140,25 +140,29 @@ def dealt_texts(docs: DataFrame, chunks: int) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text.cast("binary").alias("text"),
-        keys.chunk_of(F.col("doc_id"), chunks).alias("chunk"),
+        keys.chunk_of(F.col("doc_id"), text, chunks).alias("chunk"),
     )
 
 
 def index(docs: DataFrame, chunk_chars: int, bucket_chars: int) -> tuple[DataFrame, DataFrame]:
     """(ids, signatures): the first has (doc_id, key) of every row; the second a row for each distinct
     text (signature null; n shingles, m of them in other texts too) and one for each of its signatures.
-    Texts with signatures are kept packed."""
+    A text has a number of its own, ``node``, as ids can be null or stand for several texts. Texts with
+    signatures are kept packed."""
     chunks, buckets = keys.sizes(docs, chunk_chars, bucket_chars)
     texts = dealt_texts(docs, chunks)
-    ids = texts.select("doc_id", F.sha2(F.coalesce("text", F.lit(b"")), 256).alias("key"))
-    # Copies of a text have the same set; the one with the smallest id stands for them.
-    chosen = ids.groupBy("key").agg(F.min("doc_id").alias("doc_id")).select(
-        keys.chunk_of(F.col("doc_id"), chunks).alias("chunk"), F.lit(-1).alias("bucket"),
-        F.lit(None).cast("binary").alias("payload"), "doc_id", F.col("key").alias("key"),
+    ids = texts.select("doc_id", F.sha2(F.coalesce("text", F.lit(b"")), 256).alias("key"), "chunk")
+    # Copies of a text have the same set; the one with the smallest id stands for them, one without an id
+    # only if none has one. The numbers are final once they are written.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "chunk")).alias("first")
+    chosen = written(
+        ids.groupBy("key").agg(first).select("key", "first.doc_id", "first.chunk", F.monotonically_increasing_id().alias("node")),
+        cores(docs),
     )
+    chosen = chosen.select("chunk", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("payload"), "doc_id", "key", "node")
 
-    def chosen_here(rows: list[dict]) -> set:
-        return {(r["doc_id"], r["key"]) for r in rows if r["bucket"] < 0}
+    def chosen_here(rows: list[dict]) -> dict:
+        return {(r["doc_id"], r["key"]): r["node"] for r in rows if r["bucket"] < 0}
 
     def packed(rows):
         import pyarrow as pa
@@ -192,22 +196,25 @@ def index(docs: DataFrame, chunk_chars: int, bucket_chars: int) -> tuple[DataFra
             key, _, which = found.keys()
             kinds = keys.received(key, buckets, [(r["bucket"], r["payload"]) for r in rows if r["bucket"] >= 0])[which]
             squeeze = zstandard.ZstdCompressor(level=3).compress
-            for k, (sha, doc_id, text) in enumerate(found.rows):
+            for k, (sha, doc_id, node, text) in enumerate(found.rows):
                 part = slice(found.ends[k], found.ends[k + 1])
                 n = part.stop - part.start
-                marks = signatures(found.shingles[part], kinds[part]) if n and doc_id is not None else ()
+                marks = signatures(found.shingles[part], kinds[part]) if n else ()
                 m = int((kinds[part] != UNIQUE).sum())
-                out.append((sha, doc_id, n, m, None, squeeze(text) if len(marks) else None))
-                out.extend((None, doc_id, n, m, mark, None) for mark in np.asarray(marks, np.uint64).view(np.int64).tolist())
-        kinds_out = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return _table(out, kinds_out, ["key", "doc_id", "n", "m", "signature", "text"])
+                out.append((sha, doc_id, node, n, m, None, squeeze(text) if len(marks) else None))
+                out.extend((None, None, node, n, m, mark, None) for mark in np.asarray(marks, np.uint64).view(np.int64).tolist())
+        kinds_out = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        return _table(out, kinds_out, ["key", "doc_id", "node", "n", "m", "signature", "text"])
 
     by_chunk = texts.groupBy("chunk")
     counted = by_chunk.cogroup(chosen.groupBy("chunk")).applyInArrow(count, PACKED)
     kinds = counted.groupBy("bucket").applyInArrow(classify, PACKED)
-    told = kinds.select("chunk", "bucket", "payload", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("key"))
+    none = F.lit(None)
+    told = kinds.select(
+        "chunk", "bucket", "payload", none.cast("bigint").alias("doc_id"), none.cast("string").alias("key"), none.cast("bigint").alias("node")
+    )
     signed = by_chunk.cogroup(told.unionAll(chosen).groupBy("chunk")).applyInArrow(sign, SIGNATURES)
-    return ids, held(signed)
+    return ids.drop("chunk"), held(signed)
 
 
 def shingle_set(text: bytes) -> set[tuple[bytes, ...]]:
@@ -242,8 +249,8 @@ def compared(pairs: DataFrame, packed_texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in linked], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return (
-        pairs.join(packed_texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(packed_texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.join(packed_texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(packed_texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
     )
 
@@ -252,7 +259,7 @@ def tile_links(table):
     """Links between the two sides of a tile, one for each document apart and component it leads to."""
     import pyarrow as pa
 
-    columns = {c: table.column(c).to_pylist() for c in ("side", "doc_id", "component", "text")}
+    columns = {c: table.column(c).to_pylist() for c in ("side", "node", "component", "text")}
     sets = [shingle_set(t) for t in columns["text"]]
     apart = [k for k, side in enumerate(columns["side"]) if side == 0]
     others = [k for k, side in enumerate(columns["side"]) if side == 1]
@@ -283,14 +290,14 @@ def tile_links(table):
         for i, k in enumerate(apart):
             partners = np.array(others)[hit[i]]
             _, first_of = np.unique(components_of[partners], return_index=True)
-            linked += [(columns["doc_id"][k], columns["doc_id"][p]) for p in partners[first_of].tolist()]
+            linked += [(columns["node"][k], columns["node"][p]) for p in partners[first_of].tolist()]
     return pa.Table.from_arrays([pa.array([p[k] for p in linked], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def tiles(members: DataFrame, packed_texts: DataFrame) -> DataFrame:
     """Links between members of a hub that are apart from it and all its other members.
 
-    ``members`` is (hub, doc_id, n, m, component, hub_component) without the hubs themselves.
+    ``members`` is (hub, node, n, m, component, hub_component) without the hubs themselves.
     """
     # What is linked to y has at least 3/7 (n + the least size a partner can have) of y's shared shingles.
     can_link = 7 * F.col("m") >= 3 * (F.col("n") + F.ceil(0.75 * F.col("n")))
@@ -301,42 +308,42 @@ def tiles(members: DataFrame, packed_texts: DataFrame) -> DataFrame:
     counts = counts.select(
         "hub", F.ceil(F.col("aparts") / TILE).cast("int").alias("rows"), F.ceil(F.col("others") / TILE).cast("int").alias("columns")
     )
-    placed = members.join(counts, "hub").withColumn("place", F.xxhash64("doc_id"))
+    placed = members.join(counts, "hub").withColumn("place", F.xxhash64("node"))
     whole = F.lit(0)
     rows = placed.where("apart").select(
         "hub", F.pmod("place", F.col("rows")).alias("row"), F.explode(F.sequence(whole, F.col("columns") - 1)).alias("column"),
-        F.lit(0).alias("side"), "doc_id", "component",
+        F.lit(0).alias("side"), "node", "component",
     )
     columns = placed.select(
         "hub", F.explode(F.sequence(whole, F.col("rows") - 1)).alias("row"), F.pmod("place", F.col("columns")).alias("column"),
-        F.lit(1).alias("side"), "doc_id", "component",
+        F.lit(1).alias("side"), "node", "component",
     )
-    return rows.select("hub", F.col("row").cast("int").alias("row"), "column", "side", "doc_id", "component").unionAll(
-        columns.select("hub", "row", F.col("column").cast("int").alias("column"), "side", "doc_id", "component")
-    ).join(packed_texts, "doc_id").groupBy("hub", "row", "column").applyInArrow(tile_links, "a bigint, b bigint")
+    return rows.select("hub", F.col("row").cast("int").alias("row"), "column", "side", "node", "component").unionAll(
+        columns.select("hub", "row", F.col("column").cast("int").alias("column"), "side", "node", "component")
+    ).join(packed_texts, "node").groupBy("hub", "row", "column").applyInArrow(tile_links, "a bigint, b bigint")
 
 
 def near_components(signed: DataFrame) -> DataFrame:
     """(node, component) of the linked texts among those in the signature table."""
-    marks = signed.where("signature is not null").select("signature", "doc_id", "n", "m")
+    marks = signed.where("signature is not null").select("signature", "node", "n", "m")
     # The hub has few shingles of its own, so it is likely to be linked to most of its list.
     hubs = marks.groupBy("signature").agg(
-        F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("doc_id")).alias("first"), "doc_id", "n", "m")).alias("hub"),
+        F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("node")).alias("first"), "node", "n", "m")).alias("hub"),
         F.count(F.lit(1)).alias("members"),
     ).where("members > 1").select(
-        "signature", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.m").alias("hub_m")
+        "signature", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.m").alias("hub_m")
     )
-    members = held(marks.join(hubs, "signature").where("doc_id <> hub").drop("signature").distinct())
-    packed_texts = signed.where("text is not null").select("doc_id", "text")
+    members = held(marks.join(hubs, "signature").where("node <> hub").drop("signature").distinct())
+    packed_texts = signed.where("text is not null").select("node", "text")
     # An intersection has at least 3/7 of both sizes together, and only shingles that others have too.
     fits = 7 * F.least("m", "hub_m") >= 3 * (F.col("n") + F.col("hub_n"))
-    pairs = members.where(fits).select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
+    pairs = members.where(fits).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = held(compared(pairs, packed_texts))
     named = components(links)
     placed = (
-        members.join(named.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        members.join(named.select(F.col("node").alias("node"), "component"), "node", "left")
         .join(named.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
-        .select("hub", "doc_id", "n", "m", F.coalesce("component", "doc_id").alias("component"), F.coalesce("hub_component", "hub").alias("hub_component"))
+        .select("hub", "node", "n", "m", F.coalesce("component", "node").alias("component"), F.coalesce("hub_component", "hub").alias("hub_component"))
     )
     more = held(tiles(placed, packed_texts))
     named = named if more.isEmpty() else components(links.unionAll(more))
@@ -348,12 +355,23 @@ def near_components(signed: DataFrame) -> DataFrame:
 def component_of_texts(
     docs: DataFrame, chunk_chars: int = keys.CHUNK_CHARS, bucket_chars: int = keys.BUCKET_CHARS
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, key) of every row, and (key, node, n, component) of every distinct text, from a written table."""
+    """(doc_id, key) of every row, and (key, doc_id, n, component, leads) of every distinct text, from a written table.
+
+    ``component`` is the smallest id in it, null if none has one; ``leads`` is true for one text of each.
+    """
     ids, signed = index(docs, chunk_chars, bucket_chars)
     named = near_components(signed)
-    sets = signed.where("key is not null").select("key", F.col("doc_id").alias("node"), "n")
+    sets = signed.where("key is not null").select("key", "doc_id", "node", "n")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")
+    led = named.join(sets.select("node", "doc_id"), "node").groupBy("component").agg(first)
+    named = named.join(led, "component").select("node", "first")
+    alone = F.col("first").isNull()
     sets = written(
-        sets.join(named, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")), cores(docs)
+        sets.join(named, "node", "left").select(
+            "key", "doc_id", "n", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component"),
+            (alone | (F.col("first.node") == F.col("node"))).alias("leads"),
+        ),
+        cores(docs),
     )
     signed.unpersist()
     return ids, sets
@@ -368,11 +386,12 @@ def linked_documents(
     runs of five words; fewer words are one run. Two documents are linked if 100 * intersection >=
     75 * union. ``component_id`` is the smallest id that links lead to. Texts without words, and null,
     have no shingles and are linked with nothing, not even with each other; their component is their own
-    id. Repeated rows are linked as equal texts are. A null ``doc_id`` is no id to lead to: such a row has
-    the component of its copies, or null. An empty table gives no rows.
+    id. Repeated rows are linked as equal texts are, and rows with one id and different texts each as
+    their text is. Rows with a null ``doc_id`` are linked like others, but null is no id to lead to: where
+    no linked row has an id the component is null. An empty table gives no rows.
     """
     ids, sets = component_of_texts(docs, chunk_chars, bucket_chars)
-    return ids.join(sets, "key").select(
+    return ids.join(sets.drop("doc_id"), "key").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
@@ -381,12 +400,12 @@ def linked_documents(
 def one_of_each_component(docs: DataFrame, **sizes: int) -> DataFrame:
     """The rows of ``docs`` that stay: of every component the document with the smallest id.
 
-    Documents without words are in no component and stay. Of repeated rows one stays; rows without an id
-    stay only if no row with an id has their text.
+    Documents without words are in no component and stay. Of repeated rows one stays; of rows without an id
+    one stays if no row with an id is linked to it.
     """
     _, sets = component_of_texts(docs, **sizes)
-    stay = sets.where("n > 0 and (component is null or component = node)").select(
-        row_name(F.col("node")).alias("_row_id"), F.col("key").alias("_row_key")
+    stay = sets.where("n > 0 and leads").select(
+        row_name(F.col("doc_id")).alias("_row_id"), F.col("key").alias("_row_key")
     )
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     keyed = docs.withColumns({"_row_key": F.sha2(text, 256), "_row_id": row_name(docs["doc_id"]), "_empty": ~text.rlike(r"[^\x20\x09-\x0D]")})

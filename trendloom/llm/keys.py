@@ -1,6 +1,7 @@
 """Ask all documents about many keys at once, with the keys of many documents packed into one row.
 
-Documents are dealt to chunks by a hash of their id. A chunk sends its distinct keys, sorted and
+Documents are dealt to chunks by a hash of their id and text, so neither an id nor a text that many rows have
+fills one chunk; only rows equal in both stay together. A chunk sends its distinct keys, sorted and
 delta-coded, one row for each range of keys ("bucket"); the task of a bucket answers every chunk with one
 small value per key, in the same order. A key that occurs everywhere costs one entry per chunk, never one
 per occurrence. The number of chunks and buckets follows the size of the texts, so each holds about the
@@ -24,8 +25,8 @@ def sizes(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, bucket_chars: int = B
     return -(-chars // chunk_chars) or 1, -(-chars // bucket_chars) or 1
 
 
-def chunk_of(doc_id: Column, chunks: int) -> Column:
-    return F.pmod(F.xxhash64(doc_id.cast("bigint")), F.lit(chunks)).cast("int")
+def chunk_of(doc_id: Column, text: Column, chunks: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id.cast("bigint"), text), F.lit(chunks)).cast("int")
 
 
 def pack(columns: list[np.ndarray]) -> bytes:

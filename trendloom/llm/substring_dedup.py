@@ -112,7 +112,7 @@ def drop_repeats(docs: DataFrame, chunk_chars: int = keys.CHUNK_CHARS, bucket_ch
     chunks, buckets = keys.sizes(docs, chunk_chars, bucket_chars)
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"),
-        keys.chunk_of(F.col("doc_id"), chunks).alias("chunk"),
+        keys.chunk_of(F.col("doc_id"), F.col("text").cast("string"), chunks).alias("chunk"),
     )
 
     def probe(table):
