@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from trendloom.llm.materialise import END, PAD, feistel, read_from, slot_index, training_shards, write_shards
+from trendloom.llm.materialise import END, LENGTH, PAD, PER_SHARD, feistel, read_from, slot_index, training_shards, write_shards
+from trendloom.llm.queries import training_order
 from trendloom.llm.tokens import default_tokenizer
 
 SCHEMA = "doc_id long, text string, slot string, part int"
@@ -53,6 +54,16 @@ def test_shards_and_resuming(spark, sf_dir, tmp_path):
         assert rest == {k: v for k, v in crc.items() if k >= slot}
 
 
+def test_query_reads_the_shards_it_wrote(spark, sf_dir):
+    index = training_order(spark, sf_dir)
+    files = index.inputFiles()
+    assert files and all("/shards-" in f for f in files)
+    shards = spark.read.parquet(*files)
+    rows, held = index.collect(), shards.selectExpr("sum(n_sequences) AS n", "sum(length(payload)) AS bytes").first()
+    assert held.n == len(rows) and held.bytes == len(rows) * 2 * LENGTH
+    assert sorted(r.slot for r in read_from(shards, PER_SHARD // 2).collect()) == list(range(PER_SHARD // 2, len(rows)))
+
+
 def test_defined_cases(spark):
     texts = [(1, None), (2, ""), (None, "a b c"), (4, "x " * 5000), (4, "x " * 5000), (5, "one")]
     docs = spark.createDataFrame([(d, t, "s", 0) for d, t in texts], SCHEMA)

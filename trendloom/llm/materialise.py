@@ -8,6 +8,8 @@ number of places are written by range partitions; sequence s lies in shard s //
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,6 +18,7 @@ from pyspark.sql.window import Window
 
 from trendloom.llm.shared import written
 from trendloom.llm.tokens import default_tokenizer, process_encoder
+from trendloom.session import ensure_checkpoint_dir
 
 LENGTH = 1024
 PER_SHARD = 256
@@ -154,6 +157,13 @@ def write_shards(shards: DataFrame, path: str) -> None:
     shards.write.parquet(path)
 
 
+def stored(shards: DataFrame) -> DataFrame:
+    """The shards written to a fresh folder that all executors share, as a table of these files."""
+    path = f"{ensure_checkpoint_dir(shards.sparkSession)}/shards-{uuid.uuid4().hex}"
+    write_shards(shards, path)
+    return shards.sparkSession.read.schema(shards.schema).parquet(path)
+
+
 def read_from(shards: DataFrame, slot: int, per_shard: int = PER_SHARD) -> DataFrame:
     """(slot, ids) of all sequences from ``slot`` on; earlier shards are skipped by the scan."""
     rows = shards.where(F.col("shard") >= slot // per_shard).select("payload", "stride", F.posexplode("entries").alias("place", "e"))
