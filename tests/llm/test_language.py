@@ -25,6 +25,18 @@ def test_best_labels_against_all_labellings():
         assert value(scores, lg.best_labels(scores, penalty).tolist(), penalty) == pytest.approx(best)
 
 
+def test_two_languages_without_the_best_single_one():
+    scores = np.array([[0.0, -6.0, -2.0], [-6.0, 0.0, -2.0]])
+    assert lg.best_labels(scores, 3.0).tolist() == [0, 1]
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        n = int(rng.integers(2, 7))
+        half = -np.minimum(rng.integers(0, 9, (n, 4)), 6).astype(float)
+        half[: n // 2, 0], half[n // 2 :, 1] = 0, 0
+        best = max(value(half, labels, 4.0) for labels in product(range(4), repeat=n))
+        assert value(half, lg.best_labels(half, 4.0).tolist(), 4.0) == pytest.approx(best)
+
+
 def test_grams_belong_to_their_words():
     words = ["ab", "c", "été"]
     cells, owners, script = lg.grams_of(words)

@@ -163,15 +163,19 @@ def best_labels(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarr
     """Labels of the words that maximise the sum of their scores less ``penalty`` for each switch.
 
     A text that stays in one language throughout is recognised first: with ``best`` its best single
-    language, no other language may gain more than the penalty on any stretch of words. A path that
-    leaves ``best`` for k stretches in a row pays for k switches at least.
+    language, no other language may gain more than the penalty on any stretch of words. A path with
+    ``best`` in it pays one switch at least for every stretch in another language. A path without it has
+    one switch less than stretches, so what a first and a last stretch gain together must not be more
+    than the penalty either.
     """
     n, languages = scores.shape
     best = int(scores.sum(axis=0).argmax())
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
     lowest = np.minimum.accumulate(np.vstack([np.zeros((1, languages)), gain[:-1]]), axis=0)
     if (gain - lowest).max() <= penalty:
-        return np.full(n, best)
+        others = np.delete(gain, best, axis=1)
+        if n == 1 or languages == 1 or others[:-1].max() + (others[-1] - others[:-1]).max() <= penalty:
+            return np.full(n, best)
     back = np.empty((n, languages), np.int16)
     stay = np.arange(languages)
     value = scores[0].copy()
