@@ -14,6 +14,7 @@ from trendloom.llm.licenses import scan_licenses
 from trendloom.llm.materialise import slot_index, stored, training_shards
 from trendloom.llm.mixing import mix_report
 from trendloom.llm.oracle import ORACLE_SQL  # noqa: F401
+from trendloom.llm.periodic import periodic_runs, planted_periods, run_digest
 from trendloom.llm.packing import pack_documents, packing_digest
 from trendloom.llm.quality import quality_report
 from trendloom.llm.substring_dedup import drop_repeats
@@ -76,6 +77,11 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(pack_documents(_read(spark, sf_dir, "documents")))
 
 
+def periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs in all documents, one in ten of them given a repeated stretch first."""
+    return run_digest(periodic_runs(planted_periods(_read(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_url_filter": url_filter,
@@ -87,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup,
     "op9_best_fit_packing": best_fit_packing,
     "op10_substring_dedup": substring_dedup,
+    "op11_periodic_runs": periodic_run_detection,
 }
