@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trendloom.llm.exact_dedup import exact_groups
 from trendloom.llm.jaccard_join import linked_documents
 from trendloom.llm.language import language_report
+from trendloom.llm.html_text import extract_main_text
 from trendloom.llm.license_texts import TEMPLATES
 from trendloom.llm.licenses import scan_licenses
 from trendloom.llm.materialise import slot_index, stored, training_shards
@@ -82,6 +83,11 @@ def periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(periodic_runs(planted_periods(_read(spark, sf_dir, "documents"))))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_url_filter": url_filter,
@@ -94,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": best_fit_packing,
     "op10_substring_dedup": substring_dedup,
     "op11_periodic_runs": periodic_run_detection,
+    "op12_html_extraction": html_extraction,
 }
