@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trendloom.llm.collocations import collocations
 from trendloom.llm.exact_dedup import exact_groups
 from trendloom.llm.jaccard_join import linked_documents
 from trendloom.llm.language import language_report
@@ -88,6 +89,11 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_read(spark, sf_dir, "pages"))
 
 
+def collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best 2000 phrase collocations per language over all documents."""
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_url_filter": url_filter,
@@ -101,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": substring_dedup,
     "op11_periodic_runs": periodic_run_detection,
     "op12_html_extraction": html_extraction,
+    "op13_collocations": collocation_mining,
 }
