@@ -144,6 +144,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM used WHERE choice = 1
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), g AS (
+  SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i
+  FROM w, (VALUES (1), (2), (3)) AS ks(k)
+), c AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f) AS n FROM c WHERE k = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM c WHERE k >= 2 AND f >= 10
+), cuts AS (
+  SELECT cand.lang, cand.phrase, cand.a, cut, cl.f AS l, cr.f AS r,
+         CAST(cand.a AS HUGEINT) * cand.a * 1000000 // (CAST(cl.f AS HUGEINT) * cr.f) AS score
+  FROM cand, range(1, cand.k) AS cs(cut)
+  JOIN c cl ON cl.lang = cand.lang AND cl.phrase = array_to_string(cand.ws[1:cut], ' ')
+  JOIN c cr ON cr.lang = cand.lang AND cr.phrase = array_to_string(cand.ws[cut + 1:], ' ')
+), best AS (
+  SELECT lang, phrase, a, l, r, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM cuts
+  ) WHERE o = 1
+), covering AS (
+  SELECT lang, sub AS phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(ws[1:2], ' ') AS sub FROM cand WHERE k = 3
+    UNION ALL
+    SELECT lang, a, array_to_string(ws[2:3], ' ') AS sub FROM cand WHERE k = 3
+  ) GROUP BY lang, sub
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN covering USING (lang, phrase)
+  WHERE covering.longer IS NULL OR covering.longer * 100 < best.a * 50
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC) AS rank FROM kept
+)
+SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": OP2, "op3_quality_rules": OP3, "op5_mix_sources": OP5, "op8_exact_dedup": OP8,
+    "op13_collocations": OP13,
 }
