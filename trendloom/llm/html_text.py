@@ -9,7 +9,8 @@ sum reaches ``SURGE`` holds a surge point, so its lines from the first to the la
 without any surge keeps its densest block. Character references are decoded, white space inside a line becomes
 one space, and kept lines are joined by one line feed in page order.
 
-Pages are independent: each is handled inside one task, pages are spread over all tasks, nothing is shuffled.
+Pages are independent: each is handled inside one task; pages are dealt round-robin over all tasks first (one
+shuffle of the input), so that a file of a single row group does not become a single task.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.llm.shared import cores
+
 #: Lines per window, and the window sum (characters) that marks a surge.
 WINDOW, SURGE = 3, 80
 #: A line counts as empty when more than this share of its characters is link text.
@@ -164,6 +167,8 @@ def extract_main_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...
     is read as browsers' tokenizers do, without failing.
     """
     rows = pages.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(html).cast("string").alias("h"))
+    # parsing is the heavy part: deal the pages evenly over all tasks, whatever the files' row groups are
+    rows = rows.repartition(max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), cores(pages)))
     fields = ", ".join(f"k{i} {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
     schema = f"{fields}, text string" if fields else "text string"
 

@@ -12,7 +12,8 @@ holds a chosen pair ``(i, i+q)`` with equal context. Pairs of chosen positions w
 distance propose the period ``q``; a proposal is extended word by word to the maximal stretch with that period
 and kept if the stretch has no smaller period. Periods up to ``SMALL`` come from a direct scan, the highly
 periodic regions that the synchronising sets leave out. Each scale costs time linear in the text; a text is
-handled inside one task, and texts are spread over all tasks.
+handled inside one task; texts are dealt round-robin over all tasks first, and texts without a recurring
+fragment of two thirds of the least run length skip the search.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.llm.shared import cores
+
 #: Periods found by the direct scan; larger ones by synchronising sets.
 SMALL = 5
 MIN_LENGTH, MIN_EXPONENT = 24, 3
@@ -193,11 +196,24 @@ def best_run(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
     return min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
 
 
+def _repeats(ids: np.ndarray, min_length: int) -> bool:
+    """False when no fragment of ``2 * min_length // 3`` words occurs twice, so no run of ``min_length`` words exists.
+
+    A run of period ``q`` and length ``L >= max(min_length, 3q)`` holds a fragment of ``L - q >= max(min_length - q,
+    2q) >= 2 * min_length / 3`` words that recurs ``q`` words later.
+    """
+    size = max(1, 2 * min_length // 3)
+    if len(ids) < max(size + 1, min_length):
+        return False
+    hashes = _Hashes(ids).of(size)
+    return len(np.unique(hashes)) < len(hashes)
+
+
 def _text_runs(text: str | None, min_length: int, min_exponent: int) -> tuple[int, list, str]:
     words = _WORD.findall(text) if text else []
     numbers: dict[str, int] = {}
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int64, count=len(words))
-    runs = [r for r in find_runs(ids, min_exponent) if r[1] >= min_length]
+    runs = [r for r in find_runs(ids, min_exponent) if r[1] >= min_length] if _repeats(ids, min_length) else []
     return len(words), runs, " ".join(collapse(words, runs))
 
 
@@ -213,6 +229,8 @@ def periodic_runs(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
     whole.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    # Python work per text is heavy: deal the rows evenly over all tasks, whatever the files' row groups are
+    rows = rows.repartition(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), cores(docs)))
     schema = f"key {docs.schema[key].dataType.simpleString()}, n_words long, runs {RUN_TYPE}, collapsed string"
 
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
