@@ -254,14 +254,19 @@ def planted_periods(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     ``p = 1 + (n - a) div (3 + g % 8)``; such texts are rejoined by one space. Other rows, null ids and null
     texts stay as they are. Built-in functions only.
     """
+    taken = set(docs.columns)
+    w, a, p, h = (next(f"_{name}{i}" for i in range(len(taken) + 1) if f"_{name}{i}" not in taken) for name in "wapH")
     words = F.regexp_extract_all(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(_WORD.pattern), F.lit(0))
-    h = F.crc32(F.col(key).cast("string"))
-    g, n = h.cast("long") / 10, F.size(words)
-    g = F.floor(g)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    moved = F.transform(words, lambda w, i: F.when(i >= a, F.element_at(words, (a + (i - a) % p + 1).cast("int"))).otherwise(w))
-    return docs.withColumn(text, F.when((h % 10 == 0) & (n > 0), F.array_join(moved, " ")).otherwise(F.col(text)))
+    checksum = F.crc32(F.col(key).cast("string"))
+    g = F.floor(checksum / 10)
+    n = F.size(w)
+    # the words are split once per row; the lambda below only reads the column
+    staged = docs.withColumn(w, words).withColumn(h, checksum).withColumn(a, g % n).withColumn(
+        p, 1 + F.floor((n - F.col(a)) / (3 + g % 8))
+    )
+    moved = F.transform(w, lambda x, i: F.when(i >= F.col(a), F.element_at(F.col(w), (F.col(a) + (i - F.col(a)) % F.col(p) + 1).cast("int"))).otherwise(x))
+    planted = staged.withColumn(text, F.when((F.col(h) % 10 == 0) & (n > 0), F.array_join(moved, " ")).otherwise(F.col(text)))
+    return planted.drop(w, a, p, h)
 
 
 def _ratio_first(x, y):
