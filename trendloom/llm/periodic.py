@@ -261,7 +261,7 @@ def planted_periods(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     g = F.floor(checksum / 10)
     n = F.size(w)
     # the words are split once per row; the lambda below only reads the column
-    staged = docs.withColumn(w, words).withColumn(h, checksum).withColumn(a, g % n).withColumn(
+    staged = docs.withColumn(w, words).withColumn(h, checksum).withColumn(a, F.when(n > 0, g % n)).withColumn(
         p, 1 + F.floor((n - F.col(a)) / (3 + g % 8))
     )
     moved = F.transform(w, lambda x, i: F.when(i >= F.col(a), F.element_at(F.col(w), (F.col(a) + (i - F.col(a)) % F.col(p) + 1).cast("int"))).otherwise(x))
