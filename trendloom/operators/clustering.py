@@ -4,8 +4,10 @@ The rule is sequential: an article joins the topic of its most similar earlier a
 whose anchor is within the time gap, or opens a new topic. A label therefore depends on earlier labels
 only. The jobs below repeat until no label changes:
 
-* every block of articles receives, from each earlier block in reach, the best topic per article under
-  the labels of the last round (:func:`~trendloom.operators.similarity.compare_blocks`);
+* the pairs of articles in different blocks above the cosine are found once, by the inverted index of
+  :func:`~trendloom.operators.similarity.cosine_pairs`, and stored; in each round every block whose
+  neighbours changed label receives the best topic per article by a join of the stored pairs with the
+  labels of the last round, so no cosine is computed twice;
 * every block whose input changed applies the rule to its own rows in order.
 
 A block is final once the blocks before it are, so the result equals the sequential one, and the
@@ -121,7 +123,15 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
     """Labels ``title_id, block, label_id, label_t, label_title`` of the compared articles."""
     blocked = sim.assign_blocks(vectors, gap, block_rows).checkpoint()
     rows = blocked.select("title_id", "t", "title_lower", "terms", "weights", "sig", "block")
-    pairs = sim.block_pairs(blocked, gap, with_self=False).checkpoint()
+    # pairs of different blocks above the cosine, computed once; each round only joins them with new labels
+    block_of = blocked.select("title_id", "block")
+    neighbours = (
+        sim.cosine_pairs(rows, 2 * gap, min_cosine)
+        .join(block_of.withColumnRenamed("block", "block_i"), "title_id")
+        .join(block_of.select(F.col("title_id").alias("match_id"), F.col("block").alias("block_j")), "match_id")
+        .filter("block_i <> block_j")
+        .checkpoint()
+    )
     no_input = F.lit(None)
     start = rows.withColumns(
         {"cosine": no_input.cast("double"), "label_id": no_input.cast("long"),
@@ -131,25 +141,19 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
     schema = f"title_id long, block long, {_LABEL_SCHEMA}"
     labels = start.groupBy("block").applyInPandas(label_blocks, schema).checkpoint()
     changed = labels.select(F.col("block").alias("block_j")).distinct()
-    offers = None
-    reduce = sim.best_label_reducer(gap, min_cosine, _LABEL, keep_pair=True)
-    offer_schema = f"title_id long, cosine double, {_LABEL_SCHEMA}, block_i long, block_j long"
+    times = rows.select("title_id", "t")
     while True:
-        stale = pairs.join(changed, "block_j", "left_semi").checkpoint()
-        if stale.isEmpty():
+        touched = neighbours.join(changed, "block_j", "left_semi").select(F.col("block_i").alias("block")).distinct().checkpoint()
+        if touched.isEmpty():
             return labels
-        fresh = sim.compare_blocks(
-            rows.drop("title_lower"),
-            rows.drop("title_lower").join(labels.drop("block"), "title_id"),
-            stale, reduce, offer_schema,
-        )
-        if offers is not None:
-            fresh = offers.join(stale, ["block_i", "block_j"], "left_anti").unionByName(fresh)
-        offers = fresh.checkpoint()
-        touched = stale.select(F.col("block_i").alias("block")).distinct()
-        inputs = rows.join(touched, "block", "left_semi").join(
-            sim.best_label(offers, _LABEL), "title_id", "left"
+        offers = (
+            neighbours.join(touched.withColumnRenamed("block", "block_i"), "block_i", "left_semi")
+            .join(labels.select(F.col("title_id").alias("match_id"), *_LABEL), "match_id")
+            .join(times, "title_id")
+            .filter(sim.within_gap(sim.gap_seconds(F.col("t"), F.col("label_t")), gap // 3600))
+            .select("title_id", "cosine", *_LABEL)
         )
+        inputs = rows.join(touched, "block", "left_semi").join(sim.best_label(offers, _LABEL), "title_id", "left")
         again = inputs.groupBy("block").applyInPandas(label_blocks, schema).checkpoint()
         old = labels.select("title_id", F.col("label_id").alias("old_id"))
         changed = (
