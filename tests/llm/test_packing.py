@@ -68,7 +68,7 @@ def test_whole_table(spark, sf_dir, tokenizer):
 
 
 def test_small_memory_gives_the_same_ids(tokenizer):
-    encoder = WordEncoder(default_tokenizer(), words_kept=3)
+    encoder = WordEncoder(default_tokenizer(), bytes_kept=3)
     for text in ("one two three four five six", "six five four", "one one seven"):
         assert encoder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -99,7 +99,7 @@ def test_open_bins_like_a_plain_list():
 
 def test_every_kind_of_word_is_encoded_as_by_the_tokenizer(tokenizer):
     words = "Straße ẞ É él él. ÉL, İ K Å naïve. a.b a., don't I'll 'S x² ½ ÿ Ÿ ﬁ ñandú, São-Paulo ... , . ×÷ ªº µ é É. ­ x y 漢字 абв ß. SS word... end,. U.S. U.S., e.g. 3. 3, x'. ,a .b. <|startoftext|> <|STARTOFTEXT|>. a.\xa0b Á. Å,".split(" ")
-    encoder = WordEncoder(default_tokenizer(), words_kept=20)
+    encoder = WordEncoder(default_tokenizer(), bytes_kept=530_000)
     for k in range(0, len(words), 5):
         texts = [" ".join(words[k : k + 5]), *words[k : k + 5], None]
         for text, ids in zip(texts, encoder.encode_all(texts)):

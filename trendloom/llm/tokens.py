@@ -12,8 +12,11 @@ from itertools import chain, repeat
 
 import numpy as np
 
-# Distinct words kept per process; beyond it the memory is emptied and filled anew. Ids do not depend on it.
-WORDS_KEPT = 1_500_000
+# Bytes of known words kept per worker process (about six share an executor); beyond it the memory is emptied
+# and filled anew. Ids do not depend on it.
+BYTES_KEPT = 48 << 20
+# Bytes a dictionary entry of one known word costs beyond the word itself (key object, slot, index)
+ENTRY_BYTES = 120
 # Words of these letters with at most one full stop or comma behind them: their ids are those of the word in
 # lower case, which the vocabulary takes as one unit, and of the mark. All other words take the long way.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
@@ -47,14 +50,14 @@ def default_tokenizer() -> str:
 class WordEncoder:
     """Encodes texts with a tokenizer file whose pieces never span ASCII white space."""
 
-    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
+    def __init__(self, path: str, bytes_kept: int = BYTES_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._units = Tokenizer(self._tokenizer.model)
         self._letter = byte_letters()
-        self._kept = words_kept
+        self._kept = bytes_kept
         self._reset()
 
     def _reset(self) -> None:
@@ -63,6 +66,12 @@ class WordEncoder:
         self._used = 0
         self._first = np.empty(1 << 14, np.int64)
         self._size = np.empty(1 << 14, np.int64)
+        self._keys = 0
+
+    def held(self) -> int:
+        """Bytes held for known words: their keys, dictionary entries and id arrays."""
+        arrays = self._flat.nbytes + self._first.nbytes + self._size.nbytes
+        return self._keys + ENTRY_BYTES * len(self._code) + arrays
 
     def _store(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Remember new words, whose ids lie one after another in ``ids``."""
@@ -76,6 +85,7 @@ class WordEncoder:
         self._first[at : at + len(words)] = self._used + np.cumsum(sizes) - sizes
         self._size[at : at + len(words)] = sizes
         self._used = used
+        self._keys += sum(map(len, words))
         self._code.update(zip(words, range(at, at + len(words))))
 
     def _gather(self, codes: np.ndarray) -> np.ndarray:
@@ -119,7 +129,7 @@ class WordEncoder:
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text as uint32; empty for null and white space."""
-        if len(self._code) > self._kept:
+        if self.held() > self._kept:
             self._reset()
         split = [units_of(text) for text in texts]
         words = [w for text in split for w in text]
@@ -130,6 +140,9 @@ class WordEncoder:
             codes[new] = [self._code[words[k]] for k in new]
         flat = self._gather(codes)
         ends = np.concatenate([[0], np.cumsum(self._size[codes])])[np.cumsum([0, *map(len, split)])]
+        if self.held() > self._kept:
+            # give the memory back now, not when the next task of this process starts
+            self._reset()
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
     def encode(self, text: str | None) -> np.ndarray:
