@@ -70,3 +70,18 @@ def test_defined_cases(spark):
     rows = slot_index(training_shards(docs)).collect()
     assert sorted(((r.doc_id, r.piece, r.n_tokens, r.ids_crc32) for r in rows), key=str) == expected(texts, 1024)
     assert slot_index(training_shards(docs.where("doc_id > 10"))).count() == 0
+
+
+def test_materialised_deletes_the_unpadded_sequences(spark, tmp_path):
+    import glob
+
+    from trendloom.llm.materialise import materialised
+    from trendloom.session import ensure_checkpoint_dir
+
+    docs = spark.createDataFrame([(1, "a b c", "s", 0), (2, None, "s", 0)], SCHEMA)
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{base}/sequences-*"))
+    shards = materialised(docs, str(tmp_path / "shards"), length=128, per_shard=16)
+    rows = slot_index(shards).collect()
+    assert sorted(((r.doc_id, r.piece, r.n_tokens, r.ids_crc32) for r in rows), key=str) == expected([(1, "a b c"), (2, None)], 128)
+    assert set(glob.glob(f"{base}/sequences-*")) == before

@@ -49,10 +49,10 @@ def feistel(numbers: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS
 
 
 def sequences(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH) -> DataFrame:
-    """(part, local, doc_id, piece, n_tokens, ids): each document's ids and END, cut into sequences, the last one padded.
+    """(part, local, doc_id, piece, n_tokens, ids): each document's ids and END, cut into sequences.
 
     ``part`` is the task that made the row and ``local`` its number there. Ids are little-endian unsigned
-    16-bit, which holds vocabularies up to 65,536.
+    16-bit, which holds vocabularies up to 65,536. ``ids`` holds the ``n_tokens`` ids only; the shards pad.
     """
     path = tokenizer_path or default_tokenizer()
 
@@ -69,14 +69,10 @@ def sequences(docs: DataFrame, tokenizer_path: str | None = None, length: int =
                     if len(ids) and ids.max() > 0xFFFF:
                         raise ValueError("ids beyond 16 bits: the shards hold 16-bit ids")
                     tokens = len(ids) + 1
-                    pieces = -(-tokens // length)
-                    padded = np.full(pieces * length, PAD, "<u2")
-                    padded[:-1][: len(ids)] = ids
-                    padded[len(ids)] = END
-                    raw = padded.tobytes()
-                    for piece in range(pieces):
+                    raw = np.concatenate([ids, [END]]).astype("<u2").tobytes()
+                    for piece in range(-(-tokens // length)):
                         n = min(length, tokens - piece * length)
-                        rows.append((part, local, doc_id, piece, n, raw[2 * piece * length : 2 * (piece + 1) * length]))
+                        rows.append((part, local, doc_id, piece, n, raw[2 * piece * length : 2 * piece * length + 2 * n]))
                         local += 1
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 names = ["part", "local", "doc_id", "piece", "n_tokens", "ids"]
@@ -108,15 +104,23 @@ def with_slots(rows: DataFrame, key: int = KEY) -> DataFrame:
 
 def training_shards(
     docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY,
+    scratch: str | None = None,
 ) -> DataFrame:
     """One row per shard: shard, first_slot, n_sequences, stride (bytes), payload, entries.
 
-    ``payload`` is the ids of the shard's sequences in slot order; ``entries`` lists (slot, doc_id,
-    piece, n_tokens) in the same order. Null and empty texts give one sequence with END alone. A null
-    ``doc_id`` stays null. Repeated rows have sequences of their own. An empty table gives no shards.
-    Columns other than doc_id and text are left out.
+    ``payload`` is the ids of the shard's sequences in slot order, each padded with PAD to ``length``;
+    ``entries`` lists (slot, doc_id, piece, n_tokens) in the same order. Null and empty texts give one
+    sequence with END alone. A null ``doc_id`` stays null. Repeated rows have sequences of their own. An
+    empty table gives no shards. Columns other than doc_id and text are left out.
+
+    The unpadded sequences are written first, compressed, to ``scratch`` (a fresh folder under the shared
+    checkpoint folder if not given); :func:`materialised` deletes it once the shards are written.
     """
-    rows = with_slots(written(sequences(docs, tokenizer_path, length)), key)
+    spark = docs.sparkSession
+    scratch = scratch or f"{ensure_checkpoint_dir(spark)}/sequences-{uuid.uuid4().hex}"
+    cut = sequences(docs, tokenizer_path, length)
+    cut.write.option("compression", "zstd").parquet(scratch)
+    rows = with_slots(spark.read.schema(cut.schema).parquet(scratch), key)
     rows = rows.withColumn("shard", F.floor(F.col("slot") / per_shard))
     # A shard's rows stay together, and a range of shards comes in order.
     dealt = rows.repartitionByRange("shard").sortWithinPartitions("slot")
@@ -129,7 +133,9 @@ def training_shards(
 
         def shard_row(shard, held):
             entries = [{"slot": s, "doc_id": d, "piece": p, "n_tokens": n} for s, d, p, n, _ in held]
-            values = (shard, held[0][0], len(held), 2 * length, b"".join(h[4] for h in held), entries)
+            # PAD is id 0: a sequence is its ids and then zero bytes up to the stride
+            payload = b"".join(h[4].ljust(2 * length, b"\0") for h in held)
+            values = (shard, held[0][0], len(held), 2 * length, payload, entries)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), entry)
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
@@ -157,6 +163,22 @@ def write_shards(shards: DataFrame, path: str) -> None:
     shards.write.parquet(path)
 
 
+def materialised(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
+    """The shards of :func:`training_shards` written to ``path`` and read back; the unpadded sequences are deleted after.
+
+    ``path`` is a fresh folder under the shared checkpoint folder if not given. ``options`` go to
+    :func:`training_shards`.
+    """
+    spark = docs.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    scratch, path = f"{base}/sequences-{uuid.uuid4().hex}", path or f"{base}/shards-{uuid.uuid4().hex}"
+    shards = training_shards(docs, scratch=scratch, **options)
+    write_shards(shards, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.schema(shards.schema).parquet(path)
+
+
 def stored(shards: DataFrame) -> DataFrame:
     """The shards written to a fresh folder that all executors share, as a table of these files."""
     path = f"{ensure_checkpoint_dir(shards.sparkSession)}/shards-{uuid.uuid4().hex}"

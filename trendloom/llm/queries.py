@@ -13,7 +13,7 @@ from trendloom.llm.language import language_report
 from trendloom.llm.html_text import extract_main_text
 from trendloom.llm.license_texts import TEMPLATES
 from trendloom.llm.licenses import scan_licenses
-from trendloom.llm.materialise import slot_index, stored, training_shards
+from trendloom.llm.materialise import materialised, slot_index
 from trendloom.llm.mixing import mix_report
 from trendloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from trendloom.llm.periodic import periodic_runs, planted_periods, run_digest
@@ -49,7 +49,7 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences in training order, as they lie in the written shards."""
-    return slot_index(stored(training_shards(_read(spark, sf_dir, "documents"))))
+    return slot_index(materialised(_read(spark, sf_dir, "documents")))
 
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
