@@ -50,25 +50,42 @@ def phrase_pieces(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
 
 
 def _grams(pieces: DataFrame, k: int) -> DataFrame:
-    """Every occurrence of ``k`` consecutive words: ``lang``, ``g`` (array of the words)."""
+    """Every occurrence of ``k`` consecutive words: ``lang``, ``phrase`` and, for ``k`` > 1, ``hx`` and ``hy``.
+
+    ``hx`` and ``hy`` are the keys (:func:`_key`) of the first and the last ``k - 1`` words: occurrences move
+    with two numbers instead of two more copies of their words.
+    """
     starts = F.when(F.size("words") >= k, F.sequence(F.lit(1), F.size("words") - k + 1)).otherwise(F.array().cast("array<int>"))
-    return pieces.select("lang", F.explode(F.transform(starts, lambda i: F.slice("words", i, k))).alias("g"))
+    grams = pieces.select("lang", F.explode(F.transform(starts, lambda i: F.slice("words", i, k))).alias("g"))
+    columns = ["lang", _joined(F.col("g")).alias("phrase")]
+    if k > 1:
+        columns += [_key(_joined(F.slice("g", 1, k - 1))).alias("hx"), _key(_joined(F.slice("g", 2, k - 1))).alias("hy")]
+    return grams.select(*columns)
 
 
 def _joined(g: Column) -> Column:
     return F.array_join(g, " ")
 
 
-def _admitted(grams: DataFrame, k: int, allowed: DataFrame, again: bool) -> DataFrame:
-    """Occurrences whose two inner phrases of ``k - 1`` words are allowed; ``again``: not both allowed before (``old``)."""
-    left = F.slice("g", 1, k - 1)
-    right = F.slice("g", 2, k - 1)
-    out = grams.select("lang", "g", _joined(left).alias("x"), _joined(right).alias("y"))
-    for side in ("x", "y"):
-        out = out.join(allowed.select("lang", F.col("phrase").alias(side), F.col("old").alias(f"old_{side}")), ["lang", side])
+def _key(phrase: Column) -> Column:
+    """64-bit key of a phrase of a language. Keys only choose what is counted; counts are of the phrases themselves."""
+    return F.xxhash64(F.col("lang"), phrase)
+
+
+def _admitted(grams: DataFrame, allowed: DataFrame, again: bool) -> DataFrame:
+    """Occurrences whose two inner phrases are allowed; ``again``: not both allowed before (``old``).
+
+    Allowed phrases are looked up by key, one row per key, so no occurrence is repeated by the lookup. Two
+    phrases of one key admit what either admits: a phrase counted that the method did not ask for has its
+    exact count too, and :func:`frequent_phrases` keeps each phrase once.
+    """
+    keys = allowed.groupBy(_key(F.col("phrase")).alias("h")).agg(F.bool_and("old").alias("old"))
+    out = grams
+    for side in ("hx", "hy"):
+        out = out.join(keys.select(F.col("h").alias(side), F.col("old").alias(f"old_{side}")), side)
     if again:
-        out = out.where(~(F.col("old_x") & F.col("old_y")))
-    return out.select("lang", _joined(F.col("g")).alias("phrase"))
+        out = out.where(~(F.col("old_hx") & F.col("old_hy")))
+    return out.select("lang", "phrase")
 
 
 def _counted(occurrences: DataFrame, k: int) -> DataFrame:
@@ -80,29 +97,31 @@ def frequent_phrases(pieces: DataFrame, min_count: int = MIN_COUNT,
     """All phrases of 1 to ``max_words`` words with at least ``min_count`` occurrences.
 
     Returns ``lang, phrase, k, f`` with exact counts, ``lang, n`` (all word occurrences), and the number of full
-    passes that Toivonen's method needed (1 when the sample missed nothing).
+    passes that Toivonen's method needed (1 when the sample missed nothing). Only frequent phrases are stored
+    between passes; the pieces are stored once, compressed.
     """
-    pieces = written(pieces)
+    pieces = written(pieces, compression="zstd")
     least = max(1, int(SAMPLE_RATE * min_count * LOWERING))
     sample = pieces.where("sampled")
     # proposed by the sample: frequent there at the lowered threshold, with all inner phrases proposed
     allowed: dict[int, DataFrame] = {}
     for k in range(1, max_words):
-        found = _counted(_grams(sample, k).select("lang", _joined(F.col("g")).alias("phrase")), k).where(F.col("f") >= least)
+        found = _counted(_grams(sample, k).select("lang", "phrase"), k).where(F.col("f") >= least)
         if k > 1:
-            found = found.join(_admitted(_grams(sample, k), k, allowed[k - 1], False).distinct(), ["lang", "phrase"], "left_semi")
+            found = found.join(_admitted(_grams(sample, k), allowed[k - 1], False).distinct(), ["lang", "phrase"], "left_semi")
         allowed[k] = written(found.select("lang", "phrase", F.lit(True).alias("old")))
-    counted = _counted(_grams(pieces, 1).select("lang", _joined(F.col("g")).alias("phrase")), 1)
+    totals = written(pieces.groupBy("lang").agg(F.sum(F.size("words")).cast("long").alias("n")))
+    frequent = _counted(_grams(pieces, 1).select("lang", "phrase"), 1).where(F.col("f") >= min_count)
     grew = {k: True for k in allowed}
     passes = 0
     while True:
         # a full pass: phrases whose inner phrases are allowed, except those counted in an earlier pass
         for k in range(2, max_words + 1):
             if grew[k - 1]:
-                counted = counted.unionByName(_counted(_admitted(_grams(pieces, k), k, allowed[k - 1], passes > 0), k))
-        counted = written(counted)
+                found = _counted(_admitted(_grams(pieces, k), allowed[k - 1], passes > 0), k)
+                frequent = frequent.unionByName(found.where(F.col("f") >= min_count))
+        frequent = written(frequent.dropDuplicates(["lang", "phrase"]))
         passes += 1
-        frequent = counted.where(F.col("f") >= min_count)
         # border failures: frequent phrases that were not allowed, so longer phrases with them are not counted yet
         for k in allowed:
             missed = frequent.where(F.col("k") == k).select("lang", "phrase").join(allowed[k], ["lang", "phrase"], "left_anti")
@@ -110,7 +129,6 @@ def frequent_phrases(pieces: DataFrame, min_count: int = MIN_COUNT,
             grew[k] = not missed.isEmpty()
             allowed[k] = written(old.unionByName(missed.withColumn("old", F.lit(False)))) if grew[k] else old
         if not any(grew.values()):
-            totals = counted.where("k = 1").groupBy("lang").agg(F.sum("f").cast("long").alias("n"))
             return frequent.select("lang", "phrase", "k", "f"), totals, passes
 
 

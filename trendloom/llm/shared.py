@@ -19,16 +19,18 @@ def cores(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
-def written(df: DataFrame, tasks: int | None = None) -> DataFrame:
+def written(df: DataFrame, tasks: int | None = None, compression: str | None = None) -> DataFrame:
     """Write the rows to the folder that all executors share and read them again.
 
     What follows depends on the files only, and Spark knows their size when it chooses joins. At most
-    ``tasks`` tasks write, for tables whose many partitions would be as many tiny files.
+    ``tasks`` tasks write, for tables whose many partitions would be as many tiny files. ``compression``
+    is a Parquet codec in place of the session's.
     """
     spark = df.sparkSession
     df = df.coalesce(tasks) if tasks else df
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
