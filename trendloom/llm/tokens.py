@@ -14,7 +14,7 @@ import numpy as np
 
 # Bytes of known words kept per worker process (about six share an executor); beyond it the memory is emptied
 # and filled anew. Ids do not depend on it.
-BYTES_KEPT = 48 << 20
+BYTES_KEPT = 96 << 20
 # Bytes a dictionary entry of one known word costs beyond the word itself (key object, slot, index)
 ENTRY_BYTES = 120
 # Words of these letters with at most one full stop or comma behind them: their ids are those of the word in
