@@ -77,3 +77,10 @@ def test_clashing_columns_and_empty(spark):
     got = [tuple(r) for r in collocations(docs).collect()]
     assert got == brute([(t, lg) for t, lg, *_ in rows])
     assert collocations(docs.limit(0)).count() == 0
+
+
+def test_keys_by_shuffle_join_give_the_same(spark, monkeypatch):
+    rows = make_rows(4, docs=30)
+    monkeypatch.setattr(mod, "BROADCAST_KEYS", 0)  # no key table is sent to every task
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(tuple(r) for r in collocations(docs).collect()) == brute(rows)

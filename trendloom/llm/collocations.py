@@ -31,6 +31,8 @@ WORD = r"[^\x20\x09]+"
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: Share of pieces in the sample, and the share of the expected count that makes a phrase frequent in it.
 SAMPLE_RATE, LOWERING = 1 / 16, 0.5
+#: Candidate keys up to this many are sent to every task (16 bytes each with their flag); beyond, a shuffle join.
+BROADCAST_KEYS = 2_000_000
 _BUCKETS = 1 << 20
 
 
@@ -75,11 +77,15 @@ def _key(phrase: Column) -> Column:
 def _admitted(grams: DataFrame, allowed: DataFrame, again: bool) -> DataFrame:
     """Occurrences whose two inner phrases are allowed; ``again``: not both allowed before (``old``).
 
-    Allowed phrases are looked up by key, one row per key, so no occurrence is repeated by the lookup. Two
+    Allowed phrases are looked up by key, one row per key, so no occurrence is repeated by the lookup; up to
+    ``BROADCAST_KEYS`` keys go to every task, more by a shuffle join. Two
     phrases of one key admit what either admits: a phrase counted that the method did not ask for has its
     exact count too, and :func:`frequent_phrases` keeps each phrase once.
     """
-    keys = allowed.groupBy(_key(F.col("phrase")).alias("h")).agg(F.bool_and("old").alias("old"))
+    keys = written(allowed.groupBy(_key(F.col("phrase")).alias("h")).agg(F.bool_and("old").alias("old")))
+    if keys.count() <= BROADCAST_KEYS:
+        # occurrences are then looked up where they are made, and only counts of admitted phrases move
+        keys = F.broadcast(keys)
     out = grams
     for side in ("hx", "hy"):
         out = out.join(keys.select(F.col("h").alias(side), F.col("old").alias(f"old_{side}")), side)
