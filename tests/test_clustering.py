@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 import brute_force
 from trendloom.functions.edit import distance, exceeds
-from trendloom.operators import clustering
+from trendloom.operators import clustering, similarity as sim
 
 SCHEMA = "title_id long, title string, summary string, published_at timestamp"
 START = datetime(2026, 6, 22, 10, 0)
@@ -135,3 +136,37 @@ def test_report_parts_are_bounded(spark):
     assert max(len(r.metrics_payload) for r in report) <= 1024
     assert sum(len(r.metrics_payload) for r in report) == 2999
     assert {r.volume_count for r in report} == {2999}
+
+
+def test_pairs_are_compared_in_blocks_not_joined_by_term(spark):
+    rows = random_articles(7, 60, shuffled=True, copies=0.3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = sim.earlier_matches(df, block_rows=9)
+    # a join on terms makes one row per pair and shared term
+    assert not re.search(r"Join \w+, .*\bterm#", found._jdf.queryExecution().optimizedPlan().toString())
+    vec = brute_force.vectors(as_dicts(rows))
+    near = {
+        (i, j): brute_force.cosine(vec[i], vec[j]) for i in range(60) for j in range(i)
+        if abs((rows[i][3] - rows[j][3]).total_seconds()) <= 72 * 3600 and brute_force.cosine(vec[i], vec[j]) > 0.15
+    }
+    expected = {}
+    for i in {i for i, _ in near}:
+        mine = {j: c for (k, j), c in near.items() if k == i}
+        best = max(mine.values())
+        expected[rows[i][0]] = (len(mine), best, rows[min(j for j, c in mine.items() if c == best)][0])
+    assert {r.title_id: (r.matches, r.best_cosine, r.best_id) for r in found.collect()} == expected
+
+
+def test_pairs_of_different_blocks_once(spark):
+    rows = random_articles(8, 60)
+    df = spark.createDataFrame(rows, SCHEMA)
+    blocked = sim.stored_blocks(df, ("the",), 72 * 3600, 7)
+    block = {r.title_id: r.block for r in blocked.collect()}
+    found = [(r.title_id, r.match_id) for r in sim.cosine_pairs(blocked, 72 * 3600).collect()]
+    vec = brute_force.vectors(as_dicts(rows))
+    expected = {
+        (rows[i][0], rows[j][0]) for i in range(60) for j in range(i)
+        if block[rows[i][0]] != block[rows[j][0]] and (rows[i][3] - rows[j][3]).total_seconds() <= 144 * 3600
+        and brute_force.cosine(vec[i], vec[j]) > 0.15
+    }
+    assert len(found) == len(expected) and set(found) == expected

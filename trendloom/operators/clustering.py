@@ -4,7 +4,7 @@ The rule is sequential: an article joins the topic of its most similar earlier a
 whose anchor is within the time gap, or opens a new topic. A label therefore depends on earlier labels
 only. The jobs below repeat until no label changes:
 
-* the pairs of articles in different blocks above the cosine are found once, by the inverted index of
+* the pairs of articles in different blocks above the cosine are found once, by the block comparison of
   :func:`~trendloom.operators.similarity.cosine_pairs`, and stored; in each round every block whose
   neighbours changed label receives the best topic per article by a join of the stored pairs with the
   labels of the last round, so no cosine is computed twice;
@@ -124,14 +124,7 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
     blocked = sim.assign_blocks(vectors, gap, block_rows).checkpoint()
     rows = blocked.select("title_id", "t", "title_lower", "terms", "weights", "sig", "block")
     # pairs of different blocks above the cosine, computed once; each round only joins them with new labels
-    block_of = blocked.select("title_id", "block")
-    neighbours = (
-        sim.cosine_pairs(rows, 2 * gap, min_cosine)
-        .join(block_of.withColumnRenamed("block", "block_i"), "title_id")
-        .join(block_of.select(F.col("title_id").alias("match_id"), F.col("block").alias("block_j")), "match_id")
-        .filter("block_i <> block_j")
-        .checkpoint()
-    )
+    neighbours = sim.cosine_pairs(blocked, gap, min_cosine).checkpoint()
     no_input = F.lit(None)
     start = rows.withColumns(
         {"cosine": no_input.cast("double"), "label_id": no_input.cast("long"),

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom.functions.text import ENGLISH_STOP_WORDS, combined_text, terms
 from trendloom.operators.ordering import with_ordinal
@@ -206,7 +206,8 @@ def cosine_block(left: pd.DataFrame, right: pd.DataFrame, reach: int) -> np.ndar
             result[i, strip] = weights_l[parts_l[i]][known] @ dense[row[known]]
         place[shared] = -1
         start += len(strip)
-    same = left["sig"].to_numpy()[:, None] == right["sig"].to_numpy()[None, :]
+    sigs, _ = pd.factorize(np.concatenate([left["sig"].to_numpy(), right["sig"].to_numpy()]))
+    same = sigs[: len(left), None] == sigs[None, len(left):]
     result = np.where(same, 1.0, np.minimum(result.round(COSINE_DIGITS), 1 - 10.0**-COSINE_DIGITS))
     return np.where(np.abs(times_l[:, None] - times_r[None, :]) <= reach, result, 0.0)
 
@@ -242,58 +243,28 @@ def compare_blocks(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(reduce, schema)
 
 
-# ---------------------------------------------------------------- pairs by an inverted index
-
-
-def _rounded_cosine(dot: Column, same: Column) -> Column:
-    """The cosine as the block comparison gives it: 1 for equal proportions, else rounded and below 1."""
-    return F.when(same, F.lit(1.0)).otherwise(F.least(F.round(dot, COSINE_DIGITS), F.lit(1 - 10.0**-COSINE_DIGITS)))
+def cosine_pairs(
+    blocked: DataFrame, gap_seconds: int, min_cosine: float = MIN_COSINE
+) -> DataFrame:
+    """Pairs ``(title_id, match_id, cosine, block_i, block_j)`` of different blocks with ``match_id < title_id``, times
+    at most twice the gap apart and a rounded cosine above ``min_cosine``.
 
+    Only pairs that pass leave a task; a join on shared terms would emit every pair once per term.
+    """
 
-def cosine_pairs(vectors: DataFrame, reach: int, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """Pairs ``(title_id, match_id, cosine)`` with ``match_id < title_id``, times at most ``reach`` seconds apart
-    and a rounded cosine above ``min_cosine``; exact, without comparing pairs that cannot pass.
+    def reduce(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=["title_id", "match_id", "cosine", "block_i", "block_j"])
+        cosine = cosine_block(left, right, 2 * gap_seconds)
+        ids_l, ids_r = left["title_id"].to_numpy(), right["title_id"].to_numpy()
+        i, j = np.nonzero((cosine > min_cosine) & (ids_r[None, :] < ids_l[:, None]))
+        return pd.DataFrame(
+            {"title_id": ids_l[i], "match_id": ids_r[j], "cosine": cosine[i, j], "block_i": key[0], "block_j": key[1]}
+        )
 
-    Prefix filtering over an inverted index. Terms are ordered by falling document frequency (then by text), and
-    every term has its largest weight over all vectors, ``top``. The leading terms of a vector whose sum of
-    ``weight * top`` stays at or below ``min_cosine`` are not indexed: a pair that shares only such terms of
-    one side has a cosine at most that sum. So each pair above the bound shares a term that the earlier article
-    indexes, and the later article probes with all its terms. Index and probes meet by term and time cell (one
-    cell per ``reach``; probes visit the neighbouring cells), common terms mostly stay out of the index, and a
-    hot term in a hot cell is a skewed join key that adaptive execution splits. Candidates are verified by the
-    full dot product on the JVM, through a map of the other vector's terms.
-    """
-    entries = vectors.select("title_id", "t", F.explode(F.arrays_zip("terms", "weights")).alias("e")).select(
-        "title_id", "t", F.col("e.terms").alias("term"), F.col("e.weights").alias("weight")
-    )
-    stats = entries.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("weight").alias("top"))
-    order = Window.partitionBy("title_id").orderBy(F.col("df").desc(), F.col("term"))
-    bounded = entries.join(stats, "term").withColumn("bound", F.sum(F.col("weight") * F.col("top")).over(order))
-    cell = F.floor(F.col("t") / reach)
-    # a hair below the bound, so that rounding in the sum never leaves out a term that is needed
-    index = bounded.where(F.col("bound") > min_cosine - 1e-9).select(
-        "term", cell.alias("cell"), F.col("title_id").alias("match_id"), F.col("t").alias("match_t")
-    )
-    probes = bounded.select(
-        "term", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"), "title_id", "t"
-    )
-    candidates = (
-        probes.join(index, ["term", "cell"])
-        .where((F.col("match_id") < F.col("title_id")) & (F.abs(F.col("t") - F.col("match_t")) <= reach))
-        .select("title_id", "match_id")
-        .distinct()
-    )
-    mine = vectors.select("title_id", F.arrays_zip("terms", "weights").alias("v"), "sig")
-    theirs = vectors.select(
-        F.col("title_id").alias("match_id"), F.map_from_arrays("terms", "weights").alias("m"), F.col("sig").alias("match_sig")
-    )
-    dot = F.aggregate(
-        "v", F.lit(0.0), lambda acc, e: acc + F.coalesce(F.element_at("m", e["terms"]) * e["weights"], F.lit(0.0))
-    )
-    verified = candidates.join(mine, "title_id").join(theirs, "match_id").select(
-        "title_id", "match_id", _rounded_cosine(dot, F.col("sig") == F.col("match_sig")).alias("cosine")
-    )
-    return verified.where(F.col("cosine") > min_cosine)
+    rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
+    schema = "title_id long, match_id long, cosine double, block_i long, block_j long"
+    return compare_blocks(rows, rows, block_pairs(blocked, gap_seconds, with_self=False), reduce, schema)
 
 
 # ---------------------------------------------------------------- reports on vectors
@@ -311,10 +282,31 @@ def earlier_matches(
     ``title_id, matches, best_cosine, best_id``; ties go to the earliest article.
     """
     gap = max_hours_gap * 3600
-    ensure_checkpoint_dir(articles.sparkSession)
-    pairs = cosine_pairs(article_vectors(articles, stop_words).checkpoint(), gap, min_cosine)
+    blocked = stored_blocks(articles, stop_words, gap, block_rows)
+    rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
+
+    def reduce(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.sort_values("title_id", ignore_index=True)
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=["title_id", "matches", "cosine", "match_id"])
+        cosine = cosine_block(left, right, gap)
+        ids_l, ids_r = left["title_id"].to_numpy(), right["title_id"].to_numpy()
+        cosine[(ids_r[None, :] >= ids_l[:, None]) | (cosine <= min_cosine)] = 0.0
+        best = cosine.argmax(axis=1)
+        out = pd.DataFrame(
+            {
+                "title_id": ids_l,
+                "matches": (cosine > 0).sum(axis=1),
+                "cosine": cosine[np.arange(len(left)), best],
+                "match_id": ids_r[best],
+            }
+        )
+        return out[out["matches"] > 0]
+
+    schema = "title_id long, matches long, cosine double, match_id long"
+    reduced = compare_blocks(rows, rows, block_pairs(blocked, gap), reduce, schema)
     best = F.min_by(F.struct("cosine", "match_id"), F.struct(-F.col("cosine"), F.col("match_id")))
-    return pairs.groupBy("title_id").agg(F.count(F.lit(1)).alias("matches"), best.alias("b")).select(
+    return reduced.groupBy("title_id").agg(F.sum("matches").alias("matches"), best.alias("b")).select(
         "title_id", "matches", F.col("b.cosine").alias("best_cosine"), F.col("b.match_id").alias("best_id")
     )
 
@@ -333,16 +325,17 @@ def best_topic(
     to any earlier member whose anchor lies within the gap; ties go to the earliest anchor.
     """
     gap = max_hours_gap * 3600
-    ensure_checkpoint_dir(articles.sparkSession)
+    blocked = stored_blocks(articles, stop_words, gap, block_rows)
     anchors = articles.select(
         F.col("title_id").alias("label_id"), F.unix_seconds("published_at").alias("label_t")
     )
-    labels = assigned.select(F.col("title_id").alias("match_id"), F.col("anchor_id").alias("label_id")).join(anchors, "label_id")
-    vectors = article_vectors(articles, stop_words).checkpoint()
-    # a member can lie two gaps away when its anchor lies within one gap of the article
-    pairs = cosine_pairs(vectors, 2 * gap, min_cosine).join(labels, "match_id")
-    fresh = pairs.join(vectors.select("title_id", "t"), "title_id").where(F.abs(F.col("t") - F.col("label_t")) <= gap)
-    return best_label(fresh.select("title_id", "cosine", "label_id"), ["label_id"]).withColumnRenamed("label_id", "anchor_id")
+    labels = assigned.withColumnRenamed("anchor_id", "label_id").join(anchors, "label_id")
+    rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
+    reduced = compare_blocks(
+        rows, rows.join(labels, "title_id"), block_pairs(blocked, gap),
+        best_label_reducer(gap, min_cosine, ("label_id",)), "title_id long, cosine double, label_id long",
+    )
+    return best_label(reduced, ["label_id"]).withColumnRenamed("label_id", "anchor_id")
 
 
 def best_label_reducer(gap: int, min_cosine: float, carried: Sequence[str], keep_pair: bool = False):
