@@ -93,3 +93,11 @@ def test_block_pairs_cover_every_pair_in_reach(spark):
             if j < i and abs(ti - tj) <= 2 * gap:
                 pair = pairs[bi, bj]
                 assert pair.i_from <= ti <= pair.i_to and pair.j_from <= tj <= pair.j_to
+
+
+def test_term_lists_are_made_after_the_shuffle(spark, sf_dir):
+    plan = similarity.tfidf_vectors(samples.clustering_input(spark, sf_dir))._jdf.queryExecution().sparkPlan().toString()
+    lines = plan.splitlines()
+    dealt = next(i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line)
+    assert all(i < dealt for i, line in enumerate(lines) if "collect_list" in line)
+    assert "raw" not in lines[dealt + 1]

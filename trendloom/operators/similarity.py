@@ -50,19 +50,26 @@ def term_counts(articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WO
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:
-    """Articles per term. Reading ``n`` keeps the columns of ``counts``, so its shuffle is used again."""
-    return counts.groupBy("term").agg(F.count(F.when(F.col("n") > 0, F.lit(1))).alias("df"))
+    """Articles per term; the counts are combined before the shuffle."""
+    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _raw(n: Column, df: Column, total: Column) -> Column:
+    return n * (F.log((F.lit(1.0) + total) / (F.lit(1.0) + df)) + 1.0)
 
 
 def tfidf_raw(
     articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
     """``title_id, term, n, raw`` with ``raw = n * (ln((1 + N) / (1 + df)) + 1)``."""
-    counts = term_counts(articles, stop_words)
     total = articles.agg(F.count(F.lit(1))).scalar()
-    frequencies = document_frequencies(counts)
-    idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1.0
-    return counts.join(frequencies, "term").select("title_id", "term", "n", (F.col("n") * idf).alias("raw"))
+    return _with_frequency(articles, stop_words).select("title_id", "term", "n", _raw(F.col("n"), F.col("df"), total).alias("raw"))
+
+
+def _with_frequency(articles: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """``title_id, term, n, df``."""
+    counts = term_counts(articles, stop_words)
+    return counts.join(document_frequencies(counts), "term").select("title_id", "term", "n", "df")
 
 
 def tfidf_weights(
@@ -81,19 +88,25 @@ def tfidf_vectors(
     """``title_id, terms, weights, sig``; articles without a usable term have no row.
 
     ``sig`` is equal for articles whose term counts are in one proportion. An array holds the terms of one article.
+    Entries move with the two whole numbers that give their weight, which compress better than the weight.
     """
+    total = articles.agg(F.count(F.lit(1))).scalar()
+    raw = _raw(F.col("n"), F.col("df"), total)
+    entries = _with_frequency(articles, stop_words)
+    # Dealt as plain rows, still in term order: lists made before the shuffle would be half as long again.
     grouped = (
-        tfidf_raw(articles, stop_words)
+        entries.repartition(int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "title_id")
         .groupBy("title_id")
         .agg(
-            F.array_sort(F.collect_list(F.struct("term", "n", "raw"))).alias("v"),
-            F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
+            F.array_sort(F.collect_list(F.struct("term", "n", "df"))).alias("v"),
+            F.sqrt(F.sum(raw * raw)).alias("norm"),
         )
+        .withColumn("total", total)
     )
     return grouped.select(
         "title_id",
         F.col("v.term").alias("terms"),
-        F.transform("v", lambda e: e["raw"] / F.col("norm")).alias("weights"),
+        F.transform("v", lambda e: _raw(e["n"], e["df"], F.col("total")) / F.col("norm")).alias("weights"),
         # Quotients of whole numbers are equal doubles only if the proportions are equal.
         F.sha2(
             F.to_json(F.struct(F.col("v.term"), F.transform("v", lambda e: e["n"] / F.col("v")[0]["n"]).alias("share"))), 256

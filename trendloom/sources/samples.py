@@ -59,7 +59,9 @@ def topics(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
 
 
 def clustering_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles(spark, sf_dir, spread=True).select(
+    """Articles dealt by their id, so that counts and joins per article need no further shuffle."""
+    spread = articles(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "title_id")
+    return spread.select(
         "title_id", "title", "summary", F.col("date_captured").alias("published_at")
     )
 
