@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +81,16 @@ def test_lexicon_without_rows(spark):
     lexicon = spark.createDataFrame([], "token string, valence double")
     texts = spark.createDataFrame([(1, "good day")], "title_id long, text string")
     assert compound_sentiment(texts, lexicon).first().compound == 0.0
+
+
+def test_generated_methods_stay_within_what_the_jvm_compiles(spark):
+    lexicon = spark.createDataFrame(LEXICON, "token string, valence double")
+    texts = spark.createDataFrame([(1, "never so good but kind of bad")], "title_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scored = compound_sentiment(texts, F.broadcast(lexicon))
+        text = spark._jvm.PythonSQLUtils.explainString(scored._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) <= 8000  # longer methods are interpreted for ever

@@ -25,13 +25,14 @@ def words(text: Column) -> Column:
     marks = "|".join(re.escape(m) for m in sorted(rules.CLINGING_MARKS, key=len, reverse=True))
     plain = rf"[^{_PUNCTUATION}]{{2,}}"
     parts = F.filter(F.split(text, r"[\s\p{Z}]+"), lambda w: F.length(w) > 1)
-    return F.transform(
-        parts, lambda w: F.regexp_replace(w, rf"^(?:{marks})({plain})$|^({plain})(?:{marks})$", "$1$2")
-    )
+    ends = F.lit("".join(sorted({c for mark in rules.CLINGING_MARKS for c in mark})))
+    cleaned = lambda w: F.regexp_replace(w, rf"^(?:{marks})({plain})$|^({plain})(?:{marks})$", "$1$2")
+    # most words have no mark at either end
+    return F.transform(parts, lambda w: F.when(F.btrim(w, ends) == w, w).otherwise(cleaned(w)))
 
 
 def _is_upper(word: Column) -> Column:
-    return (F.upper(word) == word) & (F.lower(word) != word)
+    return (F.lower(word) != word) & (F.upper(word) == word)
 
 
 def _is_negation(word: Column) -> Column:
@@ -69,16 +70,22 @@ def _phrase(*names: str) -> Column:
 
 
 def _idioms(valence: Column) -> Column:
+    # A phrase begins with one of these words, so most places need no lookup.
+    first = sorted({phrase.split(" ")[0] for phrase in [*rules.IDIOMS, *rules.DAMPENER_PAIRS]})
+    possible = functools.reduce(
+        Column.__or__, [F.coalesce(F.col(n).isin(first), F.lit(False)) for n in ("w", "p1", "p2", "p3")]
+    )
     table = F.create_map(*[F.lit(x) for pair in rules.IDIOMS.items() for x in pair])
     before = [("p1", "w"), ("p2", "p1", "w"), ("p2", "p1"), ("p3", "p2", "p1"), ("p3", "p2")]
-    result = F.coalesce(*[F.element_at(table, _phrase(*names)) for names in before], valence)
+    looked_up = F.transform(F.array(*[_phrase(*names) for names in before]), lambda phrase: F.element_at(table, phrase))
+    result = F.coalesce(F.get(F.filter(looked_up, lambda value: value.isNotNull()), 0), valence)
     for names in (("w", "n1"), ("w", "n1", "n2")):
         complete = functools.reduce(Column.__and__, [F.col(n).isNotNull() for n in names])
         result = F.coalesce(F.when(complete, F.element_at(table, _phrase(*names))), result)
     dampened = _phrase("p3", "p2").isin(list(rules.DAMPENER_PAIRS)) | _phrase("p2", "p1").isin(
         list(rules.DAMPENER_PAIRS)
     )
-    return F.when(dampened, result - rules.BOOST).otherwise(result)
+    return F.when(possible, F.when(dampened, result - rules.BOOST).otherwise(result)).otherwise(valence)
 
 
 def _once(value: Column) -> Column:
@@ -98,7 +105,7 @@ def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
     """
     body = F.coalesce(F.col(text), F.lit(""))
     split_texts = texts.select(key, _once(F.struct(body.alias("text"), words(body).alias("words"))).alias("d"))
-    upper = F.size(F.filter("d.words", _is_upper))
+    upper = F.exists("d.words", _is_upper) & F.exists("d.words", lambda w: ~_is_upper(w))
     exclamations = F.length("d.text") - F.length(F.replace("d.text", F.lit("!")))
     questions = F.length("d.text") - F.length(F.replace("d.text", F.lit("?")))
     emphasis = F.least(exclamations, F.lit(rules.EXCLAMATION_LIMIT)) * rules.EXCLAMATION + (
@@ -106,13 +113,15 @@ def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
         .when(questions > 1, questions * rules.QUESTION)
         .otherwise(F.lit(0.0))
     )
-    places = F.array_sort(F.transform("d.words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    # Natural order: array_sort would call a comparison function for every two words.
+    places = F.sort_array(F.arrays_zip(F.col("d.words").alias("w"), F.sequence(F.lit(0), F.size("d.words") - 1).alias("i")))
+    places = F.when(F.size("d.words") > 0, places).otherwise(F.array().cast("array<struct<w:string,i:int>>"))
     facts = split_texts.select(
         key,
         _once(
             F.struct(
                 emphasis.alias("emphasis"),
-                ((upper > 0) & (upper < F.size("d.words"))).alias("cap_diff"),
+                upper.alias("cap_diff"),
                 (F.array_position(F.transform("d.words", lambda w: F.lower(w)), "but") - 1).alias("but_at"),
                 F.col("d.words").alias("words"),
                 places.alias("places"),
@@ -127,25 +136,27 @@ def _word_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
     starts = F.when(F.size("f.places") > 0, starts).otherwise(F.array().cast("array<int>"))
     facts = facts.select(key, "f", _once(starts).alias("starts"))
 
-    def word_row(first: Column, word: Column, run: Column) -> Column:
-        near = [F.get("f.words", first + step).alias(name) for name, step in _NEIGHBOURS.items()]
-        shared = [F.col(f"f.{name}").alias(name) for name in ("emphasis", "cap_diff")]
+    def run_row(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("starts", k + 1), F.size("f.places"))
         but = F.col("f.but_at")
         turned = F.aggregate(
-            run, F.lit(0.0),
-            lambda total, x: total + F.when((but < 0) | (x["i"] == but), F.lit(1.0))
+            F.slice("f.places", start + 1, end - start), F.lit(0.0),
+            lambda total, x: total + F.when(x["i"] == but, F.lit(1.0))
             .when(x["i"] < but, F.lit(rules.BEFORE_BUT)).otherwise(F.lit(rules.AFTER_BUT)),
         )
-        return F.struct(first.alias("i"), word.alias("w"), turned.alias("shift"), *near, *shared)
+        shift = F.when(but < 0, (end - start).cast("double")).otherwise(turned)
+        return F.struct(F.get("f.places", start)["i"].alias("i"), shift.alias("shift"))
 
-    def run_row(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.get("starts", k + 1), F.size("f.places"))
-        head = F.get("f.places", start)
-        return word_row(head["i"], head["w"], F.slice("f.places", start + 1, end - start))
-
-    none = F.array().cast("array<struct<w:string,i:int>>")
-    rows = F.concat(F.array(word_row(F.lit(TEXT_ROW), F.lit(None).cast("string"), none)), F.transform("starts", run_row))
-    return facts.select(key, F.explode(rows).alias("e")).select(key, "e.*")
+    runs = F.concat(
+        F.array(F.struct(F.lit(TEXT_ROW).alias("i"), F.lit(0.0).alias("shift"))), F.transform("starts", run_row)
+    )
+    # Two numbers per word leave the text; the word and its neighbours are taken from the array where they are needed.
+    rows = facts.select(
+        key, F.struct("f.emphasis", "f.cap_diff").alias("g"), F.col("f.words").alias("words"), _once(runs).alias("runs")
+    ).select(key, "g", "words", F.explode("runs").alias("e"))
+    near = [F.get("words", F.col("e.i") + step).alias(name) for name, step in _NEIGHBOURS.items()]
+    word = F.get("words", F.col("e.i")).alias("w")
+    return rows.select(key, "e.i", word, "e.shift", *near, "g.emphasis", "g.cap_diff")
 
 
 def compound_sentiment(
@@ -163,11 +174,11 @@ def compound_sentiment(
     degree = low.isin([*rules.INTENSIFIERS, *rules.DAMPENERS]) | (
         (low == "kind") & (F.lower("n1") == "of")
     )
-    hits = rows.join(lexicon.select(F.col("token").alias("_t"), "valence"), low == F.col("_t"), "left").withColumn(
-        "valence", F.when(~F.coalesce(degree, F.lit(False)), F.col("valence")).cast("double")
-    )
+    hits = rows.join(lexicon.select(F.col("token").alias("_t"), "valence"), low == F.col("_t"), "left")
     # Only the words found and one row per text go on from here.
-    hits = hits.filter(F.col("valence").isNotNull() | (F.col("i") == TEXT_ROW))
+    hits = hits.filter(F.col("valence").isNotNull() | (F.col("i") == TEXT_ROW)).withColumn(
+        "valence", F.when(~F.coalesce(degree, F.lit(False)), F.col("valence")).cast("double")
+    ).filter(F.col("valence").isNotNull() | (F.col("i") == TEXT_ROW))
     # A neighbour that is a sentiment word itself does not modify; one lookup per neighbour tells.
     for name in ("p1", "p2", "p3"):
         known = lexicon.select(F.col("token").alias("_known"))
