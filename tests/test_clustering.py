@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import brute_force
 from trendloom.functions.edit import distance, exceeds
+from trendloom.functions.text import levenshtein_similarity
 from trendloom.operators import clustering, similarity as sim
 
 SCHEMA = "title_id long, title string, summary string, published_at timestamp"
@@ -170,3 +171,14 @@ def test_pairs_of_different_blocks_once(spark):
         and brute_force.cosine(vec[i], vec[j]) > 0.15
     }
     assert len(found) == len(expected) and set(found) == expected
+
+
+def test_measuring_is_dealt_out_and_equals_the_built_in_distance(spark):
+    rng = random.Random(9)
+    titles = [None, "", "é"] + ["".join(rng.choices("abé ", k=rng.randrange(40))) for _ in range(60)]
+    rows = [(i, t, "", START) for i, t in enumerate(titles)]
+    members = spark.createDataFrame([(i, i % 5) for i in range(len(rows))], "title_id long, anchor_id long").coalesce(1)
+    measured = clustering.measure_members(spark.createDataFrame(rows, SCHEMA), members)
+    assert measured.rdd.getNumPartitions() == 8  # one before, when the articles are broadcast
+    expected = measured.select("title_id", F.round(levenshtein_similarity("main_title", "headline_text"), 2))
+    assert {(r.title_id, r.levenshtein_similarity) for r in measured.collect()} == {tuple(r) for r in expected.collect()}

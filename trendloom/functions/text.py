@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
+from trendloom.functions.edit import distance
+
 # Spark's default English stop words. The list is a default; every operator that uses it takes
 # another one as ``stop_words``.
 ENGLISH_STOP_WORDS: tuple[str, ...] = (
@@ -91,8 +94,25 @@ def levenshtein_similarity(left: Column | str, right: Column | str) -> Column:
 
     Written with one division, so that a value such as 0.575 has its shortest form before rounding.
     """
-    a = F.lower(F.coalesce(_col(left), F.lit("")))
-    b = F.lower(F.coalesce(_col(right), F.lit("")))
-    longest = F.greatest(F.length(a), F.length(b))
+    a, b, longest = _compared(left, right)
     same = longest - F.levenshtein(a, b)
     return F.when(longest > 0, same / F.nullif(longest, F.lit(0))).otherwise(F.lit(1.0))
+
+
+def long_levenshtein_similarity(left: Column | str, right: Column | str) -> Column:
+    """As :func:`levenshtein_similarity`, for texts of any length: the built-in distance visits every pair of characters."""
+    a, b, longest = _compared(left, right)
+
+    @F.pandas_udf("int")
+    def steps(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([distance(s, t) for s, t in zip(x, y)], dtype="int32")
+
+    same = longest - steps(a, b)
+    return F.when(longest > 0, same / F.nullif(longest, F.lit(0))).otherwise(F.lit(1.0))
+
+
+def _compared(left: Column | str, right: Column | str) -> tuple[Column, Column, Column]:
+    """Both texts in lower case and the longer length."""
+    a = F.lower(F.coalesce(_col(left), F.lit("")))
+    b = F.lower(F.coalesce(_col(right), F.lit("")))
+    return a, b, F.greatest(F.length(a), F.length(b))

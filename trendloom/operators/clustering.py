@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from trendloom.functions.edit import exceeds
-from trendloom.functions.text import ENGLISH_STOP_WORDS, jaccard, levenshtein_similarity
+from trendloom.functions.text import ENGLISH_STOP_WORDS, jaccard, levenshtein_similarity, long_levenshtein_similarity
 from trendloom.operators import similarity as sim
 from trendloom.operators.similarity import cosine_block
 from trendloom.session import ensure_checkpoint_dir
@@ -200,7 +200,9 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
 
 def measure_members(articles: DataFrame, members: DataFrame) -> DataFrame:
     """Every member next to the first title of its topic, with both title similarities, two places."""
-    facts = members.join(articles, "title_id")
+    # The narrow rows are dealt out: the distances are computed where they lie if the articles are broadcast.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    facts = members.repartition(tasks, "title_id").join(articles, "title_id")
     anchors = articles.select(F.col("title_id").alias("anchor_id"), F.col("title").alias("main_title"))
     return facts.join(anchors, "anchor_id").select(
         "anchor_id",
@@ -208,7 +210,7 @@ def measure_members(articles: DataFrame, members: DataFrame) -> DataFrame:
         "title_id",
         F.col("title").alias("headline_text"),
         "published_at",
-        F.round(levenshtein_similarity("main_title", "title"), 2).alias("levenshtein_similarity"),
+        F.round(long_levenshtein_similarity("main_title", "title"), 2).alias("levenshtein_similarity"),
         F.round(jaccard("main_title", "title"), 2).alias("jaccard_similarity"),
     )
 
