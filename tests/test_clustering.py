@@ -179,6 +179,8 @@ def test_measuring_is_dealt_out_and_equals_the_built_in_distance(spark):
     rows = [(i, t, "", START) for i, t in enumerate(titles)]
     members = spark.createDataFrame([(i, i % 5) for i in range(len(rows))], "title_id long, anchor_id long").coalesce(1)
     measured = clustering.measure_members(spark.createDataFrame(rows, SCHEMA), members)
-    assert measured.rdd.getNumPartitions() == 8  # one before, when the articles are broadcast
+    steps = measured._jdf.queryExecution().sparkPlan().toString().splitlines()
+    found = [next((i for i, line in enumerate(steps) if name in line), -1) for name in ("ArrowEvalPython", "REPARTITION_BY_NUM", "Join")]
+    assert 0 <= found[0] < found[1] < found[2]  # joined, dealt out, and only then compared
     expected = measured.select("title_id", F.round(levenshtein_similarity("main_title", "headline_text"), 2))
     assert {(r.title_id, r.levenshtein_similarity) for r in measured.collect()} == {tuple(r) for r in expected.collect()}

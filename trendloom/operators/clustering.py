@@ -200,11 +200,14 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
 
 def measure_members(articles: DataFrame, members: DataFrame) -> DataFrame:
     """Every member next to the first title of its topic, with both title similarities, two places."""
-    # The narrow rows are dealt out: the distances are computed where they lie if the articles are broadcast.
+    facts = members.join(articles, "title_id")
+    # Few topics make a small table, so that no task gets all members of a topic by a shuffle on it.
+    used = articles.join(members.select(F.col("anchor_id").alias("title_id")).distinct(), "title_id", "left_semi")
+    anchors = used.select(F.col("title_id").alias("anchor_id"), F.col("title").alias("main_title"))
+    # Whatever the joins were, the distances are computed on rows dealt out evenly.
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    facts = members.repartition(tasks, "title_id").join(articles, "title_id")
-    anchors = articles.select(F.col("title_id").alias("anchor_id"), F.col("title").alias("main_title"))
-    return facts.join(anchors, "anchor_id").select(
+    paired = facts.join(anchors, "anchor_id").select("anchor_id", "main_title", "title_id", "title", "published_at")
+    return paired.repartition(tasks, "title_id").select(
         "anchor_id",
         "main_title",
         "title_id",
