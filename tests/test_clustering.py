@@ -184,3 +184,9 @@ def test_measuring_is_dealt_out_and_equals_the_built_in_distance(spark):
     assert 0 <= found[0] < found[1] < found[2]  # joined, dealt out, and only then compared
     expected = measured.select("title_id", F.round(levenshtein_similarity("main_title", "headline_text"), 2))
     assert {(r.title_id, r.levenshtein_similarity) for r in measured.collect()} == {tuple(r) for r in expected.collect()}
+
+
+def test_repeated_rows_match_as_often_as_they_are_given(spark):
+    rows = [(1, "alpha beta", "", START), (2, "alpha beta", "", START), (2, "alpha beta", "", START)]
+    found = sim.earlier_matches(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r.title_id, r.matches, r.best_id) for r in found] == [(2, 2, 1)]

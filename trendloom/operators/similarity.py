@@ -142,10 +142,15 @@ def assign_blocks(rows: DataFrame, gap_seconds: int, block_rows: int = BLOCK_ROW
 def stored_blocks(
     articles: DataFrame, stop_words: Sequence[str], gap_seconds: int, block_rows: int
 ) -> DataFrame:
-    """Vectors cut into blocks, written once because every comparison reads them several times."""
+    """Vectors cut into blocks, written once because every comparison reads them several times.
+
+    A repeated row is placed once, so that it stays as often as it was given.
+    """
     ensure_checkpoint_dir(articles.sparkSession)
     vectors = article_vectors(articles, stop_words).checkpoint()
-    return assign_blocks(vectors, gap_seconds, block_rows).checkpoint()
+    places = assign_blocks(vectors.select("title_id", "t").distinct(), gap_seconds, block_rows)
+    own = places.filter(F.col("bucket") == F.floor(F.col("t") / gap_seconds)).groupBy("title_id", "t", "bucket")
+    return vectors.join(own.agg(F.min("block").alias("block")), ["title_id", "t"]).checkpoint()
 
 
 def block_pairs(blocked: DataFrame, gap_seconds: int, with_self: bool = True) -> DataFrame:
