@@ -12,25 +12,32 @@ from itertools import chain, repeat
 
 import numpy as np
 
+from trendloom.llm.merges import BatchMerges
+
 # Bytes of known words kept per worker process (about six share an executor); beyond it the memory is emptied
 # and filled anew. Ids do not depend on it.
 BYTES_KEPT = 96 << 20
 # Bytes a dictionary entry of one known word costs beyond the word itself (key object, slot, index)
 ENTRY_BYTES = 120
-# Words of these letters with at most one full stop or comma behind them: their ids are those of the word in
-# lower case, which the vocabulary takes as one unit, and of the mark. All other words take the long way.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# Words of these letters with nothing but ASCII marks behind them: their ids are those of the word in lower
+# case and of the marks, which the vocabulary takes as one unit each. All other words take the long way.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+# A full stop or comma by itself at the end of a word is a unit of its own, so the word is known without it.
+LAST_MARK = re.compile(rb"[.,](?<=[a-z0-9][.,])(?!\S)")
+# Longer units are left to the tokenizer library: the steps of a batch are as many as its longest word has merges.
+LONGEST = 64
 
 
 def units_of(text: str | None) -> list[bytes]:
     """The parts of a text between white space that are encoded one by one.
 
-    A to Z become lower case, as in the vocabulary, unless the text may name a special token.
+    A to Z become lower case, as in the vocabulary, and a last full stop or comma is a part of its own,
+    unless the text may name a special token.
     """
     if not text:
         return []
     raw = text.encode("utf-8")
-    return raw.split() if b"<|" in raw else raw.lower().split()
+    return raw.split() if b"<|" in raw else LAST_MARK.sub(rb" \g<0>", raw.lower()).split()
 
 
 def byte_letters() -> dict[int, str]:
@@ -57,6 +64,7 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._units = Tokenizer(self._tokenizer.model)
         self._letter = byte_letters()
+        self._merges = BatchMerges(path, self._letter) if BatchMerges.holds(path) else None
         self._kept = bytes_kept
         self._reset()
 
@@ -100,30 +108,39 @@ class WordEncoder:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self._store(words, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
 
+    def _encode_units(self, units: list[bytes]) -> None:
+        """Remember new units, words the vocabulary does not cut before it merges."""
+        short = [u for u in units if len(u) <= LONGEST] if self._merges else []
+        if short:
+            self._store(short, *self._merges.encode(short))
+        long = [u for u in units if len(u) > LONGEST] if self._merges else units
+        self._encode(self._units, long, ["".join(map(self._letter.__getitem__, u)) for u in long])
+
     def _learn(self, words: list[bytes]) -> None:
-        long_way, plain, stems = [b".", b","], [], {}
+        long_way, plain, stems = [], [], {}
         for word in words:
             if word.isalpha() and word.islower():
-                stems[word] = word.decode("ascii")
+                stems[word] = None
                 continue
-            text = word.decode("utf-8")
-            match = PLAIN.fullmatch(text)
+            match = PLAIN.fullmatch(word.decode("utf-8"))
             if match is None:
                 long_way.append(word)
                 continue
-            stem = match[1].lower()
-            key = stem.encode("utf-8")
+            key, marks = match[1].lower().encode("utf-8"), match[2].encode()
+            if key == word:
+                stems[key] = None
+                continue
+            plain.append((word, key, marks))
             if key not in self._code:
-                stems[key] = stem if stem.isascii() else "".join(map(self._letter.__getitem__, key))
-            if key != word:
-                plain.append((word, key, match[2].encode()))
-        long_way = [w for w in dict.fromkeys(long_way) if w not in self._code]
+                stems[key] = None
+            if marks and marks not in self._code:
+                stems[marks] = None
         self._encode(self._tokenizer, long_way, [w.decode("utf-8") for w in long_way])
-        self._encode(self._units, list(stems), list(stems.values()))
+        self._encode_units([u for u in stems if u not in self._code])
         if plain:
             code = self._code
-            # Every word is its stem and a mark; where there is no mark, the stem alone.
-            parts = np.array([x for _, stem, mark in plain for x in (code[stem], code[mark] if mark else -1)], np.int64)
+            # Every word is its stem and its marks; where there are none, the stem alone.
+            parts = np.array([x for _, stem, marks in plain for x in (code[stem], code[marks] if marks else -1)], np.int64)
             sizes = np.where(parts < 0, 0, self._size[parts]).reshape(-1, 2).sum(axis=1)
             self._store([w for w, _, _ in plain], self._gather(parts[parts >= 0]), sizes)
 
