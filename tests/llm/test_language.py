@@ -105,3 +105,33 @@ def test_training_never_sees_held_out_rows(spark):
     rows = [(k, "aaa" if zlib.crc32(str(k).encode()) % 4 != 2 else "zzz", "x" if zlib.crc32(str(k).encode()) % 4 != 2 else "y", "s", 0)
             for k in range(200)]
     assert lg.train(spark.createDataFrame(rows, SCHEMA)).languages == ("x",)
+
+
+def test_ngrams_of_many_texts_are_counted_in_bounded_portions(spark, monkeypatch):
+    """All texts of a batch were once turned into arrays together; their counts are the same in portions."""
+    rows = [(k, "wort für wort und noch eins " * 40 if k % 2 else "word by word and one more " * 40, "de" if k % 2 else "en", "s", 0) for k in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    whole = lg.train(docs)
+    grams_of, limit = lg.grams_of, 500
+
+    def guarded(words):
+        assert sum(map(len, words)) <= 2 * limit + 10, "too many letters in arrays at once"
+        return grams_of(words)
+
+    monkeypatch.setattr(lg, "LETTERS_AT_ONCE", limit)
+    monkeypatch.setattr(lg, "portions", lambda words, letters=limit, cut=lg.portions: cut(words, letters))
+    monkeypatch.setattr(lg, "grams_of", guarded)
+    parts = lg.train(docs)
+    assert parts.languages == whole.languages
+    assert (parts.scores == whole.scores).all() and (parts.allowed == whole.allowed).all()
+    words = sorted({w for r in rows for w in lg.words_of(r[1])}) * 300
+    assert (parts.word_scores(words) == np.tile(whole.word_scores(words[: len(words) // 300]), (300, 1))).all()
+
+
+def test_known_words_are_bounded_by_bytes(spark, monkeypatch):
+    rows = [(k, f"der die das wort{chr(97 + k % 26)} und" if k % 2 else f"the a of word{chr(97 + k % 26)} and", "de" if k % 2 else "en", "s", 0) for k in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    columns = ["doc_id", "held_out", "lang_pred", "score", "n_spans"]
+    before = sorted(lg.language_report(docs).select(*columns).collect())
+    monkeypatch.setattr(lg, "TABLE_BYTES", 64)
+    assert sorted(lg.language_report(docs).select(*columns).collect()) == before

@@ -9,6 +9,7 @@ for every switch of language, so a quotation in another language gets its own sp
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +43,11 @@ SCRIPT_STARTS = np.array([start for start, _ in SCRIPTS])
 SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 SCRIPT_OF_RANGE = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS])
 
+# Letters whose n-grams are held as arrays at a time; an array of them takes eight bytes a letter and n-gram order.
+LETTERS_AT_ONCE = 1 << 16
+# Words with known scores per task: so many, and so many bytes with their table, whatever the number of languages.
+WORDS_KEPT, TABLE_BYTES = 300_000, 16 << 20
+
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -79,6 +85,18 @@ def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(cells), np.concatenate(owners), script
 
 
+def portions(words: list[str], letters: int = LETTERS_AT_ONCE) -> Iterator[list[str]]:
+    """The words in order, cut behind the word that reaches ``letters``; a word is never cut."""
+    first = held = 0
+    for k, word in enumerate(words):
+        held += len(word) + 1
+        if held >= letters:
+            yield words[first : k + 1]
+            first, held = k + 1, 0
+    if first < len(words):
+        yield words[first:]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """``scores``: log probability of each cell by language; ``allowed``: candidates by script."""
@@ -89,6 +107,9 @@ class LanguageModel:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Scores of the words by language, relative to the best candidate and held within the limit."""
+        return np.concatenate([self._portion_scores(part) for part in portions(words)])
+
+    def _portion_scores(self, words: list[str]) -> np.ndarray:
         cells, owners, script = grams_of(words)
         total = np.zeros((len(words), len(self.languages)))
         for k in range(len(self.languages)):
@@ -133,20 +154,32 @@ def train(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> La
     def count(batches):
         import pyarrow as pa
 
+        counted: dict[str, np.ndarray] = {}
+        waiting: dict[str, list[str]] = {}
+        letters: dict[str, int] = {}
+
+        def add(lang, words):
+            cells, _, script = grams_of(words)
+            n = counted.setdefault(lang, np.zeros(CELLS + len(SCRIPT_NAMES), np.int64))
+            n[:CELLS] += np.bincount(cells, minlength=CELLS)
+            n[CELLS:] += np.bincount(script, minlength=len(SCRIPT_NAMES))
+
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                by_lang.setdefault(lang, []).extend(words_of(text.as_py()))
-            for lang, words in by_lang.items():
-                if not words:
-                    continue
-                cells, _, script = grams_of(words)
-                n = np.concatenate([np.bincount(cells, minlength=CELLS), np.bincount(script, minlength=len(SCRIPT_NAMES))])
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
-                    ["lang", "cell", "n"],
-                )
+                for words in portions(words_of(text.as_py())):
+                    waiting.setdefault(lang, []).extend(words)
+                    letters[lang] = letters.get(lang, 0) + sum(map(len, words))
+                    if letters[lang] >= LETTERS_AT_ONCE:
+                        add(lang, waiting.pop(lang))
+                        letters[lang] = 0
+        for lang, words in waiting.items():
+            add(lang, words)
+        for lang, n in counted.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
+                ["lang", "cell", "n"],
+            )
 
     counts = sample.mapInArrow(count, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     languages = sorted(sizes)
@@ -226,8 +259,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         import pyarrow as pa
 
         spans_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
+        limit = min(WORDS_KEPT, TABLE_BYTES // (8 * max(1, len(model.languages))))
         known: dict[str, int] = {}
-        table = np.empty((0, len(model.languages)))
+        table = np.empty((limit, len(model.languages)))
         for batch in batches:
             at_column = batch.schema.get_field_index("text")
             column = batch.column(at_column)
@@ -236,12 +270,13 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 if not part.num_rows:
                     continue
                 texts = [words_of(x.as_py()) for x in column.slice(first, 256)]
-                if len(known) > 300_000:
-                    known, table = {}, table[:0]
                 new = list(dict.fromkeys(w for words in texts for w in words if w not in known))
+                if len(known) + len(new) > limit:
+                    known, new = {}, list(dict.fromkeys(w for words in texts for w in words))
+                    table = np.empty((max(limit, len(new)), len(model.languages)))
                 if new and model.languages:
+                    table[len(known) : len(known) + len(new)] = model.word_scores(new)
                     known.update(zip(new, range(len(known), len(known) + len(new))))
-                    table = np.vstack([table, model.word_scores(new)]) if len(table) else model.word_scores(new)
                 out = [
                     label_text(model, words, table[[known[w] for w in words]]) if words and model.languages
                     else (UNKNOWN, 0.0, []) for words in texts
