@@ -84,3 +84,19 @@ def test_keys_by_shuffle_join_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(mod, "BROADCAST_KEYS", 0)  # no key table is sent to every task
     docs = spark.createDataFrame(rows, "text string, lang string")
     assert sorted(tuple(r) for r in collocations(docs).collect()) == brute(rows)
+
+
+def test_words_proposed_in_vain_admit_no_pairs(spark, monkeypatch):
+    """Words of the sample that the full count finds rare were looked up too, so that the keys outgrew the broadcast."""
+    monkeypatch.setattr(mod, "SAMPLE_RATE", 1)  # proposes words with 5 occurrences
+    rows = [("new york times. " * 12 + "\t rare\tword " * 6, "en")] + [("Ünew YORK. ", "de")] * 11
+    asked, admitted = [], mod._admitted
+
+    def recorded(*args):
+        asked.extend(r.phrase for a in args if hasattr(a, "columns") and "old" in a.columns for r in a.collect())
+        return admitted(*args)
+
+    monkeypatch.setattr(mod, "_admitted", recorded)
+    got = sorted(tuple(r) for r in collocations(spark.createDataFrame(rows, "text string, lang string")).collect())
+    assert got == brute(rows)
+    assert "york" in asked and not {"rare", "word"} & set(asked)

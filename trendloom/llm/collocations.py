@@ -7,7 +7,8 @@ occurrences.
 Method. A Bernoulli sample of pieces (``SAMPLE_RATE``, chosen by a hash of the piece, so reruns agree) proposes
 the phrases frequent in it at a lowered threshold. One full pass then counts exactly the proposed phrases and
 their negative border: every word, every pair of proposed words, every triple whose two inner pairs are proposed.
-A border phrase that proves frequent means the sample missed something: the next full pass counts the phrases
+What the sample proposed but the full count finds rare is left out before
+the next length is counted. A border phrase that proves frequent means the sample missed something: the next full pass counts the phrases
 that the enlarged frequent set newly admits, and so on until no border phrase is frequent (closed). Phrases that
 no frequent set admits are never counted; all counts are exact, the sample only decides what is counted.
 
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from trendloom.llm.shared import ascii_lower, written
 
 PIECE = r"[.,;:!?\x0A-\x0D]"
-WORD = r"[^\x20\x09]+"
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: Share of pieces in the sample, and the share of the expected count that makes a phrase frequent in it.
 SAMPLE_RATE, LOWERING = 1 / 16, 0.5
@@ -38,13 +38,15 @@ _BUCKETS = 1 << 20
 
 def phrase_pieces(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per piece with words: ``lang`` (null: ``und``), ``words`` array, and ``sampled`` (in the sample)."""
-    lowered = ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.xxhash64(*[F.col(c) for c in docs.columns]).alias("row_hash"),
-        F.posexplode(F.split(lowered, PIECE)).alias("piece_no", "piece"),
+        F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), PIECE)).alias("piece_no", "given"),
     )
-    words = F.regexp_extract_all("piece", F.lit(WORD), F.lit(0))
+    # lower() works on bytes where a piece is ASCII; elsewhere it would change more letters than A to Z
+    lowered = F.when(F.length("given") == F.octet_length("given"), F.lower("given")).otherwise(ascii_lower(F.col("given")))
+    rows = rows.select("lang", "row_hash", "piece_no", lowered.alias("piece"))
+    words = F.array_remove(F.split(F.replace("piece", F.lit("\t"), F.lit(" ")), " "), "")
     spot = F.pmod(F.xxhash64("row_hash", "piece_no", "piece"), F.lit(_BUCKETS))
     return rows.select("lang", words.alias("words"), (spot < F.lit(int(SAMPLE_RATE * _BUCKETS))).alias("sampled")).where(
         F.size("words") > 0
@@ -52,21 +54,28 @@ def phrase_pieces(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
 
 
 def _grams(pieces: DataFrame, k: int) -> DataFrame:
-    """Every occurrence of ``k`` consecutive words: ``lang``, ``phrase`` and, for ``k`` > 1, ``hx`` and ``hy``.
+    """Every occurrence of ``k`` consecutive words: ``lang``, ``words`` (the whole piece), ``i`` (first place, from 0).
 
-    ``hx`` and ``hy`` are the keys (:func:`_key`) of the first and the last ``k - 1`` words: occurrences move
-    with two numbers instead of two more copies of their words.
+    For ``k`` > 1 also ``hx`` and ``hy``, the keys (:func:`_key`) of the first and the last ``k - 1`` words. The
+    words of the phrase are joined (:func:`_phrase`) by those who need them.
     """
-    starts = F.when(F.size("words") >= k, F.sequence(F.lit(1), F.size("words") - k + 1)).otherwise(F.array().cast("array<int>"))
-    grams = pieces.select("lang", F.explode(F.transform(starts, lambda i: F.slice("words", i, k))).alias("g"))
-    columns = ["lang", _joined(F.col("g")).alias("phrase")]
+    long_enough = pieces.where(F.size("words") >= k)
+    grams = long_enough.select("lang", "words", F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("i"))
     if k > 1:
-        columns += [_key(_joined(F.slice("g", 1, k - 1))).alias("hx"), _key(_joined(F.slice("g", 2, k - 1))).alias("hy")]
-    return grams.select(*columns)
+        grams = grams.withColumns({"hx": _key(_phrase(k - 1)), "hy": _key(_phrase(k - 1, 1))})
+    return grams
 
 
-def _joined(g: Column) -> Column:
-    return F.array_join(g, " ")
+def _phrase(k: int, skip: int = 0) -> Column:
+    """The ``k`` words from place ``i + skip`` on, joined."""
+    return F.concat_ws(" ", *[F.get("words", F.col("i") + (skip + j)) for j in range(k)])
+
+
+def _occurrences(pieces: DataFrame, k: int) -> DataFrame:
+    """``lang, phrase`` of every occurrence of ``k`` consecutive words."""
+    if k == 1:
+        return pieces.select("lang", F.explode("words").alias("phrase"))
+    return _grams(pieces, k).select("lang", _phrase(k).alias("phrase"))
 
 
 def _key(phrase: Column) -> Column:
@@ -74,8 +83,8 @@ def _key(phrase: Column) -> Column:
     return F.xxhash64(F.col("lang"), phrase)
 
 
-def _admitted(grams: DataFrame, allowed: DataFrame, again: bool) -> DataFrame:
-    """Occurrences whose two inner phrases are allowed; ``again``: not both allowed before (``old``).
+def _admitted(pieces: DataFrame, k: int, allowed: DataFrame, again: bool) -> DataFrame:
+    """Occurrences of ``k`` words whose two inner phrases are allowed; ``again``: not both allowed before (``old``).
 
     Allowed phrases are looked up by key, one row per key, so no occurrence is repeated by the lookup; up to
     ``BROADCAST_KEYS`` keys go to every task, more by a shuffle join. Two
@@ -83,15 +92,18 @@ def _admitted(grams: DataFrame, allowed: DataFrame, again: bool) -> DataFrame:
     exact count too, and :func:`frequent_phrases` keeps each phrase once.
     """
     keys = written(allowed.groupBy(_key(F.col("phrase")).alias("h")).agg(F.bool_and("old").alias("old")))
+    out, phrase = _grams(pieces, k), _phrase(k)
     if keys.count() <= BROADCAST_KEYS:
         # occurrences are then looked up where they are made, and only counts of admitted phrases move
         keys = F.broadcast(keys)
-    out = grams
+    else:
+        # an occurrence moves with its own words only, not with its piece
+        out, phrase = out.select("lang", phrase.alias("phrase"), "hx", "hy"), F.col("phrase")
     for side in ("hx", "hy"):
         out = out.join(keys.select(F.col("h").alias(side), F.col("old").alias(f"old_{side}")), side)
     if again:
         out = out.where(~(F.col("old_hx") & F.col("old_hy")))
-    return out.select("lang", "phrase")
+    return out.select("lang", phrase.alias("phrase"))
 
 
 def _counted(occurrences: DataFrame, k: int) -> DataFrame:
@@ -112,32 +124,51 @@ def frequent_phrases(pieces: DataFrame, min_count: int = MIN_COUNT,
     # proposed by the sample: frequent there at the lowered threshold, with all inner phrases proposed
     allowed: dict[int, DataFrame] = {}
     for k in range(1, max_words):
-        found = _counted(_grams(sample, k).select("lang", "phrase"), k).where(F.col("f") >= least)
-        if k > 1:
-            found = found.join(_admitted(_grams(sample, k), allowed[k - 1], False).distinct(), ["lang", "phrase"], "left_semi")
+        found = _counted(_occurrences(sample, k), k).where(F.col("f") >= least)
+        if k > 1 and least > 1:  # every phrase of the sample is proposed otherwise, and so are its inner ones
+            found = found.join(_admitted(sample, k, allowed[k - 1], False).distinct(), ["lang", "phrase"], "left_semi")
         allowed[k] = written(found.select("lang", "phrase", F.lit(True).alias("old")))
     totals = written(pieces.groupBy("lang").agg(F.sum(F.size("words")).cast("long").alias("n")))
-    frequent = _counted(_grams(pieces, 1).select("lang", "phrase"), 1).where(F.col("f") >= min_count)
+    frequent = written(_counted(_occurrences(pieces, 1), 1).where(F.col("f") >= min_count))
+    # a level is counted in full before the next, so what the sample proposed in vain admits nothing there
+    allowed[1] = _confirmed(allowed[1], frequent)
     grew = {k: True for k in allowed}
     passes = 0
     while True:
         # a full pass: phrases whose inner phrases are allowed, except those counted in an earlier pass
         for k in range(2, max_words + 1):
             if grew[k - 1]:
-                found = _counted(_admitted(_grams(pieces, k), allowed[k - 1], passes > 0), k)
-                frequent = frequent.unionByName(found.where(F.col("f") >= min_count))
-        frequent = written(frequent.dropDuplicates(["lang", "phrase"]))
+                found = _counted(_admitted(pieces, k, allowed[k - 1], passes > 0), k).where(F.col("f") >= min_count)
+                frequent = written(frequent.unionByName(found).dropDuplicates(["lang", "phrase"]))
+                if k in allowed and passes == 0:
+                    allowed[k] = _confirmed(allowed[k], frequent)
+                elif k in allowed:
+                    # what this pass found missing is admitted to the next length at once
+                    missed = _missed(frequent, allowed[k], k)
+                    if not missed.isEmpty():
+                        allowed[k], grew[k] = written(allowed[k].unionByName(missed)), True
         passes += 1
         # border failures: frequent phrases that were not allowed, so longer phrases with them are not counted yet
         for k in allowed:
-            missed = frequent.where(F.col("k") == k).select("lang", "phrase").join(allowed[k], ["lang", "phrase"], "left_anti")
+            missed = _missed(frequent, allowed[k], k)
             old = allowed[k].select("lang", "phrase", F.lit(True).alias("old"))
             grew[k] = not missed.isEmpty()
-            allowed[k] = written(old.unionByName(missed.withColumn("old", F.lit(False)))) if grew[k] else old
+            allowed[k] = written(old.unionByName(missed)) if grew[k] else old
         if not any(grew.values()):
             return frequent.select("lang", "phrase", "k", "f"), totals, passes
 
 
+def _missed(frequent: DataFrame, allowed: DataFrame, k: int) -> DataFrame:
+    """The frequent phrases of ``k`` words that are not allowed yet."""
+    missed = frequent.where(F.col("k") == k).select("lang", "phrase").join(allowed, ["lang", "phrase"], "left_anti")
+    return missed.withColumn("old", F.lit(False))
+
+
+def _confirmed(proposed: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The proposed phrases that a full count found frequent."""
+    return written(proposed.join(frequent.select("lang", "phrase"), ["lang", "phrase"], "left_semi"))
+
+
 def _score(a: str, l: str, r: str) -> Column:
     """floor(1e6 * a * a / (l * r)) by integral division of whole decimals (the products pass 64 bits)."""
     d = "decimal(38,0)"
