@@ -190,3 +190,27 @@ def test_repeated_rows_match_as_often_as_they_are_given(spark):
     rows = [(1, "alpha beta", "", START), (2, "alpha beta", "", START), (2, "alpha beta", "", START)]
     found = sim.earlier_matches(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [(r.title_id, r.matches, r.best_id) for r in found] == [(2, 2, 1)]
+
+
+@pytest.mark.parametrize("block_rows", [7, 2048])
+def test_rounds_read_lists_of_pairs_and_no_terms(spark, block_rows):
+    rows = random_articles(10, 60, copies=0.3)
+    gap, place = 72 * 3600, {r[0]: i for i, r in enumerate(rows)}
+    blocked = sim.stored_blocks(spark.createDataFrame(rows, SCHEMA), ("the",), gap, block_rows)
+    stored = sim.block_neighbours(blocked, gap).toPandas()
+    assert not {"terms", "weights"} & set(stored.columns) and len(stored) == 60
+    vec = brute_force.vectors(as_dicts(rows))
+    for _, block in stored.groupby("block"):
+        block = block.sort_values("place", ignore_index=True)
+        at = [place[i] for i in block["title_id"]]
+        assert at == sorted(at) and block["place"].tolist() == list(range(len(at)))
+        for i, (near, cosines) in enumerate(zip(block["near"], block["cosines"])):
+            expected = {
+                j: brute_force.cosine(vec[at[i]], vec[at[j]]) for j in range(i)
+                if abs(rows[at[i]][3] - rows[at[j]][3]) <= timedelta(hours=144)
+            }
+            assert dict(zip(near, cosines)) == {j: c for j, c in expected.items() if c > 0.15}
+    if block_rows > 60:  # the rule needs the lists only, in whatever order the rows come
+        alone = stored.sample(frac=1, random_state=1).assign(cosine=0.0, label_id=-1, label_t=0, label_title=None)
+        found = clustering._block_rule(gap, 0.15, 0.0)(alone)
+        assert dict(zip(found["title_id"], found["label_id"])) == brute_force.cluster(as_dicts(rows))

@@ -4,11 +4,12 @@ The rule is sequential: an article joins the topic of its most similar earlier a
 whose anchor is within the time gap, or opens a new topic. A label therefore depends on earlier labels
 only. The jobs below repeat until no label changes:
 
-* the pairs of articles in different blocks above the cosine are found once, by the block comparison of
-  :func:`~trendloom.operators.similarity.cosine_pairs`, and stored; in each round every block whose
+* the pairs of articles above the cosine are found once, in different blocks by the block comparison of
+  :func:`~trendloom.operators.similarity.cosine_pairs` and inside a block by
+  :func:`~trendloom.operators.similarity.block_neighbours`, and stored; in each round every block whose
   neighbours changed label receives the best topic per article by a join of the stored pairs with the
-  labels of the last round, so no cosine is computed twice;
-* every block whose input changed applies the rule to its own rows in order.
+  labels of the last round, so no cosine is computed twice and no term moves again;
+* every block whose input changed applies the rule to its own rows in order, on the stored lists.
 
 A block is final once the blocks before it are, so the result equals the sequential one, and the
 rounds are bounded by the longest chain of blocks, not of articles. Nothing is capped or sampled: what
@@ -31,7 +32,6 @@ from pyspark.sql import DataFrame, functions as F
 from trendloom.functions.edit import exceeds
 from trendloom.functions.text import ENGLISH_STOP_WORDS, jaccard, levenshtein_similarity, long_levenshtein_similarity
 from trendloom.operators import similarity as sim
-from trendloom.operators.similarity import cosine_block
 from trendloom.session import ensure_checkpoint_dir
 
 MIN_LEVENSHTEIN = 0.0  # fixed value of the topic rule
@@ -122,9 +122,9 @@ def _attach_copies(vectors, compared, labels, gap, min_levenshtein) -> DataFrame
 def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
     """Labels ``title_id, block, label_id, label_t, label_title`` of the compared articles."""
     blocked = sim.assign_blocks(vectors, gap, block_rows).checkpoint()
-    rows = blocked.select("title_id", "t", "title_lower", "terms", "weights", "sig", "block")
-    # pairs of different blocks above the cosine, computed once; each round only joins them with new labels
+    # pairs above the cosine, computed once; each round only joins them with new labels
     neighbours = sim.cosine_pairs(blocked, gap, min_cosine).checkpoint()
+    rows = sim.block_neighbours(blocked, gap, min_cosine).checkpoint()
     no_input = F.lit(None)
     start = rows.withColumns(
         {"cosine": no_input.cast("double"), "label_id": no_input.cast("long"),
@@ -154,7 +154,6 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
             .filter("label_id <> old_id")
             .select(F.col("block").alias("block_j"))
             .distinct()
-            .checkpoint()
         )
         labels = labels.join(touched, "block", "left_anti").unionByName(again).checkpoint()
 
@@ -163,8 +162,8 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
     """Apply the topic rule to one block, in order, next to the best offer from other blocks."""
 
     def label(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("title_id", ignore_index=True)
-        cosine = cosine_block(block, block, 2 * gap)
+        block = block.sort_values("place", ignore_index=True)
+        near, cosines = block["near"].map(np.asarray).tolist(), block["cosines"].map(np.asarray).tolist()
         ids, times = block["title_id"].to_numpy(), block["t"].to_numpy()
         titles = block["title_lower"].tolist()
         offered = block["cosine"].fillna(0.0).to_numpy()
@@ -174,11 +173,11 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
         for i in range(len(block)):
             # Candidates ranked by cosine, then by the age of their topic.
             best, chosen = 0.0, None
-            if i:
-                scores = np.where(np.abs(times[i] - label_times[:i]) <= gap, cosine[i, :i], 0.0)
+            if len(near[i]):
+                scores = np.where(np.abs(times[i] - label_times[near[i]]) <= gap, cosines[i], 0.0)
                 best = scores.max()
                 if best > 0:
-                    tied = np.flatnonzero(scores == best)
+                    tied = near[i][scores == best]
                     j = tied[label_ids[tied].argmin()]
                     chosen = label_ids[j], label_times[j], label_titles[j]
             if offered[i] > best or (offered[i] == best > 0 and offer_ids[i] < chosen[0]):

@@ -91,22 +91,23 @@ def tfidf_vectors(
     Entries move with the two whole numbers that give their weight, which compress better than the weight.
     """
     total = articles.agg(F.count(F.lit(1))).scalar()
-    raw = _raw(F.col("n"), F.col("df"), total)
+    raw = F.col("raw")
     entries = _with_frequency(articles, stop_words)
     # Dealt as plain rows, still in term order: lists made before the shuffle would be half as long again.
     grouped = (
         entries.repartition(int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "title_id")
+        .withColumn("raw", _raw(F.col("n"), F.col("df"), total))
         .groupBy("title_id")
         .agg(
-            F.array_sort(F.collect_list(F.struct("term", "n", "df"))).alias("v"),
+            # Natural order: array_sort would call a comparison function for every two terms.
+            F.sort_array(F.collect_list(F.struct("term", "n", "raw"))).alias("v"),
             F.sqrt(F.sum(raw * raw)).alias("norm"),
         )
-        .withColumn("total", total)
     )
     return grouped.select(
         "title_id",
         F.col("v.term").alias("terms"),
-        F.transform("v", lambda e: _raw(e["n"], e["df"], F.col("total")) / F.col("norm")).alias("weights"),
+        F.transform("v", lambda e: e["raw"] / F.col("norm")).alias("weights"),
         # Quotients of whole numbers are equal doubles only if the proportions are equal.
         F.sha2(
             F.to_json(F.struct(F.col("v.term"), F.transform("v", lambda e: e["n"] / F.col("v")[0]["n"]).alias("share"))), 256
@@ -285,6 +286,30 @@ def cosine_pairs(
     return compare_blocks(rows, rows, block_pairs(blocked, gap_seconds, with_self=False), reduce, schema)
 
 
+def block_neighbours(blocked: DataFrame, gap_seconds: int, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """``title_id, t, title_lower, block, place, near, cosines``: the rows of every block, numbered in the order of their
+    ids, each with the places and cosines of the earlier rows of its block that :func:`cosine_pairs` would report.
+
+    The lists are bounded by the rows of a block; terms and weights stay behind.
+    """
+    columns = ["title_id", "t", "title_lower", "block"]
+    schema = "title_id long, t long, title_lower string, block long, place int, near array<int>, cosines array<double>"
+
+    def reduce(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("title_id", ignore_index=True)
+        cosine = np.tril(cosine_block(block, block, 2 * gap_seconds), -1)
+        i, j = np.nonzero(cosine > max(min_cosine, 0.0))
+        cuts = np.searchsorted(i, np.arange(1, len(block)))
+        return block[columns].assign(
+            place=np.arange(len(block)), near=np.split(j.astype("int32"), cuts), cosines=np.split(cosine[i, j], cuts)
+        )
+
+    # Dealt by ranges of the running block numbers, so that no task gets several blocks while others get none.
+    tasks = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = blocked.select(*columns, "terms", "weights", "sig").repartitionByRange(tasks, "block")
+    return rows.groupBy("block").applyInPandas(reduce, schema)
+
+
 # ---------------------------------------------------------------- reports on vectors
 
 

@@ -135,7 +135,9 @@ def cluster_open_articles(store: TableStore, full: bool = False, run: str | None
     ensure_checkpoint_dir(store.spark)
     run = run or new_run("cluster")
     waiting = (all_articles(store, run) if full else open_articles(store, run)).checkpoint()
-    scanned = article_scans.scan_articles(waiting, only_unassigned=not full)
+    # Dealt by id once, so that counts and joins per article need no further shuffle.
+    tasks = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+    scanned = article_scans.scan_articles(waiting, only_unassigned=not full).repartition(tasks, "title_id")
     members = clustering.cluster_articles(scanned, **options).checkpoint()
     averages = clustering.cluster_averages(clustering.measure_members(scanned, members)).checkpoint()
     clusters = tables.new_clusters(store.read(CLUSTERS, schemas.CLUSTERS, run).drop("run"), averages).checkpoint()
