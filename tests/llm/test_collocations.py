@@ -102,3 +102,23 @@ def test_words_proposed_in_vain_admit_no_pairs(spark, monkeypatch):
     in_sample, *in_passes = asked
     assert "rare" in in_sample and "york" in in_passes[0]
     assert not any({"rare", "word"} & phrases for phrases in in_passes)
+
+
+def test_texts_are_hashed_and_pieces_cut_once(spark):
+    """A filter on the words cut every piece twice, and the hash of a row was taken again for each of its pieces."""
+    docs = spark.createDataFrame([("a b. c", "en")], "text string, lang string")
+    plan = phrase_pieces(docs)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    explode = next(i for i, line in enumerate(plan) if "Generate" in line)
+    assert not any("Filter" in line and "split(" in line for line in plan[:explode])
+    assert not any("xxhash64" in line and "text#" in line for line in plan[:explode])
+    assert any("xxhash64" in line and "text#" in line for line in plan[explode:])
+
+
+def test_blanks_and_letters_of_pieces(spark):
+    texts = ["\tNew  York \t times ", " \t ", "ÀB c\t\tÉ ÉA", "İSTANBUL ΑΣ B", " ", "über straße", "..a.  B  ", "a\x0b b"]
+    rows = [(text, lang) for text in texts for lang in ("en", None)] * 12
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    want = [WORD.findall(p) for text, _ in rows for p in PIECE.split(text.translate(lower))]
+    assert sorted(r.words for r in phrase_pieces(docs).collect()) == sorted(w for w in want if w)
+    assert sorted(tuple(r) for r in collocations(docs).collect()) == brute(rows)

@@ -4,8 +4,9 @@ Texts are cut into pieces at sentence and line marks, pieces into words; a phras
 consecutive words of one piece, counted per language with overlaps. A phrase is frequent with ``min_count``
 occurrences.
 
-Method. A Bernoulli sample of pieces (``SAMPLE_RATE``, chosen by a hash of the piece, so reruns agree) proposes
-the phrases frequent in it at a lowered threshold. One full pass then counts exactly the proposed phrases and
+Method. A Bernoulli sample of pieces (``SAMPLE_RATE``, chosen by a hash of row and place, so reruns agree) proposes
+the phrases frequent in it at a lowered threshold; words are counted in the sample and in full by the same scan.
+One full pass then counts exactly the proposed phrases and
 their negative border: every word, every pair of proposed words, every triple whose two inner pairs are proposed.
 What the sample proposed but the full count finds rare is left out before
 the next length is counted. A border phrase that proves frequent means the sample missed something: the next full pass counts the phrases
@@ -41,16 +42,20 @@ def phrase_pieces(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.xxhash64(*[F.col(c) for c in docs.columns]).alias("row_hash"),
-        F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), PIECE)).alias("piece_no", "given"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("whole"),
     )
+    # the hash of a row is taken here, below the explode, or every piece would hash its whole text again
+    rows = rows.select("lang", "row_hash", F.posexplode(F.split("whole", PIECE)).alias("piece_no", "given"))
+    # a piece has words if more than blanks is left; asked of the words, the filter would cut every piece twice
+    rows = rows.withColumn("given", F.trim(F.replace("given", F.lit("\t"), F.lit(" ")))).where(F.col("given") != "")
     # lower() works on bytes where a piece is ASCII; elsewhere it would change more letters than A to Z
-    lowered = F.when(F.length("given") == F.octet_length("given"), F.lower("given")).otherwise(ascii_lower(F.col("given")))
-    rows = rows.select("lang", "row_hash", "piece_no", lowered.alias("piece"))
-    words = F.array_remove(F.split(F.replace("piece", F.lit("\t"), F.lit(" ")), " "), "")
-    spot = F.pmod(F.xxhash64("row_hash", "piece_no", "piece"), F.lit(_BUCKETS))
-    return rows.select("lang", words.alias("words"), (spot < F.lit(int(SAMPLE_RATE * _BUCKETS))).alias("sampled")).where(
-        F.size("words") > 0
-    )
+    lowered = (F.when(F.length("given") == F.octet_length("given"), F.lower("given"))
+               .when(F.col("given").rlike("[A-Z]"), ascii_lower(F.col("given"))).otherwise(F.col("given")))
+    words = F.split(lowered, " ")
+    words = F.when(F.contains("given", F.lit("  ")), F.array_remove(words, "")).otherwise(words)
+    # equal rows have the same pieces in the sample
+    spot = F.pmod(F.xxhash64("row_hash", "piece_no"), F.lit(_BUCKETS))
+    return rows.select("lang", words.alias("words"), (spot < F.lit(int(SAMPLE_RATE * _BUCKETS))).alias("sampled"))
 
 
 def _grams(pieces: DataFrame, k: int) -> DataFrame:
@@ -62,25 +67,31 @@ def _grams(pieces: DataFrame, k: int) -> DataFrame:
     long_enough = pieces.where(F.size("words") >= k)
     grams = long_enough.select("lang", "words", F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("i"))
     if k > 1:
-        grams = grams.withColumns({"hx": _key(_phrase(k - 1)), "hy": _key(_phrase(k - 1, 1))})
+        grams = grams.withColumns({"hx": _key(_words(k - 1)), "hy": _key(_words(k - 1, 1))})
     return grams
 
 
-def _phrase(k: int, skip: int = 0) -> Column:
-    """The ``k`` words from place ``i + skip`` on, joined."""
-    return F.concat_ws(" ", *[F.get("words", F.col("i") + (skip + j)) for j in range(k)])
+def _words(k: int, skip: int = 0) -> list[Column]:
+    """The ``k`` words from place ``i + skip`` on."""
+    return [F.get("words", F.col("i") + (skip + j)) for j in range(k)]
+
+
+def _phrase(k: int) -> Column:
+    """The ``k`` words from place ``i`` on, joined."""
+    return F.concat_ws(" ", *_words(k))
 
 
 def _occurrences(pieces: DataFrame, k: int) -> DataFrame:
     """``lang, phrase`` of every occurrence of ``k`` consecutive words."""
-    if k == 1:
-        return pieces.select("lang", F.explode("words").alias("phrase"))
     return _grams(pieces, k).select("lang", _phrase(k).alias("phrase"))
 
 
-def _key(phrase: Column) -> Column:
-    """64-bit key of a phrase of a language. Keys only choose what is counted; counts are of the phrases themselves."""
-    return F.xxhash64(F.col("lang"), phrase)
+def _key(words: list[Column]) -> Column:
+    """64-bit key of a phrase of a language, from its words, which need not be joined for it.
+
+    Keys only choose what is counted; counts are of the phrases themselves.
+    """
+    return F.xxhash64(F.col("lang"), *words)
 
 
 def _admitted(pieces: DataFrame, k: int, allowed: DataFrame, again: bool) -> DataFrame:
@@ -91,7 +102,9 @@ def _admitted(pieces: DataFrame, k: int, allowed: DataFrame, again: bool) -> Dat
     phrases of one key admit what either admits: a phrase counted that the method did not ask for has its
     exact count too, and :func:`frequent_phrases` keeps each phrase once.
     """
-    keys = written(allowed.groupBy(_key(F.col("phrase")).alias("h")).agg(F.bool_and("old").alias("old")))
+    inner = F.split("phrase", " ")
+    keys = written(allowed.groupBy(_key([F.get(inner, j) for j in range(k - 1)]).alias("h"))
+                   .agg(F.bool_and("old").alias("old")))
     out, phrase = _grams(pieces, k), _phrase(k)
     if keys.count() <= BROADCAST_KEYS:
         # occurrences are then looked up where they are made, and only counts of admitted phrases move
@@ -107,7 +120,17 @@ def _admitted(pieces: DataFrame, k: int, allowed: DataFrame, again: bool) -> Dat
 
 
 def _counted(occurrences: DataFrame, k: int) -> DataFrame:
-    return occurrences.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).withColumn("k", F.lit(k))
+    return _by_phrase(occurrences, F.count(F.lit(1)).alias("f")).withColumn("k", F.lit(k))
+
+
+def _by_phrase(occurrences: DataFrame, *aggregates: Column) -> DataFrame:
+    """``lang, phrase`` and the aggregates of each phrase.
+
+    Phrases are grouped as bytes, the same groups: for keys that are all strings Spark puts a small first map before
+    the one that holds the groups, and most phrases are rare, so they would be looked up in both.
+    """
+    rows = occurrences.withColumn("phrase", F.col("phrase").cast("binary")).groupBy("lang", "phrase").agg(*aggregates)
+    return rows.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def frequent_phrases(pieces: DataFrame, min_count: int = MIN_COUNT,
@@ -123,13 +146,17 @@ def frequent_phrases(pieces: DataFrame, min_count: int = MIN_COUNT,
     sample = pieces.where("sampled")
     # proposed by the sample: frequent there at the lowered threshold, with all inner phrases proposed
     allowed: dict[int, DataFrame] = {}
+    # one scan counts every word in the sample and in full; the words' counts add up to those of the languages
+    words = written(_by_phrase(pieces.select("lang", F.explode("words").alias("phrase"), "sampled"),
+                               F.count(F.lit(1)).alias("f"), F.count_if("sampled").alias("in_sample")))
+    totals = written(words.groupBy("lang").agg(F.sum("f").alias("n")))
     for k in range(1, max_words):
-        found = _counted(_occurrences(sample, k), k).where(F.col("f") >= least)
+        in_sample = words.withColumn("f", F.col("in_sample")) if k == 1 else _counted(_occurrences(sample, k), k)
+        found = in_sample.where(F.col("f") >= least)
         if k > 1 and least > 1:  # every phrase of the sample is proposed otherwise, and so are its inner ones
             found = found.join(_admitted(sample, k, allowed[k - 1], False).distinct(), ["lang", "phrase"], "left_semi")
         allowed[k] = written(found.select("lang", "phrase", F.lit(True).alias("old")))
-    totals = written(pieces.groupBy("lang").agg(F.sum(F.size("words")).cast("long").alias("n")))
-    frequent = written(_counted(_occurrences(pieces, 1), 1).where(F.col("f") >= min_count))
+    frequent = written(words.where(F.col("f") >= min_count).select("lang", "phrase", "f", F.lit(1).alias("k")))
     # a level is counted in full before the next, so what the sample proposed in vain admits nothing there
     allowed[1] = _confirmed(allowed[1], frequent)
     grew = {k: True for k in allowed}
