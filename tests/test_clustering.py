@@ -1,14 +1,21 @@
+import os
 import random
 import re
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute_force
+from trendloom import schemas
+from trendloom.functions import packed
 from trendloom.functions.edit import distance, exceeds
 from trendloom.functions.text import levenshtein_similarity
 from trendloom.operators import clustering, similarity as sim
+from trendloom.operators.scratch import Scratch
+from trendloom.plans import jobs
+from trendloom.sources.store import TableStore
 
 SCHEMA = "title_id long, title string, summary string, published_at timestamp"
 START = datetime(2026, 6, 22, 10, 0)
@@ -214,3 +221,57 @@ def test_rounds_read_lists_of_pairs_and_no_terms(spark, block_rows):
         alone = stored.sample(frac=1, random_state=1).assign(cosine=0.0, label_id=-1, label_t=0, label_title=None)
         found = clustering._block_rule(gap, 0.15, 0.0)(alone)
         assert dict(zip(found["title_id"], found["label_id"])) == brute_force.cluster(as_dicts(rows))
+
+
+def test_numbers_are_packed_and_read_back():
+    rng = random.Random(11)
+    lengths = [rng.randrange(1, 30) for _ in range(40)]
+    terms = [t for n in lengths for t in sorted(rng.sample(range(10**12), n))]
+    counts = [rng.choice([1, 1, 2, 70_000]) for _ in terms]
+    given = [np.array(x) for x in (lengths, terms, counts)]
+    assert all((a == b).all() for a, b in zip(packed.unpack(packed.pack(*given)), given))
+    vectors, sigs = packed.pack_vectors(*given, np.arange(len(terms)) + 1, 10**9)
+    found = packed.unpack_vectors(vectors)
+    assert (found[0] == given[0]).all() and (found[1] == given[1]).all() and len(set(sigs)) == 40
+    assert np.allclose(np.add.reduceat(found[2] ** 2, np.cumsum(lengths) - lengths), 1)
+    assert [len(x) for x in (*packed.unpack([]), *packed.unpack_vectors([]))] == [0] * 6
+
+
+@pytest.mark.parametrize("chunk_terms", [1, 40, 1 << 21])
+def test_packed_vectors_equal_the_plain_ones(spark, monkeypatch, chunk_terms):
+    monkeypatch.setattr(sim, "CHUNK_TERMS", chunk_terms)
+    rows = random_articles(12, 50, copies=0.3)
+    rows += [rows[3], rows[3], (rows[4][0], "w01 w02 the", "w01", START), (7000, "the a", None, START), (7001, None, "Ünï 数字 x", None)]
+    rows += [(None, "w01 w03", "", START), (None, "w01 only", "w05", START)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    with Scratch(spark) as scratch:
+        found = sim.article_vectors(df, scratch).toPandas()
+    assert not {"terms", "weights"} & set(found.columns)  # lists of strings would fill the disk
+    lengths, numbers, weights = packed.unpack_vectors(found["vector"].tolist())
+    cuts = np.cumsum(lengths)[:-1]
+    expected = {r.title_id: r for r in sim.tfidf_vectors(df).collect()}
+    assert sorted(found["title_id"]) == sorted(r[0] for r in rows if r[0] and r[0] != 7000)
+    term_of, sig_of = {}, {}
+    for title_id, sig, of, w in zip(found["title_id"], found["sig"], np.split(numbers, cuts), np.split(weights, cuts)):
+        plain = dict(zip(expected[title_id].terms, expected[title_id].weights))
+        assert sorted(w) == pytest.approx(sorted(plain.values()), abs=1e-12) and list(of) == sorted(set(of))
+        sig_of.setdefault(sig, set()).add(expected[title_id].sig)
+        for number in of:  # a number stands for one term
+            term_of[number] = term_of.get(number, set(plain)) & set(plain)
+    assert all(len(plain) == 1 for plain in sig_of.values()) and len(sig_of) == len({r.sig for r in expected.values() if r.title_id})
+    assert all(term_of.values())
+
+
+def test_compared_blocks_hold_packed_vectors_only(spark, tmp_path):
+    rows = random_articles(13, 60, copies=0.3)
+    blocked = sim.stored_blocks(spark.createDataFrame(rows, SCHEMA), ("the",), 72 * 3600, 7)
+    assert dict(blocked.dtypes)["vector"] == "binary" and not any("array" in kind for _, kind in blocked.dtypes)
+    assert not [x for x in os.listdir(checkpoint_folder(spark)) if x.startswith("scratch-")]
+    assert spark.conf.get(RELEASE) == "false"
+
+
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpoint_folder(spark):
+    return spark.sparkContext.getCheckpointDir().removeprefix("file:")

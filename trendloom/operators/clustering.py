@@ -19,6 +19,9 @@ Copies are folded first. Articles with term counts in one proportion have cosine
 earliest topic in reach that already holds a copy, and no comparison is needed for it. Only one copy per
 time cell enters the comparison; the rest is attached by a join, and copies that find no topic in reach
 are moved into the comparison until there are none.
+
+Tables of a step lie in a scratch folder and go when the next step has what it needs, so the rounds hold the labels of
+two rounds at most. Labels name their topic by id; its title is joined where it is compared.
 """
 
 from __future__ import annotations
@@ -32,13 +35,12 @@ from pyspark.sql import DataFrame, functions as F
 from trendloom.functions.edit import exceeds
 from trendloom.functions.text import ENGLISH_STOP_WORDS, jaccard, levenshtein_similarity, long_levenshtein_similarity
 from trendloom.operators import similarity as sim
-from trendloom.session import ensure_checkpoint_dir
+from trendloom.operators.scratch import Scratch
 
 MIN_LEVENSHTEIN = 0.0  # fixed value of the topic rule
 PAYLOAD_BITS = 10  # a payload row holds members of 2**10 consecutive ids
 
-_LABEL = ("label_id", "label_t", "label_title")
-_LABEL_SCHEMA = "label_id long, label_t long, label_title string"
+_LABEL = ("label_id", "label_t")
 
 
 def cluster_articles(
@@ -53,34 +55,37 @@ def cluster_articles(
 
     Input ``title_id, title, summary, published_at``; the input order is ``title_id``.
     """
-    ensure_checkpoint_dir(articles.sparkSession)
     gap = max_hours_gap * 3600
-    vectors = sim.article_vectors(articles, stop_words).checkpoint()
-    cell = F.floor(F.col("t") / max(gap // 4, 1))
-    compared = vectors.groupBy("sig", cell.alias("cell")).agg(F.min("title_id").alias("title_id"))
-    compared = compared.select("title_id").checkpoint()
-    total = vectors.count()
-    while True:
-        labels = _solve(
-            vectors.join(compared, "title_id"), gap, min_cosine, min_levenshtein, block_rows
-        )
-        if compared.count() == total:
-            break
-        attached = _attach_copies(vectors, compared, labels, gap, min_levenshtein).checkpoint()
-        open_copies = attached.filter("label_id IS NULL")
-        first_open = open_copies.filter("NOT rejected").groupBy("sig", cell).agg(F.min("title_id").alias("title_id"))
-        moved = first_open.select("title_id").unionByName(open_copies.filter("rejected").select("title_id"))
-        moved = moved.checkpoint()
-        if moved.isEmpty():
-            labels = labels.select("title_id", "label_id").unionByName(attached.select("title_id", "label_id"))
-            break
-        compared = compared.unionByName(moved).checkpoint()
-    return articles.select("title_id").join(labels.select("title_id", "label_id"), "title_id", "left").select(
-        "title_id", F.coalesce("label_id", "title_id").alias("anchor_id")
-    )
-
-
-def _attach_copies(vectors, compared, labels, gap, min_levenshtein) -> DataFrame:
+    with Scratch(articles.sparkSession) as scratch:
+        vectors = sim.article_vectors(articles, scratch, stop_words)
+        titles = vectors.groupBy(F.col("title_id").alias("label_id")).agg(F.min("title_lower").alias("label_title"))
+        titles = scratch.keep(titles)
+        cell = F.floor(F.col("t") / max(gap // 4, 1))
+        compared = vectors.groupBy("sig", cell.alias("cell")).agg(F.min("title_id").alias("title_id"))
+        compared = scratch.keep(compared.select("title_id"))
+        total = vectors.count()
+        while True:
+            labels = _solve(
+                vectors.join(compared, "title_id"), titles, scratch, gap, min_cosine, min_levenshtein, block_rows
+            )
+            if compared.count() == total:
+                break
+            attached = scratch.keep(_attach_copies(vectors, compared, labels, titles, gap, min_levenshtein))
+            open_copies = attached.filter("label_id IS NULL")
+            first_open = open_copies.filter("NOT rejected").groupBy("sig", cell).agg(F.min("title_id").alias("title_id"))
+            moved = first_open.select("title_id").unionByName(open_copies.filter("rejected").select("title_id"))
+            moved = scratch.keep(moved)
+            if moved.isEmpty():
+                labels = labels.select("title_id", "label_id").unionByName(attached.select("title_id", "label_id"))
+                break
+            before, compared = compared, scratch.keep(compared.unionByName(moved))
+            scratch.drop(before, moved, attached, labels)
+        return articles.select("title_id").join(labels.select("title_id", "label_id"), "title_id", "left").select(
+            "title_id", F.coalesce("label_id", "title_id").alias("anchor_id")
+        ).checkpoint()
+
+
+def _attach_copies(vectors, compared, labels, titles, gap, min_levenshtein) -> DataFrame:
     """Topic of every copy outside the comparison: the earliest one in reach that holds a copy.
 
     A null ``label_id`` marks a copy without such a topic; ``rejected`` tells that the title check
@@ -109,7 +114,8 @@ def _attach_copies(vectors, compared, labels, gap, min_levenshtein) -> DataFrame
         .groupBy("title_id")
         .agg(F.min(F.struct(*_LABEL)).alias("found"))
     )
-    accepted = levenshtein_similarity("title_lower", "found.label_title") > min_levenshtein
+    found = found.withColumn("label_id", F.col("found.label_id")).join(titles, "label_id").drop("label_id")
+    accepted = levenshtein_similarity("title_lower", "label_title") > min_levenshtein
     return copies.join(found, "title_id", "left").select(
         "title_id",
         "t",
@@ -119,25 +125,30 @@ def _attach_copies(vectors, compared, labels, gap, min_levenshtein) -> DataFrame
     )
 
 
-def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
-    """Labels ``title_id, block, label_id, label_t, label_title`` of the compared articles."""
-    blocked = sim.assign_blocks(vectors, gap, block_rows).checkpoint()
+def _solve(vectors, titles, scratch, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
+    """Labels ``title_id, block, label_id, label_t`` of the compared articles."""
+    blocked = scratch.keep(sim.assign_blocks(vectors, gap, block_rows))
     # pairs above the cosine, computed once; each round only joins them with new labels
-    neighbours = sim.cosine_pairs(blocked, gap, min_cosine).checkpoint()
-    rows = sim.block_neighbours(blocked, gap, min_cosine).checkpoint()
+    neighbours = scratch.keep(sim.cosine_pairs(blocked, gap, min_cosine))
+    rows = scratch.keep(sim.block_neighbours(blocked, gap, min_cosine))
+    scratch.drop(blocked)
     no_input = F.lit(None)
     start = rows.withColumns(
         {"cosine": no_input.cast("double"), "label_id": no_input.cast("long"),
          "label_t": no_input.cast("long"), "label_title": no_input.cast("string")}
     )
     label_blocks = _block_rule(gap, min_cosine, min_levenshtein)
-    schema = f"title_id long, block long, {_LABEL_SCHEMA}"
-    labels = start.groupBy("block").applyInPandas(label_blocks, schema).checkpoint()
+    schema = "title_id long, block long, label_id long, label_t long"
+    labels = scratch.keep(start.groupBy("block").applyInPandas(label_blocks, schema))
     changed = labels.select(F.col("block").alias("block_j")).distinct()
-    times = rows.select("title_id", "t")
+    times, stale = rows.select("title_id", "t"), []
     while True:
-        touched = neighbours.join(changed, "block_j", "left_semi").select(F.col("block_i").alias("block")).distinct().checkpoint()
+        touched = scratch.keep(
+            neighbours.join(changed, "block_j", "left_semi").select(F.col("block_i").alias("block")).distinct()
+        )
+        scratch.drop(*stale)
         if touched.isEmpty():
+            scratch.drop(neighbours, rows)
             return labels
         offers = (
             neighbours.join(touched.withColumnRenamed("block", "block_i"), "block_i", "left_semi")
@@ -146,8 +157,9 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
             .filter(sim.within_gap(sim.gap_seconds(F.col("t"), F.col("label_t")), gap // 3600))
             .select("title_id", "cosine", *_LABEL)
         )
-        inputs = rows.join(touched, "block", "left_semi").join(sim.best_label(offers, _LABEL), "title_id", "left")
-        again = inputs.groupBy("block").applyInPandas(label_blocks, schema).checkpoint()
+        offered = sim.best_label(offers, _LABEL).join(titles, "label_id")
+        inputs = rows.join(touched, "block", "left_semi").join(offered, "title_id", "left")
+        again = scratch.keep(inputs.groupBy("block").applyInPandas(label_blocks, schema))
         old = labels.select("title_id", F.col("label_id").alias("old_id"))
         changed = (
             again.join(old, "title_id")
@@ -155,7 +167,8 @@ def _solve(vectors, gap, min_cosine, min_levenshtein, block_rows) -> DataFrame:
             .select(F.col("block").alias("block_j"))
             .distinct()
         )
-        labels = labels.join(touched, "block", "left_anti").unionByName(again).checkpoint()
+        stale = [labels, again, touched]
+        labels = scratch.keep(labels.join(touched, "block", "left_anti").unionByName(again))
 
 
 def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
@@ -186,8 +199,7 @@ def _block_rule(gap: int, min_cosine: float, min_levenshtein: float):
                 label_ids[i], label_times[i], label_titles[i] = chosen
         return pd.DataFrame(
             {
-                "title_id": ids, "block": block["block"], "label_id": label_ids,
-                "label_t": label_times, "label_title": label_titles,
+                "title_id": ids, "block": block["block"], "label_id": label_ids, "label_t": label_times,
             }
         )
 

@@ -1,5 +1,7 @@
 """TF-IDF vectors and their comparison in bounded blocks.
 
+Compared vectors are short byte strings of numbered terms (:mod:`~trendloom.functions.packed`).
+
 Comparing articles pair by pair through a join on shared terms would emit every pair of a topic. Here
 the articles are cut into blocks of a fixed row count; Spark pairs up the blocks that are close enough
 in time, one task compares two blocks, and only one reduced row per article and block leaves the task.
@@ -11,11 +13,12 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trendloom.functions import packed
 from trendloom.functions.text import ENGLISH_STOP_WORDS, combined_text, terms
 from trendloom.operators.ordering import with_ordinal
-from trendloom.session import ensure_checkpoint_dir
+from trendloom.operators.scratch import Scratch
 
 # Fixed values of the topic rule.
 MAX_HOURS_GAP = 72
@@ -26,7 +29,8 @@ BLOCK_ROWS = 2048
 _CELL_BUDGET = 8_000_000  # doubles held at a time while two blocks are compared
 _STRIP_COLUMNS = 128
 _PAIR_SALTS = 16
-
+CHUNK_TERMS = 1 << 21  # terms of text in one chunk
+_WORDS_A_ROW = 8192
 
 
 def gap_seconds(time: Column, other: Column) -> Column:
@@ -116,13 +120,162 @@ def tfidf_vectors(
 
 
 def article_vectors(
-    articles: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
+    articles: DataFrame, scratch: Scratch, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, titles: bool = True
 ) -> DataFrame:
-    """Vectors with the time in seconds and the lower-case title the topic rule needs."""
-    facts = articles.select(
-        "title_id", F.unix_seconds("published_at").alias("t"), F.lower(F.coalesce("title", F.lit(""))).alias("title_lower")
+    """``title_id, t, title_lower, vector, sig``: each article with the time in seconds and the lower-case title that the
+    topic rule needs, null without ``titles``, and with the vector of :func:`tfidf_vectors` as
+    :func:`~trendloom.functions.packed.pack_vectors` writes it. Articles without a usable term have no row.
+
+    Texts are read once. A chunk of articles counts terms under numbers of its own and sends each distinct term once, so
+    neither the terms nor their frequencies move once for every article that has them.
+    """
+    counted = scratch.keep(_counted_chunks(articles, stop_words, titles))
+    total = counted.agg(F.coalesce(F.sum("read"), F.lit(0))).first()[0]
+    words = counted.filter("first IS NOT NULL").select(
+        "chunk", "first", F.posexplode(F.arrays_zip("words", "having"))
+    ).select("chunk", (F.col("first") + F.col("pos")).alias("place"), F.col("col.words").alias("term"), F.col("col.having").alias("n"))
+    tasks = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequencies = words.repartition(tasks, "term").groupBy("term").agg(
+        F.sum("n").alias("df"), F.collect_list(F.struct("chunk", "place")).alias("at")
+    )
+    # Numbers follow from the frequency and the term, so a repeated task gives the same ones; frequent terms get small ones.
+    numbered = frequencies.sortWithinPartitions(F.desc("df"), "term").select(
+        "df", "at", F.monotonically_increasing_id().alias("row")
+    )
+    # The task's number is in the upper bits and a count from 0 in the lower 33.
+    term = F.col("row").bitwiseAND((1 << 33) - 1) * tasks + F.shiftright("row", 33)
+    places = numbered.select("df", term.alias("term"), F.explode("at").alias("e")).select("e.chunk", "e.place", "term", "df")
+
+    def number(left, right):
+        import pyarrow as pa
+
+        if not left.num_rows:
+            return pa.table({name: pa.array([], kind) for name, kind in zip(_VECTOR_COLUMNS, _vector_kinds())})
+        place, of = right["place"].to_numpy(), np.empty((2, right.num_rows), np.int64)
+        of[0, place], of[1, place] = right["term"].to_numpy(), right["df"].to_numpy()
+        lengths, own, counts = packed.unpack(left["counts"].to_pylist())
+        order = np.lexsort((of[0, own], np.repeat(np.arange(len(lengths)), lengths)))
+        own = own[order]
+        vectors, sigs = packed.pack_vectors(lengths, of[0, own], counts[order], of[1, own], total)
+        return pa.table([*(left[name] for name in _VECTOR_COLUMNS[:3]), pa.array(vectors, pa.binary()), pa.array(sigs, pa.binary())], _VECTOR_COLUMNS)
+
+    schema = "title_id long, t long, title_lower string, vector binary, sig binary"
+    rows = counted.filter("counts IS NOT NULL").select("chunk", "title_id", "t", "title_lower", "counts")
+    vectors = scratch.keep(rows.groupBy("chunk").cogroup(places.groupBy("chunk")).applyInArrow(number, schema))
+    scratch.drop(counted)
+    return vectors
+
+
+_VECTOR_COLUMNS = ["title_id", "t", "title_lower", "vector", "sig"]
+
+
+def _vector_kinds():
+    import pyarrow as pa
+
+    return [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
+
+
+def _counted_chunks(articles: DataFrame, stop_words: Sequence[str], titles: bool) -> DataFrame:
+    """Rows of three kinds for every chunk: articles with the packed counts of their terms; the distinct terms, most
+    frequent first, with the number of articles that have them, from place ``first`` on; the number of rows read.
+
+    Rows of one id are one article, also those without an id, which count in frequencies but get no row.
+    """
+    dealt = articles.select("title_id", "title", "summary", F.unix_seconds("published_at").alias("t")).withColumn(
+        # Brings the rows of an id together, without a shuffle if they were dealt by it.
+        "nth", F.row_number().over(Window.partitionBy("title_id").orderBy("title_id"))
+    )
+    title = F.lower(F.coalesce("title", F.lit(""))) if titles else F.lit(None).cast("string")
+    tokens = dealt.select(
+        "title_id", "t", title.alias("title_lower"), "nth", terms(combined_text("title", "summary")).alias("terms")
     )
-    return facts.join(tfidf_vectors(articles, stop_words), "title_id")
+    stop = list(stop_words)
+
+    def count(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        names = ["chunk", "title_id", "t", "title_lower", "counts", "first", "words", "having", "read"]
+        kinds = [
+            pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(),
+            pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64(),
+        ]
+        chunk = TaskContext.get().partitionId() << 32
+
+        def rows(n, **values):
+            columns = [pa.nulls(n, k) if x not in values else v if isinstance(v := values[x], pa.Array) else pa.array(v, k) for x, k in zip(names, kinds)]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        def counted(facts, row, of, lengths, texts, times, end):
+            """The batches for articles before ``end``, and the facts, terms and counts of article ``end``.
+
+            ``row`` has the article of each row of ``facts``; the articles ``of`` have ``lengths`` of the ``texts``.
+            """
+            coded = texts.dictionary_encode()
+            spelled, codes = coded.dictionary, coded.indices.to_numpy()
+            usable = ~pc.is_in(spelled, value_set=pa.array(stop, spelled.type)).to_numpy(zero_copy_only=False)[codes]
+            size = max(len(spelled), 1)
+            key, weights = (np.repeat(of, lengths) * size + codes)[usable], times[usable]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            new = np.flatnonzero(np.diff(key, prepend=-1))
+            own, codes = np.divmod(key[new], size)
+            n = np.add.reduceat(weights[order], new) if len(new) else weights
+            last = own == end
+            rest = facts.filter(pa.array(row == end)), spelled.take(pa.array(codes[last])), n[last]
+            own, codes, n = own[~last], codes[~last], n[~last]
+            having = np.bincount(codes, minlength=size)
+            ranked = np.argsort(-having, kind="stable")[: np.count_nonzero(having)]
+            place = np.empty(size, np.int64)
+            place[ranked] = np.arange(len(ranked))
+            codes = place[codes]
+            order, held = np.lexsort((codes, own)), np.bincount(own, minlength=end)
+            lists = np.full(end + 1, None, object)
+            lists[:-1][held > 0] = packed.pack(held[held > 0], codes[order], n[order])
+            out, kept = [], np.append(held, 0)[row] > 0
+            if kept.any():
+                columns = {x: facts.column(x).filter(pa.array(kept)).combine_chunks() for x in facts.column_names}
+                out.append(rows(int(kept.sum()), chunk=np.full(kept.sum(), chunk), counts=lists[row[kept]].tolist(), **columns))
+            words, having = spelled.take(pa.array(ranked)), having[ranked]
+            for at in range(0, len(ranked), _WORDS_A_ROW):
+                some = slice(at, at + _WORDS_A_ROW)
+                out.append(rows(1, chunk=[chunk], first=[at], words=[words[some].to_pylist()], having=[having[some]]))
+            return out, rest
+
+        held = None  # the last article, which may go on
+        for batch in batches:
+            yield rows(1, read=[batch.num_rows])
+            lengths = pc.list_value_length(batch.column("terms")).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, at = np.cumsum(lengths), 0
+            while at < batch.num_rows:
+                to = int(min(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_TERMS) + 1, batch.num_rows))
+                part = pa.Table.from_batches([batch.slice(at, to - at)])
+                of, sizes = np.cumsum(part.column("nth").to_numpy() == 1) - (held is None), lengths[at:to]
+                known = part.column("title_id").is_valid().to_numpy()
+                facts, row = part.select(["title_id", "t", "title_lower"]).filter(pa.array(known)), of[known]
+                texts = part.column("terms").combine_chunks().flatten()
+                times, end = np.ones(len(texts), np.int64), int(of[-1])
+                if held:
+                    row = np.concatenate([np.zeros(held[0].num_rows, np.int64), row])
+                    of, sizes = np.concatenate([[0], of]), np.concatenate([[len(held[1])], sizes])
+                    facts, texts = pa.concat_tables([held[0], facts]), pa.concat_arrays([held[1], texts])
+                    times = np.concatenate([held[2], times])
+                out, held = counted(facts, row, of, sizes, texts, times, end)
+                if end:
+                    yield from out
+                    chunk += 1
+                at = to
+        if held:
+            facts, texts, times = held
+            row = np.zeros(facts.num_rows, np.int64)
+            yield from counted(facts, row, np.zeros(1, np.int64), np.array([len(texts)]), texts, times, 1)[0]
+
+    schema = (
+        "chunk long, title_id long, t long, title_lower string, counts binary, first long, words array<string>, "
+        "having array<long>, read long"
+    )
+    return tokens.mapInArrow(count, schema)
 
 
 # ---------------------------------------------------------------- blocks
@@ -141,17 +294,22 @@ def assign_blocks(rows: DataFrame, gap_seconds: int, block_rows: int = BLOCK_ROW
 
 
 def stored_blocks(
-    articles: DataFrame, stop_words: Sequence[str], gap_seconds: int, block_rows: int
+    articles: DataFrame, stop_words: Sequence[str], gap_seconds: int, block_rows: int,
+    titles: bool = True, beside: DataFrame | None = None,
 ) -> DataFrame:
     """Vectors cut into blocks, written once because every comparison reads them several times.
 
-    A repeated row is placed once, so that it stays as often as it was given.
+    A repeated row is placed once, so that it stays as often as it was given. The columns of ``beside``, if given, are
+    joined to the places by ``title_id``, where there are such rows; no vector moves for them.
     """
-    ensure_checkpoint_dir(articles.sparkSession)
-    vectors = article_vectors(articles, stop_words).checkpoint()
-    places = assign_blocks(vectors.select("title_id", "t").distinct(), gap_seconds, block_rows)
-    own = places.filter(F.col("bucket") == F.floor(F.col("t") / gap_seconds)).groupBy("title_id", "t", "bucket")
-    return vectors.join(own.agg(F.min("block").alias("block")), ["title_id", "t"]).checkpoint()
+    with Scratch(articles.sparkSession) as scratch:
+        vectors = article_vectors(articles, scratch, stop_words, titles)
+        places = assign_blocks(vectors.select("title_id", "t").distinct(), gap_seconds, block_rows)
+        own = places.filter(F.col("bucket") == F.floor(F.col("t") / gap_seconds)).groupBy("title_id", "t", "bucket")
+        placed = own.agg(F.min("block").alias("block"))
+        if beside is not None:
+            placed = placed.join(beside, "title_id", "left")
+        return vectors.join(placed, ["title_id", "t"]).checkpoint()
 
 
 def block_pairs(blocked: DataFrame, gap_seconds: int, with_self: bool = True) -> DataFrame:
@@ -195,12 +353,12 @@ def cosine_block(left: pd.DataFrame, right: pd.DataFrame, reach: int) -> np.ndar
     outranks any merely close one whatever the floating-point noise.
     """
     result = np.zeros((len(left), len(right)))
-    lengths_l, lengths_r = left["terms"].map(len).to_numpy(), right["terms"].map(len).to_numpy()
-    if lengths_l.sum() == 0 or lengths_r.sum() == 0:
+    if left.empty or right.empty:
         return result
-    codes, _ = pd.factorize(np.concatenate([*left["terms"], *right["terms"]]))
-    codes_l, codes_r = codes[: lengths_l.sum()], codes[lengths_l.sum():]
-    weights_l, weights_r = np.concatenate([*left["weights"]]), np.concatenate([*right["weights"]])
+    lengths_l, terms_l, weights_l = packed.unpack_vectors(left["vector"].tolist())
+    lengths_r, terms_r, weights_r = packed.unpack_vectors(right["vector"].tolist())
+    codes, _ = pd.factorize(np.concatenate([terms_l, terms_r]))
+    codes_l, codes_r = codes[: len(terms_l)], codes[len(terms_l):]
     parts_l = np.split(np.arange(len(codes_l)), np.cumsum(lengths_l)[:-1])
     parts_r = np.split(np.arange(len(codes_r)), np.cumsum(lengths_r)[:-1])
     times_l, times_r = left["t"].to_numpy(), right["t"].to_numpy()
@@ -238,9 +396,10 @@ def compare_blocks(
     reduce: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
 ) -> DataFrame:
-    """Run ``reduce`` on every block pair; a task never holds more than two blocks.
+    """Run ``reduce`` on every pair of blocks; a task never holds more than two blocks.
 
-    Rows that are out of reach of the other block stay behind.
+    Rows that are out of reach of the other block stay behind. A block is compared with itself by
+    :func:`compare_within`, which moves its rows once.
     """
     spark = seekers.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -262,6 +421,22 @@ def compare_blocks(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(reduce, schema)
 
 
+def compare_within(
+    rows: DataFrame, reduce: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str
+) -> DataFrame:
+    """Run ``reduce`` on every block as both sides of a pair."""
+
+    def alone(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+        return reduce((key[0], key[0]), block, block)
+
+    return dealt_by_block(rows).groupBy("block").applyInPandas(alone, schema)
+
+
+def dealt_by_block(rows: DataFrame) -> DataFrame:
+    """Dealt by ranges of the running block numbers, so that no task gets several blocks while others get none."""
+    return rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block")
+
+
 def cosine_pairs(
     blocked: DataFrame, gap_seconds: int, min_cosine: float = MIN_COSINE
 ) -> DataFrame:
@@ -281,7 +456,7 @@ def cosine_pairs(
             {"title_id": ids_l[i], "match_id": ids_r[j], "cosine": cosine[i, j], "block_i": key[0], "block_j": key[1]}
         )
 
-    rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
+    rows = blocked.select("title_id", "t", "vector", "sig", "block")
     schema = "title_id long, match_id long, cosine double, block_i long, block_j long"
     return compare_blocks(rows, rows, block_pairs(blocked, gap_seconds, with_self=False), reduce, schema)
 
@@ -290,7 +465,7 @@ def block_neighbours(blocked: DataFrame, gap_seconds: int, min_cosine: float = M
     """``title_id, t, title_lower, block, place, near, cosines``: the rows of every block, numbered in the order of their
     ids, each with the places and cosines of the earlier rows of its block that :func:`cosine_pairs` would report.
 
-    The lists are bounded by the rows of a block; terms and weights stay behind.
+    The lists are bounded by the rows of a block; vectors stay behind.
     """
     columns = ["title_id", "t", "title_lower", "block"]
     schema = "title_id long, t long, title_lower string, block long, place int, near array<int>, cosines array<double>"
@@ -304,10 +479,7 @@ def block_neighbours(blocked: DataFrame, gap_seconds: int, min_cosine: float = M
             place=np.arange(len(block)), near=np.split(j.astype("int32"), cuts), cosines=np.split(cosine[i, j], cuts)
         )
 
-    # Dealt by ranges of the running block numbers, so that no task gets several blocks while others get none.
-    tasks = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = blocked.select(*columns, "terms", "weights", "sig").repartitionByRange(tasks, "block")
-    return rows.groupBy("block").applyInPandas(reduce, schema)
+    return dealt_by_block(blocked.select(*columns, "vector", "sig")).groupBy("block").applyInPandas(reduce, schema)
 
 
 # ---------------------------------------------------------------- reports on vectors
@@ -325,8 +497,8 @@ def earlier_matches(
     ``title_id, matches, best_cosine, best_id``; ties go to the earliest article.
     """
     gap = max_hours_gap * 3600
-    blocked = stored_blocks(articles, stop_words, gap, block_rows)
-    rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
+    blocked = stored_blocks(articles, stop_words, gap, block_rows, titles=False)
+    rows = blocked.select("title_id", "t", "vector", "sig", "block")
 
     def reduce(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values("title_id", ignore_index=True)
@@ -347,7 +519,9 @@ def earlier_matches(
         return out[out["matches"] > 0]
 
     schema = "title_id long, matches long, cosine double, match_id long"
-    reduced = compare_blocks(rows, rows, block_pairs(blocked, gap), reduce, schema)
+    reduced = compare_blocks(rows, rows, block_pairs(blocked, gap, with_self=False), reduce, schema).unionByName(
+        compare_within(rows, reduce, schema)
+    )
     best = F.min_by(F.struct("cosine", "match_id"), F.struct(-F.col("cosine"), F.col("match_id")))
     return reduced.groupBy("title_id").agg(F.sum("matches").alias("matches"), best.alias("b")).select(
         "title_id", "matches", F.col("b.cosine").alias("best_cosine"), F.col("b.match_id").alias("best_id")
@@ -368,16 +542,25 @@ def best_topic(
     to any earlier member whose anchor lies within the gap; ties go to the earliest anchor.
     """
     gap = max_hours_gap * 3600
-    blocked = stored_blocks(articles, stop_words, gap, block_rows)
     anchors = articles.select(
         F.col("title_id").alias("label_id"), F.unix_seconds("published_at").alias("label_t")
     )
-    labels = assigned.withColumnRenamed("anchor_id", "label_id").join(anchors, "label_id")
-    rows = blocked.select("title_id", "t", "terms", "weights", "sig", "block")
-    reduced = compare_blocks(
-        rows, rows.join(labels, "title_id"), block_pairs(blocked, gap),
-        best_label_reducer(gap, min_cosine, ("label_id",)), "title_id long, cosine double, label_id long",
+    labels = assigned.withColumnRenamed("anchor_id", "label_id").join(anchors, "label_id").select(
+        "title_id", "label_id", "label_t", F.col("label_t").isNotNull().alias("labelled")
     )
+    blocked = stored_blocks(articles, stop_words, gap, block_rows, titles=False, beside=labels)
+    # Whole numbers in every row, since a null would turn them into fractions on their way.
+    nothing = F.lit(0).cast("long")
+    rows = blocked.select(
+        "title_id", "t", "vector", "sig", "block",
+        F.coalesce("label_id", nothing).alias("label_id"), F.coalesce("label_t", nothing).alias("label_t"),
+        F.coalesce("labelled", F.lit(False)).alias("labelled"),
+    )
+    reduce, schema = best_label_reducer(gap, min_cosine, ("label_id",)), "title_id long, cosine double, label_id long"
+    pairs = block_pairs(blocked, gap, with_self=False)
+    reduced = compare_blocks(
+        rows.drop("label_id", "label_t", "labelled"), rows.filter("labelled"), pairs, reduce, schema
+    ).unionByName(compare_within(rows, reduce, schema))
     return best_label(reduced, ["label_id"]).withColumnRenamed("label_id", "anchor_id")
 
 
@@ -386,9 +569,9 @@ def best_label_reducer(gap: int, min_cosine: float, carried: Sequence[str], keep
     columns = ["title_id", "cosine", *carried, *(["block_i", "block_j"] if keep_pair else [])]
 
     def reduce(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right[right["labelled"].astype(bool)].sort_values("label_id", ignore_index=True)
         if left.empty or right.empty:
             return pd.DataFrame(columns=columns)
-        right = right.sort_values("label_id", ignore_index=True)
         cosine = cosine_block(left, right, 2 * gap)
         earlier = right["title_id"].to_numpy()[None, :] < left["title_id"].to_numpy()[:, None]
         fresh = np.abs(left["t"].to_numpy()[:, None] - right["label_t"].to_numpy()[None, :]) <= gap
