@@ -275,3 +275,22 @@ RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def checkpoint_folder(spark):
     return spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+
+def test_best_topic_moves_no_terms_and_skips_articles_without_a_topic(spark):
+    rows = random_articles(14, 60, shuffled=True, copies=0.3)
+    big = 2**60  # more than a double can tell apart
+    rows = [(big + r[0], *r[1:]) for r in rows]
+    anchor_of = {i: rows[i % 5] for i in range(60) if i % 4}
+    assigned = spark.createDataFrame([(rows[i][0], a[0]) for i, a in anchor_of.items()], "title_id long, anchor_id long")
+    found = sim.best_topic(spark.createDataFrame(rows, SCHEMA), assigned, block_rows=9)
+    assert "terms#" not in found._jdf.queryExecution().optimizedPlan().toString()
+    vec, expected = brute_force.vectors(as_dicts(rows)), {}
+    for i, row in enumerate(rows):
+        offers = [
+            (-brute_force.cosine(vec[i], vec[j]), a[0]) for j, a in anchor_of.items()
+            if j < i and abs(row[3] - a[3]) <= timedelta(hours=72) and abs(row[3] - rows[j][3]) <= timedelta(hours=144)
+        ]
+        if offers and -min(offers)[0] > 0.15:
+            expected[row[0]] = (-min(offers)[0], min(offers)[1])
+    assert expected and {r.title_id: (r.cosine, r.anchor_id) for r in found.collect()} == expected
