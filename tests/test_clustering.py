@@ -294,3 +294,26 @@ def test_best_topic_moves_no_terms_and_skips_articles_without_a_topic(spark):
         if offers and -min(offers)[0] > 0.15:
             expected[row[0]] = (-min(offers)[0], min(offers)[1])
     assert expected and {r.title_id: (r.cosine, r.anchor_id) for r in found.collect()} == expected
+
+
+def test_rounds_hold_few_tables_and_leave_none(spark, monkeypatch):
+    live, most, written = set(), [], []
+
+    class Counted(Scratch):
+        def keep(self, rows):
+            kept = super().keep(rows)
+            live.add(id(kept))
+            written.append(kept)
+            most.append(len(live))
+            return kept
+
+        def drop(self, *tables):
+            super().drop(*tables)
+            live.difference_update(map(id, tables))
+
+    monkeypatch.setattr(clustering, "Scratch", Counted)
+    rows = random_articles(15, 60, copies=0.3)
+    assert run(spark, rows, block_rows=3) == brute_force.cluster(as_dicts(rows))
+    assert len(written) > 25 and max(most) <= 12  # many rounds, whose tables go
+    assert not any({"label_title", "terms"} & set(table.columns) for table in written[3:])  # titles are looked up
+    assert not [x for x in os.listdir(checkpoint_folder(spark)) if x.startswith("scratch-")]
