@@ -317,3 +317,22 @@ def test_rounds_hold_few_tables_and_leave_none(spark, monkeypatch):
     assert len(written) > 25 and max(most) <= 12  # many rounds, whose tables go
     assert not any({"label_title", "terms"} & set(table.columns) for table in written[3:])  # titles are looked up
     assert not [x for x in os.listdir(checkpoint_folder(spark)) if x.startswith("scratch-")]
+
+
+def test_clustering_a_store_leaves_no_copy_of_its_texts(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    marker = "quartzmarker"
+    rows = [(i, "s", f"{marker} alpha {i}", None, f"{marker} beta", START + timedelta(hours=i)) for i in range(1, 9)]
+    kinds = {f.name: f.dataType for f in schemas.ARTICLE_ROWS.fields}
+    names = ("title_id", "source_id", "title", "link", "summary", "date_captured")
+    articles = spark.createDataFrame(rows, "title_id long, source_id string, title string, link string, summary string, date_captured timestamp")
+    store.write(jobs.ARTICLES, articles.select(*[F.col(n).cast(kinds[n]) for n in names]), "a")
+    folder, before = checkpoint_folder(spark), set()
+    for at, _, files in os.walk(folder):
+        before.update(os.path.join(at, f) for f in files)
+    assert jobs.cluster_open_articles(store, run="r") == 1
+    left = [os.path.join(at, f) for at, _, files in os.walk(folder) for f in files]
+    texts = [f for f in left if f not in before and open(f, "rb").read().count(b"beta")]
+    assert texts == [] and not [x for x in os.listdir(folder) if x.startswith("scratch-")]
+    assert spark.conf.get(RELEASE) == "false"
+    assert all(f.endswith(".zstd.parquet") or f.endswith(".zst.parquet") or "zstd" in f for _, _, files in os.walk(tmp_path / "store") for f in files if f.endswith(".parquet"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom import schemas
 from trendloom.operators import clean, clustering, extract, scoring, tables
+from trendloom.operators.scratch import Scratch
 from trendloom.session import ensure_checkpoint_dir
 from trendloom.sources import articles as article_scans
 from trendloom.sources import configs as config_scans
@@ -132,21 +133,21 @@ def cluster_open_articles(store: TableStore, full: bool = False, run: str | None
     ``full`` clusters all articles anew: it appends new topics and links every article to them, the
     topics of earlier runs stay. The links are written last, so articles of a broken run stay open.
     """
-    ensure_checkpoint_dir(store.spark)
     run = run or new_run("cluster")
-    waiting = (all_articles(store, run) if full else open_articles(store, run)).checkpoint()
-    # Dealt by id once, so that counts and joins per article need no further shuffle.
-    tasks = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
-    scanned = article_scans.scan_articles(waiting, only_unassigned=not full).repartition(tasks, "title_id")
-    members = clustering.cluster_articles(scanned, **options).checkpoint()
-    averages = clustering.cluster_averages(clustering.measure_members(scanned, members)).checkpoint()
-    clusters = tables.new_clusters(store.read(CLUSTERS, schemas.CLUSTERS, run).drop("run"), averages).checkpoint()
-    links = members.join(
-        clusters.select(F.col("title_id").alias("anchor_id"), "cluster_id"), "anchor_id"
-    ).select("title_id", "cluster_id")
-    store.write(CLUSTERS, clusters, run)
-    store.write(LINKS, links, run)
-    return clusters.count()
+    with Scratch(store.spark) as scratch:
+        waiting = scratch.keep(all_articles(store, run) if full else open_articles(store, run))
+        # Dealt by id once, so that counts and joins per article need no further shuffle.
+        tasks = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+        scanned = article_scans.scan_articles(waiting, only_unassigned=not full).repartition(tasks, "title_id")
+        members = clustering.cluster_articles(scanned, **options)
+        averages = scratch.keep(clustering.cluster_averages(clustering.measure_members(scanned, members)))
+        clusters = scratch.keep(tables.new_clusters(store.read(CLUSTERS, schemas.CLUSTERS, run).drop("run"), averages))
+        links = members.join(
+            clusters.select(F.col("title_id").alias("anchor_id"), "cluster_id"), "anchor_id"
+        ).select("title_id", "cluster_id")
+        store.write(CLUSTERS, clusters, run)
+        store.write(LINKS, links, run)
+        return clusters.count()
 
 
 def score_new_articles(store: TableStore, lexicon: DataFrame, run: str) -> DataFrame:
@@ -169,30 +170,30 @@ def rescore_topics(
     ``jaccard='stored'`` uses the measured member cohesion instead of the constant. ``batch`` orders runs
     with the same ``as_of``.
     """
-    ensure_checkpoint_dir(store.spark)
     run = run or new_run("score")
-    compounds = score_new_articles(store, lexicon, run)
-    clusters = current_clusters(store, run)
-    members = current_links(store).join(clusters.select("cluster_id"), "cluster_id", "left_semi").withColumn(
-        "jaccard_similarity", F.lit(scoring.STORED_JACCARD)
-    )
-    if jaccard == "stored":
-        anchors = clusters.select("cluster_id", clusters["title_id"].alias("anchor_id"))
-        assigned = members.join(anchors, "cluster_id").select("title_id", "anchor_id")
-        measured = clustering.measure_members(article_scans.scan_articles(all_articles(store), only_unassigned=False), assigned)
-        members = scoring.with_stored_similarity(members, measured)
-    measures = scoring.measures_from_sentiment(members, compounds)
-    history = article_scans.scan_history(clusters, as_of)
-    actions = scoring.score_actions(measures, history, as_of).checkpoint()
-    store.write(
-        SCORES,
-        actions.select(
-            "cluster_id", F.col("calculated_score").alias("score"), "avg_sentiment", "avg_jaccard",
-            F.col("evaluated_at").alias("last_updated"), "action", F.lit(batch).cast("long").alias("batch"),
-        ),
-        run,
-    )
-    return actions
+    with Scratch(store.spark):
+        compounds = score_new_articles(store, lexicon, run)
+        clusters = current_clusters(store, run)
+        members = current_links(store).join(clusters.select("cluster_id"), "cluster_id", "left_semi").withColumn(
+            "jaccard_similarity", F.lit(scoring.STORED_JACCARD)
+        )
+        if jaccard == "stored":
+            anchors = clusters.select("cluster_id", clusters["title_id"].alias("anchor_id"))
+            assigned = members.join(anchors, "cluster_id").select("title_id", "anchor_id")
+            measured = clustering.measure_members(article_scans.scan_articles(all_articles(store), only_unassigned=False), assigned)
+            members = scoring.with_stored_similarity(members, measured)
+        measures = scoring.measures_from_sentiment(members, compounds)
+        history = article_scans.scan_history(clusters, as_of)
+        actions = scoring.score_actions(measures, history, as_of).checkpoint()
+        store.write(
+            SCORES,
+            actions.select(
+                "cluster_id", F.col("calculated_score").alias("score"), "avg_sentiment", "avg_jaccard",
+                F.col("evaluated_at").alias("last_updated"), "action", F.lit(batch).cast("long").alias("batch"),
+            ),
+            run,
+        )
+        return actions
 
 
 def update_tickers(

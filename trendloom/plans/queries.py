@@ -16,6 +16,7 @@ from trendloom import schemas
 from trendloom.functions import scores as S
 from trendloom.functions import text as X
 from trendloom.operators import clean, clustering, extract, market, scoring, similarity, tables
+from trendloom.operators.scratch import Scratch
 from trendloom.operators.sentiment import compound_sentiment
 from trendloom.plans import jobs
 from trendloom.session import ensure_checkpoint_dir
@@ -578,8 +579,9 @@ def _stream_of(spark, sf_dir, name: str, key: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
     rows, files = samples.table(spark, sf_dir, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
     middle = (rows.agg(F.max(key)).first()[0] or 0) // 2
-    for half in (rows.where(F.col(key) <= middle), rows.where(F.col(key) > middle)):
-        half.repartition(files).write.mode("append").parquet(folder)
+    with Scratch(spark):
+        for half in (rows.where(F.col(key) <= middle), rows.where(F.col(key) > middle)):
+            half.repartition(files).write.mode("append").option("compression", "zstd").parquet(folder)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 

@@ -35,6 +35,6 @@ class TableStore:
     def write(self, table: str, rows: DataFrame, run: str) -> None:
         """Write what ``run`` adds to a table; an earlier attempt of the same run is replaced."""
         (
-            rows.withColumn(RUN, F.lit(run)).write.mode("overwrite")
+            rows.withColumn(RUN, F.lit(run)).write.mode("overwrite").option("compression", "zstd")
             .option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(f"{self.base}/{table}")
         )
